@@ -66,10 +66,8 @@ def prefix_table(spark: SparkSession, bounds: list[tuple[int, str, str]]) -> Dat
         if starts[i + 1] > starts[i]
     ]
     frame = spark.createDataFrame(rows, "shard_id bigint, lo string, hi string, p0 bigint, p1 bigint")
-    return frame.select(
-        "shard_id", "lo", "hi",
-        F.lpad(F.lower(F.hex(F.explode(F.sequence("p0", "p1")))), PREFIX_DIGITS, "0").alias("prefix"),
-    )
+    spread = frame.select("shard_id", "lo", "hi", F.explode(F.sequence("p0", "p1")).alias("p"))
+    return spread.select("shard_id", "lo", "hi", F.lpad(F.lower(F.hex("p")), PREFIX_DIGITS, "0").alias("prefix"))
 
 
 def assign_shards(df: DataFrame, bounds: list[tuple[int, str, str]], hash_col: str = "hash_key", form: str = "auto") -> DataFrame:

@@ -71,7 +71,7 @@ def check_positive(name: str, value: int) -> int:
     return value
 
 
-def check_stream(replicas: int = 1, shard_count: int = DEFAULT_SHARD_COUNT, backlog_seconds: int = DEFAULT_BACKLOG_SECONDS) -> None:
+def check_stream(replicas: int = 3, shard_count: int = DEFAULT_SHARD_COUNT, backlog_seconds: int = DEFAULT_BACKLOG_SECONDS) -> None:
     check_positive("replicas", replicas)
     check_positive("shard_count", shard_count)
     if backlog_seconds < 0:

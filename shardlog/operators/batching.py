@@ -155,6 +155,18 @@ def _begins(pdf: pd.DataFrame, entry: pd.DataFrame, rule: Rule, parts: list[str]
     return out[columns]
 
 
+def _cut_by_count(df: DataFrame, parts: list[str], order: list[str], count: int, resume: dict) -> "Cut":
+    table, chunks = lay_out(df, parts, order, "count")
+    if resume:
+        spark = df.sparkSession
+        types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)
+        seen = F.broadcast(spark.createDataFrame([(*p, r[2]) for p, r in resume.items()], f"{types}_seen bigint"))  # a row per part
+        chunks = chunks.join(seen, parts, "left").withColumn("_before", F.col("_before") + F.coalesce("_seen", F.lit(0))).drop("_seen")
+    totals = chunks.groupBy(*parts).agg(F.max(F.col("_before") + F.col("_rows")).alias("n")).collect()  # a row per part
+    tails = [(*r[:-1], (0, r["n"] % count, 0), -(-r["n"] // count), r["n"]) for r in totals]
+    return Cut(_count_ids(number_rows(table, chunks, parts).drop(CHUNK), count), tails)
+
+
 @dataclass
 class Cut:
     """Result of ``cut_batches``: records with ids, and per part the state after
@@ -167,7 +179,7 @@ class Cut:
 def cut_batches(
     df: DataFrame,
     parts: list[str],
-    ts: str,
+    ts: str | None,
     order: list[str],
     n_bytes: str,
     rule: Rule,
@@ -180,12 +192,19 @@ def cut_batches(
     at the first record), and each time it runs out the open batch, if any, is
     closed before the next record is added.
 
+    ``ts`` may be None, for ``order`` alone, if the rule has no timer.
     ``resume`` continues parts cut before: part -> (state, batches, records).
     Adds ``rn``, ``batch_id`` (from 1) and ``batch_index`` (from 0).
     """
     resume = resume or {}
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", F.coalesce(F.col(n_bytes).cast("bigint"), F.lit(0))), parts, [ts, *order], "cut")
+    if ts is None and rule.timeout_us > 0:
+        raise ValueError("a timer needs a time column")
+    order = order if ts is None else [ts, *order]
+    if rule.n_bytes >= NO_LIMIT and rule.timeout_us <= 0:
+        return _cut_by_count(df, parts, order, rule.count, resume)
+    us = F.lit(0).cast("bigint") if ts is None else F.unix_micros(F.col(ts).cast("timestamp"))
+    size = F.coalesce(F.col(n_bytes).cast("bigint"), F.lit(0))
+    table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", size), parts, order, "cut")
     spark = df.sparkSession
     key = [*parts, CHUNK]
     part_types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)

@@ -1,0 +1,119 @@
+"""Delivery to a subscription: push while unacked records are below the limit,
+drop what is acked, send again what is not acked in time.
+
+The log is the queue: what has not been delivered yet is simply what lies behind
+a cursor per shard, and is never held as state. The state of a subscription is
+its cursors and its unacked records, at most ``max_unacked`` of them. Every step
+is a join over tables, none a loop over records.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shardlog.model import DEFAULT_ACK_TIMEOUT_SECONDS, DEFAULT_MAX_UNACKED, ID_COLUMNS, check_subscription
+from shardlog.operators.sequence import with_position
+
+SENT = "shard_id bigint, batch_id bigint, batch_index int, delivered_at timestamp_ntz, attempt int"
+# Above this many rows an ordered limit would meet in one task; number rows instead.
+LIMIT_IN_ONE_TASK = 100_000
+QUEUE_ORDER = ["batch_id", "shard_id", "batch_index"]
+
+
+@dataclass(frozen=True)
+class Subscription:
+    sub_id: str
+    ack_timeout_s: int = DEFAULT_ACK_TIMEOUT_SECONDS
+    max_unacked: int = DEFAULT_MAX_UNACKED
+
+    def __post_init__(self) -> None:
+        check_subscription(self.ack_timeout_s, self.max_unacked)
+
+
+def take_in_order(rows: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows by a unique order, for any ``n``."""
+    if n <= LIMIT_IN_ONE_TASK:
+        return rows.orderBy(*order).limit(n)
+    return with_position(rows, [], order, "_at").where(F.col("_at") <= n).drop("_at")
+
+
+def deliverer(sub: Subscription, out: str, open_log: Callable[[SparkSession], DataFrame]):
+    """A ``foreachBatch`` function for signals ``(kind, shard_id, batch_id,
+    batch_index, at)``: kind ``ack`` for an ack, ``record`` for an arrival.
+
+    Deliveries are written below ``out/deliveries`` and the state after each
+    micro-batch below ``out/unacked`` and ``out/cursors``, by its number.
+    """
+
+    def step(signals: DataFrame, epoch: int) -> None:
+        spark = signals.sparkSession
+        log = open_log(spark).select(*ID_COLUMNS, F.col("publish_time").alias("delivered_at"))
+        acks = signals.where("kind = 'ack'").select(*ID_COLUMNS).distinct()
+        held, cursors, clock = _state(spark, out, epoch - 1)
+        now = signals.agg(F.max("at")).first()[0]
+        clock = max(t for t in (clock, now) if t is not None) if clock or now else None
+
+        held = _save(held.join(acks, ID_COLUMNS, "left_anti"), f"{out}/work/epoch={epoch}/acked")
+        due = F.col("delivered_at") + F.make_dt_interval(secs=F.lit(sub.ack_timeout_s).cast("decimal(18,6)"))
+        if clock is not None:
+            at = F.lit(clock.isoformat(sep=" ")).cast("timestamp_ntz")
+            late = due <= at
+            resent = held.where(late).withColumn("delivered_at", at).withColumn("attempt", F.col("attempt") + 1)
+            resent = _save(resent, f"{out}/deliveries/epoch={epoch}/round=0")
+            held = held.where(~late).unionByName(resent)
+
+        turn = 0
+        while True:
+            free = sub.max_unacked - held.count()
+            if free <= 0:
+                break
+            turn += 1
+            queued = log.join(cursors, "shard_id", "left").where(
+                "_batch is null or batch_id > _batch or (batch_id = _batch and batch_index > _index)"
+            )
+            new = take_in_order(queued.drop("_batch", "_index"), free, QUEUE_ORDER).withColumn("attempt", F.lit(1))
+            new = _save(new, f"{out}/deliveries/epoch={epoch}/round={turn}")
+            if new.isEmpty():
+                break
+            reached = new.groupBy("shard_id").agg(F.max(F.struct("batch_id", "batch_index")).alias("_r"))
+            reached = reached.select("shard_id", F.col("_r.batch_id").alias("_batch"), F.col("_r.batch_index").alias("_index"))
+            moved = cursors.join(reached.select("shard_id"), "shard_id", "left_anti").unionByName(reached)
+            cursors = _save(moved, f"{out}/work/epoch={epoch}/cursors={turn}")
+            kept = held.unionByName(new).join(acks, ID_COLUMNS, "left_anti")
+            held = _save(kept, f"{out}/work/epoch={epoch}/held={turn}")
+
+        _save(held, f"{out}/unacked/epoch={epoch}")
+        clock_col = F.lit(clock.isoformat(sep=" ") if clock else None).cast("timestamp_ntz")
+        _save(cursors.withColumn("clock", clock_col), f"{out}/cursors/epoch={epoch}")
+
+    return step
+
+
+def _save(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _state(spark: SparkSession, out: str, epoch: int):
+    cursor = "shard_id bigint, _batch bigint, _index int"
+    if epoch < 0:
+        return spark.createDataFrame([], SENT), spark.createDataFrame([], cursor), None
+    cursors = spark.read.schema(f"{cursor}, clock timestamp_ntz").parquet(f"{out}/cursors/epoch={epoch}")
+    held = spark.read.schema(SENT).parquet(f"{out}/unacked/epoch={epoch}")
+    return held, cursors.drop("clock"), cursors.agg(F.max("clock")).first()[0]
+
+
+def read_deliveries(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(f"{SENT}, epoch int, round int").option("basePath", f"{out}/deliveries").parquet(f"{out}/deliveries")
+
+
+def read_unacked(spark: SparkSession, out: str) -> DataFrame:
+    """Unacked records after the last micro-batch."""
+    rows = spark.read.schema(f"{SENT}, epoch int").option("basePath", f"{out}/unacked").parquet(f"{out}/unacked")
+    states = spark.read.schema("shard_id bigint, epoch int").option("basePath", f"{out}/cursors").parquet(f"{out}/cursors")
+    last = states.agg(F.max("epoch")).first()[0]
+    return rows.where(F.col("epoch") == last).drop("epoch")
