@@ -2,15 +2,21 @@
 
 The count rule is arithmetic on positions. With a bytes or time limit each batch
 begins where the one before ended, a running sum with resets. To keep that
-parallel inside one shard, the shard is cut into sorted chunks and each chunk is
-folded for the few states it can be entered with; the states are then joined up
-from chunk to chunk. Only small state tables ever meet in one place.
+parallel inside one shard, the shard is cut into sorted chunks of bounded size:
+
+1. every chunk proposes the few states it may leave to the next chunk;
+2. every chunk is folded once for each proposal: entry state -> exit state;
+3. these transfers are joined up, first within groups of chunks by Spark, then
+   from group to group; where a true state was not proposed it is folded in a
+   further round, so the result is exact whatever was proposed;
+4. every chunk, now with its true entry state, says where its batches begin.
+
+Steps 1, 2 and 4 read times and sizes only; payloads are shuffled once, at the end.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -28,6 +34,12 @@ NO_LIMIT = 1 << 62
 # Entry states a chunk proposes to its successor. More may exist; those are
 # found in later rounds, so this bounds work per round and not the result.
 PROPOSALS = 256
+# Chunks whose transfers are joined up in one task.
+GROUP = 256
+STATE = ["t0", "held", "size"]
+STATE_TYPE = "t0 bigint, held bigint, size bigint"
+EXIT = ["t1", "held1", "size1"]
+EXIT_TYPE = "t1 bigint, held1 bigint, size1 bigint, begun bigint"
 
 
 @dataclass(frozen=True)
@@ -99,7 +111,7 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["_us"].to_numpy(), np.concatenate([[0], np.cumsum(pdf["_bytes"].to_numpy())])
 
 
-def _propose(pdf: pd.DataFrame, rule: Rule, parts: list[str]) -> pd.DataFrame:
+def _propose(pdf: pd.DataFrame, rule: Rule, key: list[str], limit: int) -> pd.DataFrame:
     """States a chunk can leave behind if a batch begins at one of its last
     records, or if the timer has run undisturbed since the first record."""
     ts, ends = _arrays(pdf)
@@ -108,51 +120,82 @@ def _propose(pdf: pd.DataFrame, rule: Rule, parts: list[str]) -> pd.DataFrame:
         root = int(pdf["_root"].iloc[0])
         ticked = root + rule.timeout_us * ((int(ts[0]) - root) // rule.timeout_us)
         states.add(_fold(ts, ends, rule, (ticked, 0, 0), 0, closes)[2])
-    for last in range(m - 1, max(-1, m - 1 - min(rule.count, PROPOSALS)), -1):
+    for last in range(m - 1, max(-1, m - 1 - min(rule.count, limit)), -1):
         closed_at = int(ts[last]) if rule.timeout_us > 0 else 0
         states.add(_fold(ts, ends, rule, (closed_at, 0, 0), last + 1, closes)[2])
-    return _rows(pdf, parts, list(states))
+    return _rows(pdf, key, list(states), STATE)
 
 
-def _rows(pdf: pd.DataFrame, parts: list[str], states: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(states, columns=["t0", "held", "size"])
-    for i, c in enumerate([*parts, CHUNK]):
+def _rows(pdf: pd.DataFrame, key: list[str], states: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Rows of numbers, after the key of the group they belong to."""
+    out = pd.DataFrame(states, columns=columns)
+    for i, c in enumerate(key):
         out.insert(i, c, pdf[c].iloc[0])
     return out
 
 
-def _transfer(pdf: pd.DataFrame, entries: pd.DataFrame, rule: Rule, parts: list[str]) -> pd.DataFrame:
+def _states(pdf: pd.DataFrame, columns: list[str] = STATE) -> list[tuple]:
+    return [tuple(map(int, s)) for s in pdf[columns].itertuples(index=False)]
+
+
+def _transfer(pdf: pd.DataFrame, entries: pd.DataFrame, rule: Rule, key: list[str]) -> pd.DataFrame:
     """For each entry state of a chunk: the exit state and batches begun."""
     if pdf.empty or entries.empty:
-        return pd.DataFrame(columns=[*parts, CHUNK, "t0", "held", "size", "t1", "held1", "size1", "begun"])
+        return pd.DataFrame(columns=[*key, *STATE, *EXIT, "begun"])
     ts, ends = _arrays(pdf)
     closes: dict = {}
-    states = [(int(a), int(b), int(c)) for a, b, c in entries[["t0", "held", "size"]].itertuples(index=False)]
-    out = _rows(pdf, parts, states)
-    folded = [_fold(ts, ends, rule, s, 0, closes) for s in states]
-    out[["t1", "held1", "size1"]] = np.array([f[2] for f in folded], dtype="int64")
-    out["begun"] = [f[1] for f in folded]
-    return out
-
-
-def _begins(pdf: pd.DataFrame, entry: pd.DataFrame, rule: Rule, parts: list[str]) -> pd.DataFrame:
+    rows = []
+    for state in _states(entries):
+        _, begun, after = _fold(ts, ends, rule, state, 0, closes)
+        rows.append((*state, *after, begun))
+    return _rows(pdf, key, rows, [*STATE, *EXIT, "begun"])
+
+
+def _steps(transfers: pd.DataFrame) -> dict[int, dict[State, tuple[State, int]]]:
+    """Transfers of a group of chunks by chunk number and entry state."""
+    steps: dict = {}
+    for seq, entry, after, n in zip(transfers["_seq"], _states(transfers), _states(transfers, EXIT), transfers["begun"]):
+        steps.setdefault(int(seq), {})[entry] = (after, int(n))
+    return steps
+
+
+def _compose(transfers: pd.DataFrame, parts: list[str]) -> pd.DataFrame:
+    """Transfers of a group of chunks as one: from each state its first chunk was
+    folded for, as far as known. ``reached`` is the chunk the walk stands before."""
+    steps = _steps(transfers)
+    first, last = min(steps), max(steps)
+    rows = []
+    for entry in steps[first]:
+        state, begun, at = entry, 0, first
+        while at <= last and state in steps[at]:
+            state, n = steps[at][state]
+            begun, at = begun + n, at + 1
+        rows.append((*entry, *state, begun, at, at > last))
+    return _rows(transfers, [*parts, "_group"], rows, [*STATE, *EXIT, "begun", "reached", "through"])
+
+
+def _enter(transfers: pd.DataFrame, entry: pd.DataFrame, parts: list[str]) -> pd.DataFrame:
+    """The true entry state of every chunk of a group and the batches before it."""
+    steps = _steps(transfers)
+    state, batches = _states(entry)[0], int(entry["batches"].iloc[0])
+    rows = []
+    for at in range(min(steps), max(steps) + 1):
+        rows.append((at, *state, batches))
+        state, n = steps[at][state]
+        batches += n
+    return _rows(transfers, parts, rows, ["_seq", *STATE, "batches"])
+
+
+def _begins(pdf: pd.DataFrame, entry: pd.DataFrame, rule: Rule, key: list[str]) -> pd.DataFrame:
     """Position of the first record and id of every batch with records in the chunk."""
-    columns = [*parts, CHUNK, "_start", "_batch"]
-    if pdf.empty:
-        return pd.DataFrame(columns=columns)
     ts, ends = _arrays(pdf)
-    e = entry.iloc[0]
-    state = (int(e["t0"]), int(e["held"]), int(e["size"]))
+    e, state = entry.iloc[0], _states(entry)[0]
     begins, _, _ = _fold(ts, ends, rule, state, 0)
     first, done = int(e["first_rn"]), int(e["batches"])
-    starts = [first + b for b in begins]
-    ids = list(range(done + 1, done + 1 + len(begins)))
+    rows = [(first + at, done + i + 1) for i, at in enumerate(begins)]
     if state[1] > 0:  # the batch that was open when the chunk began
-        starts, ids = [first - state[1], *starts], [done, *ids]
-    out = pd.DataFrame({"_start": starts, "_batch": ids})
-    for i, c in enumerate([*parts, CHUNK]):
-        out.insert(i, c, pdf[c].iloc[0])
-    return out[columns]
+        rows.insert(0, (first - state[1], done))
+    return _rows(pdf, key, rows, ["_start", "_batch"])
 
 
 def _cut_by_count(df: DataFrame, parts: list[str], order: list[str], count: int, resume: dict) -> "Cut":
@@ -205,95 +248,115 @@ def cut_batches(
     us = F.lit(0).cast("bigint") if ts is None else F.unix_micros(F.col(ts).cast("timestamp"))
     size = F.coalesce(F.col(n_bytes).cast("bigint"), F.lit(0))
     table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", size), parts, order, "cut")
-    spark = df.sparkSession
-    key = [*parts, CHUNK]
+    key = [*parts, "_seq"]
     part_types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)
-    types = f"{part_types}{CHUNK} int"
-    state_type = "t0 bigint, held bigint, size bigint"
-
-    # One row per chunk: slices + parts rows, whatever the number of records.
-    firsts = table.groupBy(*parts).agg(F.min("_us").alias("_root"))
-    listed = chunks.join(firsts, parts).orderBy(*parts, CHUNK).collect()
-    by_part: dict[tuple, list] = {}
-    for r in listed:
-        by_part.setdefault(tuple(r[p] for p in parts), []).append(r)
-
-    def first_entry(part: tuple) -> State:
-        if part in resume:
-            return resume[part][0]
-        return (by_part[part][0]["_root"] if rule.timeout_us > 0 else 0, 0, 0)
-
-    narrow = table.select(*key, PLACE, "_us", "_bytes")
-    roots = spark.createDataFrame(
-        [(*p, resume[p][0][0] if p in resume else rs[0]["_root"]) for p, rs in by_part.items()],
-        f"{part_types}_root bigint",
+    spark = df.sparkSession
+    numbers = chunks.select(*parts, CHUNK, "_seq")
+    narrow = table.select(*parts, CHUNK, PLACE, "_us", "_bytes").join(numbers, [*parts, CHUNK])
+
+    # What each part starts from, a row per part.
+    starts = table.groupBy(*parts).agg(F.min("_us").alias("_root"), F.count("*").alias("_rows"))
+    starts = starts.join(chunks.groupBy(*parts).agg(F.max("_seq").alias("_last")), parts)
+    begin: dict[tuple, tuple[State, int, int]] = {}
+    lasts: dict[tuple, tuple[int, int]] = {}
+    for r in starts.collect():
+        part = tuple(r[p] for p in parts)
+        begin[part] = resume.get(part, ((r["_root"] if rule.timeout_us > 0 else 0, 0, 0), 0, 0))
+        lasts[part] = (r["_last"], r["_rows"])
+    begin_rows = spark.createDataFrame(
+        [(*p, *s, b, n) for p, (s, b, n) in begin.items()], f"{part_types}{STATE_TYPE}, batches bigint, records bigint"
     )
-    known: dict[tuple, dict[State, tuple[State, int]]] = {}
-    wanted: dict[tuple, set[State]] = {(*p, rs[0][CHUNK]): {first_entry(p)} for p, rs in by_part.items()}
-    succ = {(*p, a[CHUNK]): (*p, b[CHUNK]) for p, rs in by_part.items() for a, b in zip(rs, rs[1:])}
-
-    if succ:
-        seeds = narrow.join(F.broadcast(roots), parts).groupBy(*key).applyInPandas(partial(_propose, rule=rule, parts=parts), f"{types}, {state_type}")
-        for r in seeds.collect():  # at most PROPOSALS + 1 rows per chunk
-            nxt = succ.get(tuple(r[k] for k in key))
-            if nxt:
-                wanted.setdefault(nxt, set()).add((r["t0"], r["held"], r["size"]))
-
-    while wanted:
-        entries = spark.createDataFrame([(*c, *s) for c, ss in wanted.items() for s in ss], f"{types}, {state_type}")
-        folded = (
-            narrow.join(F.broadcast(spark.createDataFrame(list(wanted), types)), key, "left_semi")  # a row per chunk
-            .groupBy(*key)
-            .cogroup(entries.groupBy(*key))
-            .applyInPandas(
-                partial(_transfer, rule=rule, parts=parts),
-                f"{types}, {state_type}, t1 bigint, held1 bigint, size1 bigint, begun bigint",
-            )
+
+    wanted = begin_rows.select(*parts, F.lit(0).cast("bigint").alias("_seq"), *STATE)
+    if any(last for last, _ in lasts.values()):
+        # The timer grid of a part stems from its start, a row per part.
+        rooted = narrow.join(F.broadcast(begin_rows.select(*parts, F.col("t0").alias("_root"))), parts)
+        limit = PROPOSALS
+        proposed = rooted.groupBy(*key).applyInPandas(
+            lambda pdf: _propose(pdf, rule, key, limit), f"{part_types}_seq bigint, {STATE_TYPE}"
         )
-        for r in folded.collect():
-            at = known.setdefault(tuple(r[k] for k in key), {})
-            at[(r["t0"], r["held"], r["size"])] = ((r["t1"], r["held1"], r["size1"]), r["begun"])
-        wanted = {}
-        for part, rs in by_part.items():
-            wanted.update(_unknown(part, rs, first_entry(part), known))
-
-    entry_rows, tails = [], []
-    for part, rs in by_part.items():
-        state, batches, seen = first_entry(part), *(resume[part][1:] if part in resume else (0, 0))
-        for r in rs:
-            entry_rows.append((*part, r[CHUNK], *state, seen + r["_before"] + 1, batches))
-            state, begun = known[(*part, r[CHUNK])][state]
-            batches += begun
-        tails.append((*part, state, batches, seen + rs[-1]["_before"] + rs[-1]["_rows"]))
-    entered = spark.createDataFrame(entry_rows, f"{types}, {state_type}, first_rn bigint, batches bigint")
-    begins = store(
+        wanted = wanted.unionByName(_shift(proposed, numbers, parts))
+
+    known = None
+    while True:
+        fresh = _fold_chunks(narrow, wanted, rule, key, part_types, all_chunks=known is None)
+        known = fresh if known is None else known.unionByName(fresh)
+        grouped = known.withColumn("_group", F.floor(F.col("_seq") / GROUP))
+        walked = grouped.groupBy(*parts, "_group").applyInPandas(
+            lambda pdf: _compose(pdf, parts),
+            f"{part_types}_group bigint, {STATE_TYPE}, {EXIT_TYPE}, reached bigint, through boolean",
+        )
+        entries, tails, open_ends = _walk(walked.collect(), parts, begin, lasts)  # PROPOSALS rows per group of chunks
+        if not open_ends:
+            break
+        ends = spark.createDataFrame(open_ends, f"{part_types}_seq bigint, {STATE_TYPE}")
+        beyond = F.broadcast(ends.select(*parts, F.col("_seq").alias("_from")))  # a row per part
+        exits = known.select(*key, *[F.col(e).alias(s) for e, s in zip(EXIT, STATE)])
+        guesses = _shift(exits, numbers, parts).join(beyond, parts).where("_seq > _from").drop("_from")
+        wanted = ends.unionByName(guesses.join(known.select(*key, *STATE), [*key, *STATE], "left_anti"))
+
+    at_groups = spark.createDataFrame(entries, f"{part_types}_group bigint, {STATE_TYPE}, batches bigint")
+    entered = store(
+        grouped.groupBy(*parts, "_group")
+        .cogroup(at_groups.groupBy(*parts, "_group"))
+        .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint"),
+        "entered",
+    )
+    shifted = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
+    shifted = shifted.withColumn("_before", F.col("_before") + F.col("records")).drop("records")
+    placed_entries = entered.join(shifted.select(*key, (F.col("_before") + 1).alias("first_rn")), key)
+    begins = (
         narrow.groupBy(*key)
-        .cogroup(entered.groupBy(*key))
-        .applyInPandas(partial(_begins, rule=rule, parts=parts), f"{types}, _start bigint, _batch bigint"),
-        "begins",
+        .cogroup(placed_entries.groupBy(*key))
+        .applyInPandas(lambda pdf, entry: _begins(pdf, entry, rule, key), f"{part_types}_seq bigint, _start bigint, _batch bigint")
     )
-    before = entered.select(*key, (F.col("first_rn") - 1).alias("_before"))
-    placed = number_rows(table.drop("_us", "_bytes"), chunks.drop("_before").join(before, key), parts)
-    return Cut(_spread(placed, begins, key), tails)
-
-
-def _unknown(part: tuple, rows: list, state: State, known: dict) -> dict[tuple, set[State]]:
-    """Walk a part's chunks as far as transfers are known. Where the walk stops,
-    the true entry state is wanted; for chunks after it, whatever their
-    predecessors were seen to leave behind, as a guess that saves rounds."""
-    wanted: dict[tuple, set[State]] = {}
-    for i, r in enumerate(rows):
-        chunk = (*part, r[CHUNK])
-        if state not in known.get(chunk, {}):
-            wanted[chunk] = {state}
-            for a, b in zip(rows[i:], rows[i + 1:]):
-                seen = {e for e, _ in known.get((*part, a[CHUNK]), {}).values()}
-                fresh = seen - set(known.get((*part, b[CHUNK]), {}))
-                if fresh:
-                    wanted[(*part, b[CHUNK])] = fresh
-            return wanted
-        state = known[chunk][state][0]
-    return {}
+    marks = store(begins.join(numbers, key).drop("_seq"), "begins")
+    placed = number_rows(table.drop("_us", "_bytes"), shifted, parts)
+    return Cut(_spread(placed, marks, [*parts, CHUNK]), tails)
+
+
+def _shift(states: DataFrame, numbers: DataFrame, parts: list[str]) -> DataFrame:
+    """States left by a chunk as entries of the next, where there is one."""
+    key = [*parts, "_seq"]
+    after = states.withColumn("_seq", F.col("_seq") + 1).distinct()
+    return after.join(numbers.select(*key), key, "left_semi").select(*key, *STATE)
+
+
+def _fold_chunks(narrow: DataFrame, wanted: DataFrame, rule: Rule, key: list[str], part_types: str, all_chunks: bool) -> DataFrame:
+    wanted = store(wanted, "wanted")
+    rows = narrow if all_chunks else narrow.join(wanted.select(*key).distinct(), key, "left_semi")
+    folded = (
+        rows.groupBy(*key)
+        .cogroup(wanted.groupBy(*key))
+        .applyInPandas(lambda pdf, entries: _transfer(pdf, entries, rule, key), f"{part_types}_seq bigint, {STATE_TYPE}, {EXIT_TYPE}")
+    )
+    return store(folded, "transfers")
+
+
+def _walk(rows: list, parts: list[str], begin: dict, lasts: dict) -> tuple[list, list, list]:
+    """Follow each part from its start, group by group. Returns the entry of every
+    group, what each part ends with, and where a walk met an unknown state."""
+    known: dict[tuple, dict[State, tuple]] = {}
+    for r in rows:
+        at = known.setdefault((*(r[p] for p in parts), r["_group"]), {})
+        at[tuple(r[c] for c in STATE)] = (tuple(r[c] for c in EXIT), r["begun"], r["reached"], r["through"])
+    entries, tails, open_ends = [], [], []
+    for part, (state, batches, records) in begin.items():
+        last, n = lasts[part]
+        for group in range(last // GROUP + 1):
+            entries.append((*part, group, *state, batches))
+            here = known.get((*part, group), {})
+            if state not in here:
+                open_ends.append((*part, group * GROUP, *state))
+                break
+            state, begun, reached, through = here[state]
+            if not through:
+                open_ends.append((*part, reached, *state))
+                break
+            batches += begun
+        else:
+            tails.append((*part, state, batches, records + n))
+    return entries, tails, open_ends
 
 
 def _spread(placed: DataFrame, begins: DataFrame, key: list[str]) -> DataFrame:

@@ -10,33 +10,38 @@ from shardlog.session import store
 
 CHUNK = "_chunk"
 PLACE = "_place"
+# Rows of a chunk: 2^20, whatever the size of a partition.
+CHUNK_BITS = 20
 
 
 def lay_out(df: DataFrame, parts: list[str], order: list[str], name: str = "layout") -> tuple[DataFrame, DataFrame]:
     """Sort ``df`` by ``parts + order`` over the cluster and write it down.
 
-    Returns the written table, with the number of the sorted slice each row fell
-    into (``_chunk``) and its place there (``_place``), and one summary row per
-    (parts, chunk): rows in it, first place, rows of the same parts before it.
+    Returns the written table, with the sorted run each row fell into (``_chunk``,
+    at most 2^20 rows) and its place in the order (``_place``), and one summary row
+    per (parts, chunk): rows in it, first place, rows of the same parts before it
+    and its number in the part from 0 (``_seq``).
 
     ``order`` must be unique within ``parts``. Range partitioning cuts a part of
-    any size into slices of equal size, so one hot shard is no hot task. Partition
-    numbers depend on the sampled cut points; hence the written table.
+    any size into equal ranges, so one hot shard is no hot task. Partition numbers
+    depend on the sampled cut points; hence the written table.
     """
     keys = [*parts, *order]
-    slices = (
+    runs = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn(CHUNK, F.spark_partition_id())
         .withColumn(PLACE, F.monotonically_increasing_id())
+        # The id counts rows within a partition from the partition's own base.
+        .withColumn(CHUNK, F.shiftright(PLACE, CHUNK_BITS))
     )
-    table = store(slices, name)
-    # Rows here: slices + parts, since every slice is one range of the sort order.
-    earlier = W.partitionBy(*parts).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    table = store(runs, name)
+    # Rows here: chunks + parts, as every chunk is one range of the sort order.
+    in_order = W.partitionBy(*parts).orderBy(CHUNK)
     chunks = (
         table.groupBy(*parts, CHUNK)
         .agg(F.count("*").alias("_rows"), F.min(PLACE).alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("_seq", (F.row_number().over(in_order) - 1).cast("bigint"))
     )
     return table, store(chunks, f"{name}-chunks")
 
@@ -46,7 +51,7 @@ def number_rows(table: DataFrame, chunks: DataFrame, parts: list[str], out: str
     return (
         table.join(chunks, [*parts, CHUNK])
         .withColumn(out, F.col("_before") + F.col(PLACE) - F.col("_first") + 1)
-        .drop("_rows", "_first", "_before", PLACE)
+        .drop("_rows", "_first", "_before", "_seq", PLACE)
     )
 
 

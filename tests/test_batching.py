@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shardlog.operators import batching
+from shardlog.operators import batching, sequence
 from shardlog.operators.batching import NO_LIMIT, Rule, _fold, batch_by_count, cut_batches
 
 
@@ -29,6 +29,13 @@ def by_hand(rows, rule):
     return out
 
 
+@pytest.fixture(autouse=True)
+def many_chunks(monkeypatch):
+    """Small inputs would be a single chunk, and nothing to put together."""
+    monkeypatch.setattr(sequence, "CHUNK_BITS", 5)
+    monkeypatch.setattr(batching, "GROUP", 3)
+
+
 rules = st.builds(
     Rule,
     count=st.integers(1, 6),
@@ -67,20 +74,19 @@ def _records(n, seed, hot):
 
 
 @pytest.mark.parametrize(
-    "rule",
+    "rule, proposals",
     [
-        Rule(count=7),
-        Rule(count=50, n_bytes=200),
-        Rule(count=10, timeout_us=300_000),
-        Rule(count=1000, n_bytes=5000, timeout_us=2_000_000),
-        Rule(count=40, n_bytes=300, timeout_us=50_000),
-        Rule(count=100_000, timeout_us=2_000),
+        (Rule(count=7), 256),
+        (Rule(count=50, n_bytes=200), 256),
+        (Rule(count=50, n_bytes=200), 2),
+        (Rule(count=40, n_bytes=300, timeout_us=50_000), 256),
+        (Rule(count=10, timeout_us=300_000), 1),
+        (Rule(count=100_000, timeout_us=2_000), 2),
     ],
 )
-@pytest.mark.parametrize("proposals", [256, 2])
 def test_cut_equals_loop(spark, rule, proposals, monkeypatch):
     monkeypatch.setattr(batching, "PROPOSALS", proposals)
-    rows = _records(1500, 5, 0.7)
+    rows = _records(700, 5, 0.7)
     df = spark.createDataFrame(rows, "id bigint, shard_id bigint, us bigint, n bigint").withColumn(
         "ts", F.timestamp_micros("us").cast("timestamp_ntz")
     )
