@@ -8,7 +8,7 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.model import check_positive
+from shardlog.model import ERROR_NO_SHARD, check_positive
 
 HASH_SPACE = 1 << 128
 PREFIX_DIGITS = 4
@@ -51,6 +51,13 @@ def shard_by_array(hashed: Column, bounds: list[tuple[int, str, str]]) -> Column
     return F.array_max(F.filter(starts, lambda s: s["start"] <= hashed))["id"]
 
 
+def split_unassigned(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records with a shard, and those whose hash lies below every shard, with
+    ``error``. Batching numbers records within shards and takes only the former."""
+    lost = F.col("shard_id").isNull()
+    return df.where(~lost), df.where(lost).withColumn("error", F.lit(ERROR_NO_SHARD))
+
+
 def prefix_table(spark: SparkSession, bounds: list[tuple[int, str, str]]) -> DataFrame:
     """One row per (shard, leading hex digits of the hashes it owns).
 

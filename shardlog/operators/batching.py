@@ -62,6 +62,21 @@ def batch_by_count(df: DataFrame, parts: list[str], order: list[str], count: int
     return _count_ids(with_position(df, parts, order), count)
 
 
+# Batches that one task stamps in one sorted run.
+BLOCK = 1000
+
+
+def stamp_publish_time(records: DataFrame, parts: list[str], ts: str = "ts") -> DataFrame:
+    """Add ``publish_time``, the time of the latest record of the batch.
+
+    Rows are spread by block of batches, not by shard, so a hot shard is many
+    tasks, and each task holds whole runs of batches ready to be written.
+    """
+    blocks = records.withColumn("_block", F.floor(F.col("batch_id") / BLOCK)).repartition(*parts, "_block")
+    batch = W.partitionBy(*parts, "_block", "batch_id")
+    return blocks.withColumn("publish_time", F.max(ts).over(batch)).drop("_block")
+
+
 def _count_ids(numbered: DataFrame, count: int) -> DataFrame:
     at = F.col("rn") - 1
     return numbered.withColumn("batch_id", F.floor(at / count) + 1).withColumn("batch_index", (at % count).cast("int"))
@@ -187,27 +202,32 @@ def _enter(transfers: pd.DataFrame, entry: pd.DataFrame, parts: list[str]) -> pd
 
 
 def _begins(pdf: pd.DataFrame, entry: pd.DataFrame, rule: Rule, key: list[str]) -> pd.DataFrame:
-    """Position of the first record and id of every batch with records in the chunk."""
+    """Every batch with records in the chunk: position of its first record, id, and
+    the time of its last record here."""
     ts, ends = _arrays(pdf)
     e, state = entry.iloc[0], _states(entry)[0]
     begins, _, _ = _fold(ts, ends, rule, state, 0)
     first, done = int(e["first_rn"]), int(e["batches"])
-    rows = [(first + at, done + i + 1) for i, at in enumerate(begins)]
-    if state[1] > 0:  # the batch that was open when the chunk began
-        rows.insert(0, (first - state[1], done))
-    return _rows(pdf, key, rows, ["_start", "_batch"])
+    starts = [(first + at, done + i + 1) for i, at in enumerate(begins)]
+    if not begins or begins[0] > 0:  # the batch that was open when the chunk began
+        starts.insert(0, (first - state[1], done))
+        begins = [0, *begins]
+    rows = [(*s, int(ts[nxt - 1])) for s, nxt in zip(starts, [*begins[1:], len(ts)])]
+    return _rows(pdf, key, rows, ["_start", "_batch", "_until"])
 
 
-def _cut_by_count(df: DataFrame, parts: list[str], order: list[str], count: int, resume: dict) -> "Cut":
+def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[str], count: int, resume: dict) -> "Cut":
     table, chunks = lay_out(df, parts, order, "count")
     if resume:
         spark = df.sparkSession
         types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)
         seen = F.broadcast(spark.createDataFrame([(*p, r[2]) for p, r in resume.items()], f"{types}_seen bigint"))  # a row per part
-        chunks = chunks.join(seen, parts, "left").withColumn("_before", F.col("_before") + F.coalesce("_seen", F.lit(0))).drop("_seen")
+        moved = F.col("_before") + F.coalesce("_seen", F.lit(0))
+        chunks = store(chunks.join(seen, parts, "left").withColumn("_before", moved).drop("_seen"), "chunks")
     totals = chunks.groupBy(*parts).agg(F.max(F.col("_before") + F.col("_rows")).alias("n")).collect()  # a row per part
     tails = [(*r[:-1], (0, r["n"] % count, 0), -(-r["n"] // count), r["n"]) for r in totals]
-    return Cut(_count_ids(number_rows(table, chunks, parts).drop(CHUNK), count), tails)
+    records = _count_ids(number_rows(table, chunks, parts).drop(CHUNK), count)
+    return Cut(stamp_publish_time(records, parts, ts) if ts else records, tails)
 
 
 @dataclass
@@ -237,14 +257,15 @@ def cut_batches(
 
     ``ts`` may be None, for ``order`` alone, if the rule has no timer.
     ``resume`` continues parts cut before: part -> (state, batches, records).
-    Adds ``rn``, ``batch_id`` (from 1) and ``batch_index`` (from 0).
+    Adds ``rn``, ``batch_id`` (from 1), ``batch_index`` (from 0) and, if there is
+    ``ts``, ``publish_time``: the time of the latest record of the batch so far.
     """
     resume = resume or {}
     if ts is None and rule.timeout_us > 0:
         raise ValueError("a timer needs a time column")
     order = order if ts is None else [ts, *order]
     if rule.n_bytes >= NO_LIMIT and rule.timeout_us <= 0:
-        return _cut_by_count(df, parts, order, rule.count, resume)
+        return _cut_by_count(df, parts, ts, order, rule.count, resume)
     us = F.lit(0).cast("bigint") if ts is None else F.unix_micros(F.col(ts).cast("timestamp"))
     size = F.coalesce(F.col(n_bytes).cast("bigint"), F.lit(0))
     table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", size), parts, order, "cut")
@@ -302,17 +323,22 @@ def cut_batches(
         .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint"),
         "entered",
     )
-    shifted = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
-    shifted = shifted.withColumn("_before", F.col("_before") + F.col("records")).drop("records")
+    shifted = chunks
+    if resume:
+        moved = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
+        shifted = store(moved.withColumn("_before", F.col("_before") + F.col("records")).drop("records"), "chunks")
     placed_entries = entered.join(shifted.select(*key, (F.col("_before") + 1).alias("first_rn")), key)
     begins = (
         narrow.groupBy(*key)
         .cogroup(placed_entries.groupBy(*key))
-        .applyInPandas(lambda pdf, entry: _begins(pdf, entry, rule, key), f"{part_types}_seq bigint, _start bigint, _batch bigint")
+        .applyInPandas(lambda pdf, entry: _begins(pdf, entry, rule, key), f"{part_types}_seq bigint, _start bigint, _batch bigint, _until bigint")
     )
-    marks = store(begins.join(numbers, key).drop("_seq"), "begins")
+    whole = W.partitionBy(*parts, "_batch")
+    published = begins.withColumn("publish_time", F.timestamp_micros(F.max("_until").over(whole)).cast("timestamp_ntz"))
+    marks = store(published.join(numbers, key).drop("_seq", "_until"), "begins")
     placed = number_rows(table.drop("_us", "_bytes"), shifted, parts)
-    return Cut(_spread(placed, marks, [*parts, CHUNK]), tails)
+    records = _spread(placed, marks, [*parts, CHUNK])
+    return Cut(records if ts else records.drop("publish_time"), tails)
 
 
 def _shift(states: DataFrame, numbers: DataFrame, parts: list[str]) -> DataFrame:
@@ -361,11 +387,12 @@ def _walk(rows: list, parts: list[str], begin: dict, lasts: dict) -> tuple[list,
 
 def _spread(placed: DataFrame, begins: DataFrame, key: list[str]) -> DataFrame:
     """Give every record the last batch that begins at or before it in its chunk."""
-    marks = begins.select(*key, F.col("_start").alias("rn"), F.col("_batch"), F.lit(True).alias("_mark"))
+    marks = begins.select(*key, F.col("_start").alias("rn"), "_batch", "publish_time", F.lit(True).alias("_mark"))
     rows = placed.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
     so_far = W.partitionBy(*key).orderBy("rn", F.col("_mark").desc()).rowsBetween(W.unboundedPreceding, 0)
     return (
         rows.withColumn("batch_id", F.last("_batch", ignorenulls=True).over(so_far))
+        .withColumn("publish_time", F.last("publish_time", ignorenulls=True).over(so_far))
         .withColumn("_start", F.last(F.when(F.col("_mark"), F.col("rn")), ignorenulls=True).over(so_far))
         .where(~F.col("_mark"))
         .withColumn("batch_index", (F.col("rn") - F.col("_start")).cast("int"))

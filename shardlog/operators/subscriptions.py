@@ -48,7 +48,9 @@ def start_position(log: DataFrame, start: str, created_at: datetime | None = Non
 
 
 def unacked(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
-    return deliveries.join(acks.select(*RECORD), RECORD, "left_anti")
+    """Deliveries whose record has no ack. Acks are made distinct first, in the
+    shuffle the join needs anyway, so repeated acks of one record do not pile up."""
+    return deliveries.join(acks.select(*RECORD).distinct(), RECORD, "left_anti")
 
 
 def with_acks(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
@@ -115,7 +117,7 @@ def batch_acks(acks: DataFrame, count: int = ACK_BATCH_COUNT, seconds: int = ACK
     rule = Rule(count, timeout_us=seconds * 1_000_000)
     cut = cut_batches(named.withColumn("_none", F.lit(0)), ["sub_id"], "acked_at", ["shard_id", "_b", "_i"], "_none", rule)
     out = cut.records.withColumnsRenamed({"batch_id": "request_id", "batch_index": "request_index"})
-    return Cut(out.withColumnsRenamed({"_b": "batch_id", "_i": "batch_index"}).drop("_none", "rn"), cut.tails)
+    return Cut(out.withColumnsRenamed({"_b": "batch_id", "_i": "batch_index"}).drop("_none", "rn", "publish_time"), cut.tails)
 
 
 def consumers_of(deliveries: DataFrame) -> DataFrame:

@@ -16,10 +16,10 @@ from pyspark.sql.types import StructType
 from shardlog.functions.ids import record_id_text
 from shardlog.functions.shards import assign_shards, hash_key, shard_bounds
 from shardlog.model import FLAG_JSON
-from shardlog.operators.batching import batch_by_count
+from shardlog.operators.batching import batch_by_count, stamp_publish_time
 from shardlog.operators.subscriptions import consumer_of
 from shardlog.session import scratch_path
-from shardlog.sources.record_log import stamp_publish_time, write_log
+from shardlog.sources.record_log import write_log
 
 SHARDS5 = shard_bounds(5)
 SHARDS500 = shard_bounds(500)

@@ -10,22 +10,9 @@ from shardlog.functions.offsets import from_predicate, until_predicate
 from shardlog.functions.shards import shard_of
 from shardlog.model import ERROR_NO_SHARD, ERROR_TOO_MANY_SHARDS, Offset
 
-# Batches written by one task in one sorted run.
-BLOCK = 1000
 BROADCAST_BATCHES_LIMIT = 100_000
 
 
-def stamp_publish_time(records: DataFrame, parts: list[str], ts: str = "ts") -> DataFrame:
-    """Add ``publish_time``, the time of the latest record of the batch.
-
-    Rows are spread by block of batches, not by shard, so a hot shard is many
-    tasks, and each task holds whole runs of batches ready to be written.
-    """
-    blocks = records.withColumn("_block", F.floor(F.col("batch_id") / BLOCK)).repartition(*parts, "_block")
-    batch = W.partitionBy(*parts, "_block", "batch_id")
-    return blocks.withColumn("publish_time", F.max(ts).over(batch)).drop("_block")
-
-
 def write_log(records: DataFrame, path: str, parts: list[str] = ["shard_id"], mode: str = "append") -> None:  # noqa: B006
     """Append numbered records to a log, one directory per shard."""
     records.sortWithinPartitions(*parts, "batch_id", "batch_index").write.mode(mode).partitionBy(*parts).parquet(path)

@@ -72,10 +72,7 @@ def deliverer(sub: Subscription, out: str, open_log: Callable[[SparkSession], Da
             if free <= 0:
                 break
             turn += 1
-            queued = log.join(cursors, "shard_id", "left").where(
-                "_batch is null or batch_id > _batch or (batch_id = _batch and batch_index > _index)"
-            )
-            new = take_in_order(queued.drop("_batch", "_index"), free, QUEUE_ORDER).withColumn("attempt", F.lit(1))
+            new = take_in_order(_queued(log, cursors), free, QUEUE_ORDER).withColumn("attempt", F.lit(1))
             new = _save(new, f"{out}/deliveries/epoch={epoch}/round={turn}")
             if new.isEmpty():
                 break
@@ -93,6 +90,20 @@ def deliverer(sub: Subscription, out: str, open_log: Callable[[SparkSession], Da
     return step
 
 
+def _queued(log: DataFrame, cursors: DataFrame) -> DataFrame:
+    """Records behind the cursors. Shards begun and shards not yet begun are read
+    apart, so that the first lie behind the lowest cursor already in the scan."""
+    at = cursors.collect()  # a row per shard
+    if not at:
+        return log
+    begun = F.col("shard_id").isin([r["shard_id"] for r in at])
+    rest = log.where(begun & (F.col("batch_id") >= min(r["_batch"] for r in at)))
+    rest = rest.join(F.broadcast(cursors), "shard_id").where(
+        "batch_id > _batch or (batch_id = _batch and batch_index > _index)"
+    )
+    return rest.drop("_batch", "_index").unionByName(log.where(~begun))
+
+
 def _save(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shardlog.operators.batching import Rule, cut_batches
-from shardlog.sources.record_log import stamp_publish_time
+from shardlog.operators.batching import Rule, cut_batches, stamp_publish_time
 
 STATE = "t0 bigint, held bigint, size bigint, batches bigint, records bigint"
 
@@ -47,7 +46,7 @@ def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str,
         types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*parts).schema)
         state = _read_state(spark, out, epoch - 1, parts, types)
         cut = cut_batches(df, parts, ts, order, n_bytes, rule, state)
-        cut.records.drop("rn").write.mode("overwrite").parquet(f"{out}/records/epoch={epoch}")
+        cut.records.drop("rn", "publish_time").write.mode("overwrite").parquet(f"{out}/records/epoch={epoch}")
         state.update({t[: len(parts)]: tuple(t[len(parts):]) for t in cut.tails})
         rows = [(*p, *s, batches, n) for p, (s, batches, n) in state.items()]
         spark.createDataFrame(rows, f"{types}{STATE}").coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")
