@@ -49,20 +49,21 @@ def attribute(attributes: Column, name: str) -> Column:
 
 # The codecs run once per packed batch, not per record, on batches of up to a
 # megabyte. A plain UDF hands Python about a hundred of them at a time, where an
-# Arrow batch would put ten thousand, gigabytes, into one worker's memory.
+# Arrow batch would put ten thousand, gigabytes, into one worker's memory. They
+# are marked as not deterministic so that Catalyst, which copies an expression to
+# each place that uses it, runs them once per batch.
 @F.udf(T.BinaryType())
-def compress(payload, codec):
-    if payload is None or codec == "none":
-        return payload
+def _compress(payload, codec):
+    if payload is None:
+        return None
     data = bytes(payload)
     return gzip.compress(data, mtime=0) if codec == "gzip" else zstandard.ZstdCompressor().compress(data)
 
 
 @F.udf(T.BinaryType())
-def decompress(payload, codec):
-    """Null when the bytes are not a whole payload of that codec."""
-    if payload is None or codec == "none":
-        return payload
+def _decompress(payload, codec):
+    if payload is None:
+        return None
     try:
         data = bytes(payload)
         if codec == "gzip":
@@ -74,3 +75,14 @@ def decompress(payload, codec):
     except (OSError, EOFError, zlib.error, zstandard.ZstdError):
         pass
     return None
+
+
+def compress(payload: Column, codec: str) -> Column:
+    return payload if codec == "none" else _compress.asNondeterministic()(payload, F.lit(codec))
+
+
+def decompress(payload: Column, codec: Column) -> Column:
+    """Null when the bytes are not a whole payload of that codec. Uncompressed
+    payloads stay out of Python."""
+    plain = codec == "none"
+    return F.coalesce(_decompress.asNondeterministic()(F.when(~plain, payload), codec), F.when(plain, payload))

@@ -10,12 +10,12 @@ def reconcile(produced: DataFrame, consumed: DataFrame, id_cols: list[str]) -> D
     """Ids that differ between the two, as multisets: missing (never consumed),
     extra (never produced) or duplicate (consumed more often than produced).
 
-    Copies are counted before the join, so an id repeated any number of times is
-    one row on each side.
+    Both sides are counted in one aggregation, which adds up copies before the
+    shuffle: an id repeated any number of times is one row of each task.
     """
-    p = produced.groupBy(*id_cols).agg(F.count("*").alias("n_produced"))
-    c = consumed.groupBy(*id_cols).agg(F.count("*").alias("n_consumed"))
-    both = p.join(c, id_cols, "full").fillna(0, ["n_produced", "n_consumed"])
+    side = lambda df, p, c: df.select(*id_cols, F.lit(p).alias("_p"), F.lit(c).alias("_c"))
+    counts = side(produced, 1, 0).unionByName(side(consumed, 0, 1)).groupBy(*id_cols)
+    both = counts.agg(F.sum("_p").alias("n_produced"), F.sum("_c").alias("n_consumed"))
     status = (
         F.when(F.col("n_produced") == 0, "extra")
         .when(F.col("n_consumed") < F.col("n_produced"), "missing")

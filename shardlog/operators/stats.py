@@ -28,6 +28,14 @@ def to_long(wide: DataFrame, stats: list[str], entity: str) -> DataFrame:
     return wide.select(F.col(entity).alias("entity"), pairs.alias("p")).select("p.stat", "entity", "p.value")
 
 
+def _side_by_side(counted: list[DataFrame], entity: str, stats: list[str]) -> DataFrame:
+    """Counts of several logs, each a row per entity, as one row per entity."""
+    rows = counted[0]
+    for more in counted[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return rows.groupBy(entity).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in stats])
+
+
 def stream_counters(appends: DataFrame, reads: DataFrame) -> DataFrame:
     """Six counters per stream. ``appends`` has a row per record with ``error``,
     null where its batch was stored; a batch is one append request."""
@@ -42,7 +50,7 @@ def stream_counters(appends: DataFrame, reads: DataFrame) -> DataFrame:
         F.sum("n_bytes").alias("read_in_bytes"),
         F.count_if(_is_batch()).alias("read_in_batches"),
     )
-    return to_long(wrote.join(read, "stream_name", "full").fillna(0), STREAM_STATS, "stream_name")
+    return to_long(_side_by_side([wrote, read], "stream_name", STREAM_STATS), STREAM_STATS, "stream_name")
 
 
 def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataFrame:
@@ -59,13 +67,10 @@ def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataF
         F.count_if(~F.col("failed")).alias("resend_records"),
         F.count_if("failed").alias("resend_records_failed"),
     )
-    wide = (
-        firsts.join(again, "sub_id", "full")
-        .join(acks.groupBy("sub_id").agg(F.count("*").alias("received_acks")), "sub_id", "full")
-        .join(unacked(sends, acks).groupBy("sub_id").agg(F.count("*").alias("check_list_size")), "sub_id", "full")
-        .join(spark.createDataFrame(requests, "sub_id string, request_messages bigint"), "sub_id", "full")
-    )
-    return to_long(wide.fillna(0), SUB_STATS, "sub_id")
+    got = acks.groupBy("sub_id").agg(F.count("*").alias("received_acks"))
+    waiting = unacked(sends, acks).groupBy("sub_id").agg(F.count("*").alias("check_list_size"))
+    asked = spark.createDataFrame(requests, "sub_id string, request_messages bigint")
+    return to_long(_side_by_side([firsts, again, got, waiting, asked], "sub_id", SUB_STATS), SUB_STATS, "sub_id")
 
 
 def requested_stats(stats: DataFrame, wanted: list[str]) -> DataFrame:

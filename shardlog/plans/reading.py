@@ -13,7 +13,7 @@ from shardlog.operators.reconcile import reconcile
 from shardlog.operators.retention import keep_backlog, parse_ids, trim_points, trim_shard, trim_shards, trim_stream
 from shardlog.plans.registry import query
 from shardlog.plans.relations import NUMBERED_SQL, SHARDS5, STREAMS_SQL, as_of, log, records, rid, stream_log
-from shardlog.functions.ids import record_id_text
+from shardlog.functions.ids import parse_record_id, record_id_text
 from shardlog.functions.shards import assign_shards
 from shardlog.sources.record_log import (
     first_batches, first_records_per_shard, read_by_key, read_shard, read_shard_batches, read_single_shard, read_stream,
@@ -196,8 +196,8 @@ def _(spark, sf):
     texts = log(spark, sf).select(
         F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("x"), record_id_text())).otherwise(record_id_text()).alias("rid")
     )
-    good, bad = parse_ids(texts)
-    return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)), allowMissingColumns=True)
+    parsed = texts.select("rid", parse_record_id(F.col("rid")).alias("id"))
+    return parsed.select("rid", F.col("id").isNotNull().alias("valid"), "id.*")
 
 
 @query(
