@@ -12,7 +12,7 @@ from shardlog.model import ERROR_NO_SHARD, check_positive
 
 HASH_SPACE = 1 << 128
 PREFIX_DIGITS = 4
-ARRAY_FORM_LIMIT = 64
+CASES_LIMIT = 64
 BROADCAST_SHARDS_LIMIT = 50_000
 
 
@@ -42,13 +42,16 @@ def shards_frame(spark: SparkSession, bounds: list[tuple[int, str, str]], stream
     )
 
 
-def shard_by_array(hashed: Column, bounds: list[tuple[int, str, str]]) -> Column:
-    """Greatest start key not above the hash, as one expression and no join.
+def shard_by_cases(hashed: Column, bounds: list[tuple[int, str, str]]) -> Column:
+    """Greatest start key not above the hash, as one compiled expression, no join.
 
     The end key plays no part. Null when the hash lies below every start key.
     """
-    starts = F.array(*[F.struct(F.lit(s).alias("start"), F.lit(i).cast("bigint").alias("id")) for i, s, _ in bounds])
-    return F.array_max(F.filter(starts, lambda s: s["start"] <= hashed))["id"]
+    ordered = sorted(((start, shard) for shard, start, _ in bounds), reverse=True)
+    found = F.when(hashed >= ordered[0][0], F.lit(ordered[0][1]).cast("bigint"))
+    for start, shard in ordered[1:]:
+        found = found.when(hashed >= start, F.lit(shard).cast("bigint"))
+    return found
 
 
 def split_unassigned(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,8 +82,8 @@ def prefix_table(spark: SparkSession, bounds: list[tuple[int, str, str]]) -> Dat
 
 def assign_shards(df: DataFrame, bounds: list[tuple[int, str, str]], hash_col: str = "hash_key", form: str = "auto") -> DataFrame:
     """Add ``shard_id`` by floor lookup of ``hash_col``; null when no shard fits."""
-    if form == "array" or (form == "auto" and len(bounds) <= ARRAY_FORM_LIMIT):
-        return df.withColumn("shard_id", shard_by_array(F.col(hash_col), bounds))
+    if form == "cases" or (form == "auto" and len(bounds) <= CASES_LIMIT):
+        return df.withColumn("shard_id", shard_by_cases(F.col(hash_col), bounds))
     table = prefix_table(df.sparkSession, bounds)
     if len(bounds) <= BROADCAST_SHARDS_LIMIT:  # so at most 16^4 + 50,000 rows
         table = F.broadcast(table)

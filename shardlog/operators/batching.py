@@ -126,6 +126,17 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return pdf["_us"].to_numpy(), np.concatenate([[0], np.cumsum(pdf["_bytes"].to_numpy())])
 
 
+def _closing(ts: np.ndarray, ends: np.ndarray, rule: Rule, n: int) -> np.ndarray:
+    """Which of the last ``n`` records can close a batch by size: the shortest run
+    up to the record that is full must fit between two ticks of the timer, or
+    reach back before the chunk."""
+    last = np.arange(len(ts) - 1, max(-1, len(ts) - 1 - n), -1)
+    if rule.timeout_us <= 0:
+        return last
+    first = np.maximum(last - rule.count + 1, np.searchsorted(ends, ends[last + 1] - rule.n_bytes, "right") - 1)
+    return last[(first < 0) | (ts[last] - ts[np.maximum(first, 0)] < rule.timeout_us)]
+
+
 def _propose(pdf: pd.DataFrame, rule: Rule, key: list[str], limit: int) -> pd.DataFrame:
     """States a chunk can leave behind if a batch begins at one of its last
     records, or if the timer has run undisturbed since the first record."""
@@ -135,7 +146,7 @@ def _propose(pdf: pd.DataFrame, rule: Rule, key: list[str], limit: int) -> pd.Da
         root = int(pdf["_root"].iloc[0])
         ticked = root + rule.timeout_us * ((int(ts[0]) - root) // rule.timeout_us)
         states.add(_fold(ts, ends, rule, (ticked, 0, 0), 0, closes)[2])
-    for last in range(m - 1, max(-1, m - 1 - min(rule.count, limit)), -1):
+    for last in _closing(ts, ends, rule, min(rule.count, limit)):
         closed_at = int(ts[last]) if rule.timeout_us > 0 else 0
         states.add(_fold(ts, ends, rule, (closed_at, 0, 0), last + 1, closes)[2])
     return _rows(pdf, key, list(states), STATE)
