@@ -60,7 +60,7 @@ def read_batched(spark: SparkSession, out: str, schema: StructType, parts: list[
     ``flush`` counts the batches still open as closed, as stopping the producer
     does; otherwise they are left out until they close.
     """
-    full = StructType(schema.fields).add("batch_id", "long").add("batch_index", "integer").add("epoch", "integer")
+    full = StructType(list(schema.fields)).add("batch_id", "long").add("batch_index", "integer").add("epoch", "integer")
     records = spark.read.schema(full).option("basePath", f"{out}/records").parquet(f"{out}/records")
     if not flush:
         types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in schema if f.name in parts)

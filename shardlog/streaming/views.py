@@ -29,7 +29,7 @@ def keep_view(grouped: DataFrame, changes: str, checkpoint: str) -> StructType:
 def read_view(spark: SparkSession, changes: str, schema: StructType, keys: list[str]) -> DataFrame:
     """The view as it is now: the latest values of each group."""
     values = [f.name for f in schema if f.name not in keys]
-    rows = spark.read.schema(StructType(schema.fields).add("epoch", "integer")).option("basePath", changes).parquet(changes)
+    rows = spark.read.schema(StructType(list(schema.fields)).add("epoch", "integer")).option("basePath", changes).parquet(changes)
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v"))
     return latest.select(*keys, "v.*")
 
