@@ -238,7 +238,11 @@ def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[s
     totals = chunks.groupBy(*parts).agg(F.max(F.col("_before") + F.col("_rows")).alias("n")).collect()  # a row per part
     tails = [(*r[:-1], (0, r["n"] % count, 0), -(-r["n"] // count), r["n"]) for r in totals]
     records = _count_ids(number_rows(table, chunks, parts).drop(CHUNK), count)
-    return Cut(stamp_publish_time(records, parts, ts) if ts else records, tails)
+    if ts and count == 1:
+        records = records.withColumn("publish_time", F.col(ts))
+    elif ts:
+        records = stamp_publish_time(records, parts, ts)
+    return Cut(records, tails)
 
 
 @dataclass
@@ -267,7 +271,9 @@ def cut_batches(
     closed before the next record is added.
 
     ``ts`` may be None, for ``order`` alone, if the rule has no timer.
-    ``resume`` continues parts cut before: part -> (state, batches, records).
+    ``resume`` continues parts cut before: part -> (state, batches, records); a
+    state of None begins a new batch. With the count rule alone the batches are
+    told from the records, which then must be a multiple of the count if new.
     Adds ``rn``, ``batch_id`` (from 1), ``batch_index`` (from 0) and, if there is
     ``ts``, ``publish_time``: the time of the latest record of the batch so far.
     """
@@ -293,7 +299,8 @@ def cut_batches(
     lasts: dict[tuple, tuple[int, int]] = {}
     for r in starts.collect():
         part = tuple(r[p] for p in parts)
-        begin[part] = resume.get(part, ((r["_root"] if rule.timeout_us > 0 else 0, 0, 0), 0, 0))
+        state, batches, records = resume.get(part, (None, 0, 0))
+        begin[part] = (state or (r["_root"] if rule.timeout_us > 0 else 0, 0, 0), batches, records)
         lasts[part] = (r["_last"], r["_rows"])
     begin_rows = spark.createDataFrame(
         [(*p, *s, b, n) for p, (s, b, n) in begin.items()], f"{part_types}{STATE_TYPE}, batches bigint, records bigint"
@@ -328,11 +335,10 @@ def cut_batches(
         wanted = ends.unionByName(guesses.join(known.select(*key, *STATE), [*key, *STATE], "left_anti"))
 
     at_groups = spark.createDataFrame(entries, f"{part_types}_group bigint, {STATE_TYPE}, batches bigint")
-    entered = store(
+    entered = (
         grouped.groupBy(*parts, "_group")
         .cogroup(at_groups.groupBy(*parts, "_group"))
-        .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint"),
-        "entered",
+        .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint")
     )
     shifted = chunks
     if resume:
@@ -360,8 +366,10 @@ def _shift(states: DataFrame, numbers: DataFrame, parts: list[str]) -> DataFrame
 
 
 def _fold_chunks(narrow: DataFrame, wanted: DataFrame, rule: Rule, key: list[str], part_types: str, all_chunks: bool) -> DataFrame:
-    wanted = store(wanted, "wanted")
-    rows = narrow if all_chunks else narrow.join(wanted.select(*key).distinct(), key, "left_semi")
+    rows = narrow
+    if not all_chunks:
+        wanted = store(wanted, "wanted")
+        rows = narrow.join(wanted.select(*key).distinct(), key, "left_semi")
     folded = (
         rows.groupBy(*key)
         .cogroup(wanted.groupBy(*key))

@@ -14,11 +14,12 @@ from shardlog.operators.batching import Rule, batch_by_count, cut_batches
 from shardlog.operators.packing import batch_status, batch_summary, pack_batches, split_by_flag, typed_payload, unpack_batches
 from shardlog.plans.registry import query
 from shardlog.plans.relations import (
-    NUMBERED_SQL, REC_SQL, SHARDS5, SHARDS500, log, numbered, records, rid, shard_values, sharded, table,
+    NUMBERED_SQL, REC_SQL, SHARDS5, SHARDS500, log, records, rid, shard_values, sharded, table,
 )
 from shardlog.session import scratch_path, use_utc
+from shardlog.sources.append import SINGLE, append
 from shardlog.sources.export import export_records, import_records
-from shardlog.sources.record_log import append_results, shard_profile, write_log
+from shardlog.sources.record_log import append_results, shard_profile
 
 # Limits of the bytes and time queries, small enough to close many batches.
 BYTES_RULE = Rule(count=100, n_bytes=500)
@@ -303,20 +304,15 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """K1: each record a batch of its own."""
-    out = scratch_path(spark, "append-single")
-    cut = batch_by_count(sharded(spark, sf), ["shard_id"], ["ts", "event_id"], 1)
-    rows = cut.withColumn("publish_time", F.col("ts")).drop("rn")
-    write_log(rows, out)
-    return spark.read.schema(rows.schema).parquet(out).select("event_id", rid())
+    done = append(records(spark, sf), scratch_path(spark, "append-single"), SHARDS5, SINGLE)
+    return done.select("event_id", "rid")
 
 
 @query("append_batched", f"{NUMBERED_SQL} SELECT event_id, rid, n_bytes, publish_time FROM numbered")
 def _(spark, sf):
     """K2: shard, batch, number and write; read back from the written log."""
-    out = scratch_path(spark, "append-batched")
-    rows = numbered(spark, sf)
-    write_log(rows, out)
-    return spark.read.schema(rows.schema).parquet(out).select("event_id", rid(), "n_bytes", "publish_time")
+    done = append(records(spark, sf), scratch_path(spark, "append-batched"), SHARDS5, Rule(count=100))
+    return done.select("event_id", "rid", "n_bytes", "publish_time")
 
 
 @query(
@@ -413,3 +409,16 @@ def _(spark, sf):
     out = scratch_path(spark, "export")
     export_records(rows, out, "json")
     return import_records(spark, out, rows.schema, "json").withColumn("payload", F.col("payload").cast("string"))
+
+
+@query(
+    "append_sized",
+    f"""{REC_SQL}, {fold_sql(_SIZED, 'ts, event_id', 100, 500, 0, 'event_id, seq.shard_id, ts')}
+    SELECT event_id, concat_ws('-', shard_id, batch_id, batch_index) AS rid,
+           max(ts) OVER (PARTITION BY shard_id, batch_id) AS publish_time
+    FROM cut""",
+)
+def _(spark, sf):
+    """K2 with the bytes limit: batches of up to 100 records or 500 bytes, written and read back."""
+    done = append(records(spark, sf), scratch_path(spark, "append-sized"), SHARDS5, BYTES_RULE)
+    return done.select("event_id", "rid", "publish_time")

@@ -52,7 +52,7 @@ def deliverer(sub: Subscription, out: str, open_log: Callable[[SparkSession], Da
     def step(signals: DataFrame, epoch: int) -> None:
         spark = signals.sparkSession
         log = open_log(spark).select(*ID_COLUMNS, F.col("publish_time").alias("delivered_at"))
-        acks = signals.where("kind = 'ack'").select(*ID_COLUMNS).distinct()
+        acks = _save(signals.where("kind = 'ack'").select(*ID_COLUMNS).distinct(), f"{out}/work/epoch={epoch}/acks")
         held, cursors, clock = _state(spark, out, epoch - 1)
         now = signals.agg(F.max("at")).first()[0]
         clock = max(t for t in (clock, now) if t is not None) if clock or now else None

@@ -31,6 +31,11 @@ def run_available(writer, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def run_steadily(writer, checkpoint: str, every: str = "10 seconds"):
+    """Start a streaming query that goes on until stopped; returns it."""
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
 def _read_state(spark: SparkSession, out: str, epoch: int, parts: list[str], types: str) -> dict:
     if epoch < 0:
         return {}

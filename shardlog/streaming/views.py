@@ -34,11 +34,15 @@ def read_view(spark: SparkSession, changes: str, schema: StructType, keys: list[
     return latest.select(*keys, "v.*")
 
 
-def daily_totals(stream: DataFrame, ts: str, keys: list[str], n_bytes: str, late: str = "1 day") -> DataFrame:
-    """Records and bytes per day and key; days stay open ``late`` past the
-    newest record. Zone-less times are taken as UTC."""
-    at = F.col(ts).cast("timestamp")
-    timed = stream.withColumn(ts, at).withWatermark(ts, late)
+def daily_totals(stream: DataFrame, ts: str, keys: list[str], n_bytes: str, late: str | None = None) -> DataFrame:
+    """Records and bytes per day and key. Zone-less times are taken as UTC.
+
+    Every record counts, however late, at the price of a state row kept for each
+    day and key. ``late`` closes days that long past the newest record instead,
+    which bounds the state and ignores records that come later still.
+    """
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    timed = timed.withWatermark(ts, late) if late else timed
     return timed.groupBy(F.window(ts, "1 day"), *keys).agg(F.count("*").alias("n"), F.sum(n_bytes).alias("bytes")).select(
         _day(), *keys, "n", "bytes"
     )

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from shardlog.functions.ids import parse_record_id, record_id_text
 from shardlog.functions.shards import assign_shards, hash_key, shard_bounds, shard_of, shards_frame
 from shardlog.model import Offset, check_stream, check_subscription
-from shardlog.operators.batching import batch_by_count, stamp_publish_time
+from shardlog.operators.batching import Rule, batch_by_count, stamp_publish_time
 from shardlog.operators.reconcile import reconcile
 from shardlog.operators.retention import keep_backlog, parse_ids, trim_points, trim_shard, trim_shards, trim_stream
 from shardlog.session import scratch_path
 from shardlog.sources import record_log as rl
+from shardlog.sources.append import append
 from shardlog.sources.export import export_records, import_records
 
 T0 = datetime(2024, 1, 1)
@@ -199,3 +200,27 @@ def test_rejected_subscription_options(bad):
     check_subscription(100, 1000)
     with pytest.raises(ValueError):
         check_subscription(**bad)
+
+
+@pytest.mark.parametrize("rule", [Rule(count=7), Rule(count=9, n_bytes=40)])
+def test_appends_go_on_from_the_tails(spark, rule):
+    rows = spark.range(200).select(
+        F.col("id").alias("event_id"),
+        F.concat(F.lit("k"), F.col("id") % 20).alias("key"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("ts"),
+        (F.col("id") % 11).alias("n_bytes"),
+    )
+    bounds, path = shard_bounds(4)[1:], scratch_path(spark, "twice")
+    first = append(rows.where("event_id < 90"), path, bounds, rule)
+    seen = {r["event_id"]: (r["rid"], r["error"]) for r in first.collect()}
+    log = spark.read.parquet(path).cache()
+    tails = {r["shard_id"]: r["batch_id"] for r in rl.tail_ids(log).collect()}
+    later = append(rows.where("event_id >= 90"), path, bounds, rule, log=log).collect()
+    assert len(seen) == 90 and len(later) == 110
+    assert all((rid is None) == (error == "no shard for key") for rid, error in seen.values())
+    got = [tuple(map(int, r["rid"].split("-"))) for r in later if r["rid"]]
+    for shard, tail in tails.items():
+        mine = sorted(g[1:] for g in got if g[0] == shard)
+        assert mine[0] == (tail + 1, 0) and {b for b, _ in mine} == set(range(tail + 1, mine[-1][0] + 1))
+    stored = [r["event_id"] for r in spark.read.schema(log.schema).parquet(path).collect()]
+    assert len(stored) == len(set(stored)) == sum(1 for rid, _ in seen.values() if rid) + len(got)
