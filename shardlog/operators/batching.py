@@ -16,7 +16,9 @@ Steps 1, 2 and 4 read times and sizes only; payloads are shuffled once, at the e
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -242,16 +244,21 @@ def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[s
         records = records.withColumn("publish_time", F.col(ts))
     elif ts:
         records = stamp_publish_time(records, parts, ts)
-    return Cut(records, tails)
+    return Cut(tails, lambda: records)
 
 
 @dataclass
 class Cut:
-    """Result of ``cut_batches``: records with ids, and per part the state after
-    its last record with the number of batches begun so far."""
+    """Result of ``cut_batches``: per part the state after its last record with
+    the numbers of batches and records so far; and, placed when asked for, the
+    records with their ids."""
 
-    records: DataFrame
     tails: list[tuple]
+    place: Callable[[], DataFrame]
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return self.place()
 
 
 def cut_batches(
@@ -285,7 +292,7 @@ def cut_batches(
         return _cut_by_count(df, parts, ts, order, rule.count, resume)
     us = F.lit(0).cast("bigint") if ts is None else F.unix_micros(F.col(ts).cast("timestamp"))
     size = F.coalesce(F.col(n_bytes).cast("bigint"), F.lit(0))
-    table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", size), parts, order, "cut")
+    table, chunks = lay_out(df.withColumn("_us", us).withColumn("_bytes", size), parts, order, "cut", [F.min("_us").alias("_root")])
     key = [*parts, "_seq"]
     part_types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)
     spark = df.sparkSession
@@ -293,8 +300,7 @@ def cut_batches(
     narrow = table.select(*parts, CHUNK, PLACE, "_us", "_bytes").join(numbers, [*parts, CHUNK])
 
     # What each part starts from, a row per part.
-    starts = table.groupBy(*parts).agg(F.min("_us").alias("_root"), F.count("*").alias("_rows"))
-    starts = starts.join(chunks.groupBy(*parts).agg(F.max("_seq").alias("_last")), parts)
+    starts = chunks.groupBy(*parts).agg(F.min("_root").alias("_root"), F.sum("_rows").alias("_rows"), F.max("_seq").alias("_last"))
     begin: dict[tuple, tuple[State, int, int]] = {}
     lasts: dict[tuple, tuple[int, int]] = {}
     for r in starts.collect():
@@ -334,28 +340,31 @@ def cut_batches(
         guesses = _shift(exits, numbers, parts).join(beyond, parts).where("_seq > _from").drop("_from")
         wanted = ends.unionByName(guesses.join(known.select(*key, *STATE), [*key, *STATE], "left_anti"))
 
-    at_groups = spark.createDataFrame(entries, f"{part_types}_group bigint, {STATE_TYPE}, batches bigint")
-    entered = (
-        grouped.groupBy(*parts, "_group")
-        .cogroup(at_groups.groupBy(*parts, "_group"))
-        .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint")
-    )
-    shifted = chunks
-    if resume:
-        moved = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
-        shifted = store(moved.withColumn("_before", F.col("_before") + F.col("records")).drop("records"), "chunks")
-    placed_entries = entered.join(shifted.select(*key, (F.col("_before") + 1).alias("first_rn")), key)
-    begins = (
-        narrow.groupBy(*key)
-        .cogroup(placed_entries.groupBy(*key))
-        .applyInPandas(lambda pdf, entry: _begins(pdf, entry, rule, key), f"{part_types}_seq bigint, _start bigint, _batch bigint, _until bigint")
-    )
-    whole = W.partitionBy(*parts, "_batch")
-    published = begins.withColumn("publish_time", F.timestamp_micros(F.max("_until").over(whole)).cast("timestamp_ntz"))
-    marks = store(published.join(numbers, key).drop("_seq", "_until"), "begins")
-    placed = number_rows(table.drop("_us", "_bytes"), shifted, parts)
-    records = _spread(placed, marks, [*parts, CHUNK])
-    return Cut(records if ts else records.drop("publish_time"), tails)
+    def place() -> DataFrame:
+        at_groups = spark.createDataFrame(entries, f"{part_types}_group bigint, {STATE_TYPE}, batches bigint")
+        entered = (
+            grouped.groupBy(*parts, "_group")
+            .cogroup(at_groups.groupBy(*parts, "_group"))
+            .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint")
+        )
+        shifted = chunks
+        if resume:
+            moved = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
+            shifted = store(moved.withColumn("_before", F.col("_before") + F.col("records")).drop("records"), "chunks")
+        placed_entries = entered.join(shifted.select(*key, (F.col("_before") + 1).alias("first_rn")), key)
+        begins = (
+            narrow.groupBy(*key)
+            .cogroup(placed_entries.groupBy(*key))
+            .applyInPandas(lambda pdf, entry: _begins(pdf, entry, rule, key), f"{part_types}_seq bigint, _start bigint, _batch bigint, _until bigint")
+        )
+        whole = W.partitionBy(*parts, "_batch")
+        published = begins.withColumn("publish_time", F.timestamp_micros(F.max("_until").over(whole)).cast("timestamp_ntz"))
+        marks = store(published.join(numbers, key).drop("_seq", "_until"), "begins")
+        placed = number_rows(table.drop("_us", "_bytes"), shifted, parts)
+        records = _spread(placed, marks, [*parts, CHUNK])
+        return records if ts else records.drop("publish_time")
+
+    return Cut(tails, place)
 
 
 def _shift(states: DataFrame, numbers: DataFrame, parts: list[str]) -> DataFrame:

@@ -68,37 +68,33 @@ def unpack_batches(packed: DataFrame, parts: list[str], on_error: str = "skip")
 
     ``on_error="fail"`` raises in the job instead of setting bad batches aside.
     """
-    opened = (
-        batch_status(packed)
-        .withColumn("_body", decompress(F.col("payload"), F.col("compression")))
-        .withColumn("_records", F.from_json(F.col("_body").cast("string"), f"array<{RECORD}>", {"mode": "PERMISSIVE"}))
-        .withColumn(
-            "status",
-            F.when(F.col("status") != "ok", F.col("status"))
-            .when(F.col("_body").isNull(), ERROR_DECOMPRESS)
-            .when(F.col("_records").isNull() | (F.size("_records") != F.size("record_ids")), ERROR_DECODE)
-            .otherwise("ok"),
-        )
-    )
-    good = opened.where("status = 'ok'")
+    checked = batch_status(packed).withColumn("_body", decompress(F.col("payload"), F.col("compression")))
+    status = F.when((F.col("status") == "ok") & F.col("_body").isNull(), ERROR_DECOMPRESS).otherwise(F.col("status"))
+    # Parsed once: the lambda holds the records while their number is checked.
+    parsed = F.array(F.from_json(F.col("_body").cast("string"), f"array<{RECORD}>", {"mode": "PERMISSIVE"}))
+    pair = lambda rid, rec: F.struct(rid.alias("id"), rec.alias("rec"))
+    pairs = F.transform(parsed, lambda rs: F.when(F.size(rs) == F.size("record_ids"), F.zip_with("record_ids", rs, pair)))[0]
+
+    opened = checked.withColumn("status", status)
     if on_error == "fail":
-        good = opened.where(
-            F.when(F.col("status") == "ok", True).otherwise(F.raise_error(F.concat(F.lit("batch: "), F.col("status"))).cast("boolean"))
-        )
+        stop = lambda text: F.raise_error(F.concat(F.lit("batch: "), text))
+        opened = opened.where(F.when(F.col("status") == "ok", True).otherwise(stop(F.col("status")).cast("boolean")))
+        pairs = F.coalesce(pairs, stop(F.lit(ERROR_DECODE)))
     elif on_error != "skip":
         raise ValueError(f"on_error must be skip or fail, got {on_error!r}")
-    zipped = good.select(*parts, "batch_id", "publish_time", F.explode(F.arrays_zip("record_ids", "_records")).alias("r"))
+    zipped = opened.where("status = 'ok'").select(*parts, "batch_id", "publish_time", F.explode(pairs).alias("r"))
     records = zipped.select(
         *parts,
         "batch_id",
-        F.col("r.record_ids.batch_index").alias("batch_index"),
-        F.col("r._records.key").alias("key"),
-        F.col("r._records.flag").alias("flag"),
-        F.col("r._records.attributes").alias("attributes"),
-        F.col("r._records.payload").alias("payload"),
+        F.col("r.id.batch_index").alias("batch_index"),
+        F.col("r.rec.key").alias("key"),
+        F.col("r.rec.flag").alias("flag"),
+        F.col("r.rec.attributes").alias("attributes"),
+        F.col("r.rec.payload").alias("payload"),
         "publish_time",
     )
-    return records, opened.where("status <> 'ok'").drop("_body", "_records")
+    undecoded = F.when((F.col("status") == "ok") & pairs.isNull(), ERROR_DECODE).otherwise(F.col("status"))
+    return records, opened.withColumn("status", undecoded).where("status <> 'ok'").drop("_body")
 
 
 def split_by_flag(records: DataFrame) -> tuple[DataFrame, DataFrame]:

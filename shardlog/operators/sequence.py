@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,13 +14,15 @@ PLACE = "_place"
 CHUNK_BITS = 20
 
 
-def lay_out(df: DataFrame, parts: list[str], order: list[str], name: str = "layout") -> tuple[DataFrame, DataFrame]:
+def lay_out(
+    df: DataFrame, parts: list[str], order: list[str], name: str = "layout", summary: list[Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Sort ``df`` by ``parts + order`` over the cluster and write it down.
 
     Returns the written table, with the sorted run each row fell into (``_chunk``,
     at most 2^20 rows) and its place in the order (``_place``), and one summary row
     per (parts, chunk): rows in it, first place, rows of the same parts before it
-    and its number in the part from 0 (``_seq``).
+    and its number in the part from 0 (``_seq``), with the aggregates in ``summary``.
 
     ``order`` must be unique within ``parts``. Range partitioning cuts a part of
     any size into equal ranges, so one hot shard is no hot task. Partition numbers
@@ -39,7 +41,7 @@ def lay_out(df: DataFrame, parts: list[str], order: list[str], name: str = "layo
     in_order = W.partitionBy(*parts).orderBy(CHUNK)
     chunks = (
         table.groupBy(*parts, CHUNK)
-        .agg(F.count("*").alias("_rows"), F.min(PLACE).alias("_first"))
+        .agg(F.count("*").alias("_rows"), F.min(PLACE).alias("_first"), *(summary or []))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("_seq", (F.row_number().over(in_order) - 1).cast("bigint"))
     )
@@ -49,9 +51,9 @@ def lay_out(df: DataFrame, parts: list[str], order: list[str], name: str = "layo
 def number_rows(table: DataFrame, chunks: DataFrame, parts: list[str], out: str = "rn") -> DataFrame:
     """1-based position of each row of a laid-out table within its part."""
     return (
-        table.join(chunks, [*parts, CHUNK])
+        table.join(chunks.select(*parts, CHUNK, "_first", "_before"), [*parts, CHUNK])
         .withColumn(out, F.col("_before") + F.col(PLACE) - F.col("_first") + 1)
-        .drop("_rows", "_first", "_before", "_seq", PLACE)
+        .drop("_first", "_before", PLACE)
     )
 
 

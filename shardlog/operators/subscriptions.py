@@ -116,8 +116,12 @@ def batch_acks(acks: DataFrame, count: int = ACK_BATCH_COUNT, seconds: int = ACK
     named = acks.withColumnsRenamed({"batch_id": "_b", "batch_index": "_i"})
     rule = Rule(count, timeout_us=seconds * 1_000_000)
     cut = cut_batches(named.withColumn("_none", F.lit(0)), ["sub_id"], "acked_at", ["shard_id", "_b", "_i"], "_none", rule)
-    out = cut.records.withColumnsRenamed({"batch_id": "request_id", "batch_index": "request_index"})
-    return Cut(out.withColumnsRenamed({"_b": "batch_id", "_i": "batch_index"}).drop("_none", "rn", "publish_time"), cut.tails)
+
+    def place() -> DataFrame:
+        out = cut.records.withColumnsRenamed({"batch_id": "request_id", "batch_index": "request_index"})
+        return out.withColumnsRenamed({"_b": "batch_id", "_i": "batch_index"}).drop("_none", "rn", "publish_time")
+
+    return Cut(cut.tails, place)
 
 
 def consumers_of(deliveries: DataFrame) -> DataFrame:
