@@ -33,9 +33,10 @@ from shardlog.session import store
 # State between two records: (timer start in us, records in the open batch, their bytes).
 State = tuple[int, int, int]
 NO_LIMIT = 1 << 62
-# Entry states a chunk proposes to its successor. More may exist; those are
-# found in later rounds, so this bounds work per round and not the result.
-PROPOSALS = 256
+# Entry states a chunk proposes to its successor: one per record that may have
+# closed the last batch, so as many as a batch has records, up to this. States
+# beyond are found in later rounds; this bounds the work of a round, not the result.
+PROPOSALS = 4096
 # Chunks whose transfers are joined up in one task.
 GROUP = 256
 STATE = ["t0", "held", "size"]

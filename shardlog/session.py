@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_own_dirs: dict[str, str] = {}
 
 
 def local_session(app: str = "shardlog", cores: int | str = 8, partitions: int = 8) -> SparkSession:
@@ -42,8 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="shardlog-")
-        spark.conf.set(CHECKPOINT_DIR, configured)
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = tempfile.mkdtemp(prefix="shardlog-")
+        configured = _own_dirs[app]
     return configured.rstrip("/")
 
 

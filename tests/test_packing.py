@@ -102,3 +102,14 @@ def test_typed_payload_hides_fields_and_quarantines(spark):
     good, bad = typed_payload(spark.createDataFrame(rows, "id bigint, payload string"), json.dumps(schema))
     assert [r.asDict() for r in good.collect()] == [{"id": 1, "k": 1}]
     assert {r["id"] for r in bad.collect()} == {2, 3, 4, 5}
+
+
+@pytest.mark.parametrize("body", ["junk", "[]", "{}", "", '[{"batch_index": 0}', "[1, 2]"])
+def test_undecodable_and_short_payloads_are_set_aside(spark, body):
+    packed = pack_batches(records(spark), ["shard_id"])
+    packed = packed.withColumn("payload", F.when(F.col("batch_id") == 2, F.lit(body).cast("binary")).otherwise(F.col("payload")))
+    good, bad = unpack_batches(packed, ["shard_id"])
+    assert {r["batch_id"] for r in good.collect()} == {1, 3}
+    assert {r["batch_id"]: r["status"] for r in bad.collect()} == {2: "decode error"}
+    with pytest.raises(PySparkException, match="decode error"):
+        unpack_batches(packed, ["shard_id"], on_error="fail")[0].collect()
