@@ -149,7 +149,10 @@ def _propose(pdf: pd.DataFrame, rule: Rule, key: list[str], limit: int) -> pd.Da
         root = int(pdf["_root"].iloc[0])
         ticked = root + rule.timeout_us * ((int(ts[0]) - root) // rule.timeout_us)
         states.add(_fold(ts, ends, rule, (ticked, 0, 0), 0, closes)[2])
-    for last in _closing(ts, ends, rule, min(rule.count, limit)):
+    # Without a timer the last close lies within the last batch; with one, ticks
+    # may have passed since, and a few batches are looked back.
+    back = rule.count * (4 if rule.timeout_us > 0 else 1)
+    for last in _closing(ts, ends, rule, min(back, limit)):
         closed_at = int(ts[last]) if rule.timeout_us > 0 else 0
         states.add(_fold(ts, ends, rule, (closed_at, 0, 0), last + 1, closes)[2])
     return _rows(pdf, key, list(states), STATE)
