@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, simhash, sql
+from shardlog.llm import decontamination, simhash, sql, suffix_dedup
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -31,3 +31,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents have fingerprints that few bits tell apart?"""
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which bytes of each document lie in strings of 400 bytes that occur elsewhere?"""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
