@@ -302,7 +302,9 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
         ),
         "anchors",
     )
-    repeated = anchors.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > group).alias("frequent"))
+    # Written down, so that the join has a shuffle of its own, whose large partitions
+    # adaptive execution can split; that of the counting must keep a gram together.
+    repeated = store(anchors.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > group).alias("frequent")), "grams")
     mine = anchors.join(repeated, "gram").groupBy("digest").agg(F.collect_list(F.struct("gram", "place", "first", "last", "frequent")).alias("anchors"))
     segments = store(
         map_blocks(
@@ -318,7 +320,7 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
         segments.where("frequent").select("segment", "digest", "first"),
         "segment", BLOCK_BYTES // 8, "one long, two long, digest binary, start int", lambda b: _string_block(b, length),
     )
-    twice = strings.groupBy("one", "two").count().where("count > 1").drop("count")
+    twice = store(strings.groupBy("one", "two").count().where("count > 1").drop("count"), "strings")
     frequent = strings.join(twice, ["one", "two"]).select("digest", "start", (F.col("start") + length).alias("stop"))
     return spans.unionAll(frequent)
 
