@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, simhash, sql, suffix_dedup
+from shardlog.llm import decontamination, line_dedup, simhash, sql, suffix_dedup
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -38,3 +38,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which bytes of each document lie in strings of 400 bytes that occur elsewhere?"""
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op10_line_dedup", sql.LINE_DEDUP)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the line windows that occurred before?"""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -23,3 +23,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+LINE_DEDUP = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+win AS (
+  SELECT doc_id, pos, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS win FROM line
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth FROM win
+    WHERE win IS NOT NULL AND regexp_matches(win, '[^ \n\t\r]')) WHERE nth > 1),
+covered AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM later)
+SELECT doc_id, count(*) AS n_lines, count(c.pos) AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (c.pos IS NULL), '')) AS kept_sha256
+FROM line l LEFT JOIN covered c USING (doc_id, pos) GROUP BY doc_id
+"""
