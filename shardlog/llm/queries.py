@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, line_dedup, simhash, sql, suffix_dedup
+from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -45,3 +45,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the line windows that occurred before?"""
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How good is each document, by a chain over its lines?"""
+    docs = table(spark, sf_dir, "documents")
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    return line_crf.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        line_crf.held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "bad_lines",
+    )
