@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup
+from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -59,3 +59,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "bad_lines",
     )
+
+
+@query("op2_warc", sql.WARC)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What do the normalised archives of all pages hold?"""
+    return warc.round_trip(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")

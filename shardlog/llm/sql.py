@@ -39,3 +39,11 @@ SELECT doc_id, count(*) AS n_lines, count(c.pos) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (c.pos IS NULL), '')) AS kept_sha256
 FROM line l LEFT JOIN covered c USING (doc_id, pos) GROUP BY doc_id
 """
+
+WARC = """
+WITH page AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+first AS (SELECT digest, min(page_id) AS first FROM page WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM page LEFT JOIN first USING (digest)
+"""
