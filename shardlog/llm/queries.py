@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup, warc
+from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -65,3 +65,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What do the normalised archives of all pages hold?"""
     return warc.round_trip(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op5_exact_topk", sql.TOP_K)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which five vectors have the greatest inner products with each query vector?"""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
