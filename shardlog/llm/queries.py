@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
+from shardlog.llm import decontamination, language_id, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -71,3 +71,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which five vectors have the greatest inner products with each query vector?"""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which language is each page in, by its text, markup, address and host?"""
+    model = language_id.train_text(table(spark, sf_dir, "documents"))
+    return language_id.identify(table(spark, sf_dir, "pages"), model).withColumnRenamed("id", "page_id").drop("posterior")
