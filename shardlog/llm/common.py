@@ -37,6 +37,16 @@ def widen(df: DataFrame) -> DataFrame:
     return df.select(f"{ROW}.*")
 
 
+def pinned(column: Column) -> Column:
+    """The same value, worked out once per row.
+
+    Catalyst copies a deterministic expression into the lambdas and filters above it,
+    where it would be worked out for every element. It leaves one alone that depends
+    on a row number, here in a condition that always holds.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def byte_blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of ``column``, or one row.
 

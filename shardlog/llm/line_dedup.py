@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardlog.llm.common import ROW, col
+from shardlog.llm.common import ROW, col, pinned
 from shardlog.session import store
 
 LINES = 3
@@ -57,10 +57,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     rest = F.struct(F.lit(0).alias("_"), *[col(c) for c in docs.columns if c != text_col]).alias(ROW)
     rows = docs.select(
-        col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("digest"), _lines(col(text_col)).alias("lines"), *([rest] if carry else [])
+        col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("digest"), pinned(_lines(col(text_col))).alias("lines"), *([rest] if carry else [])
     )
     windows = (
-        rows.select("id", "digest", F.posexplode(_windows(F.col("lines"), size)).alias("line", "window"))
+        rows.select("id", "digest", pinned(_windows(F.col("lines"), size)).alias("windows"))
+        .select("id", "digest", F.posexplode("windows").alias("line", "window"))
         .where("window is not null")
         .select("window", "id", "digest", "line")
     )
@@ -70,9 +71,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     later = windows.join(repeated.select("window", "first"), "window").where(~where.eqNullSafe(F.col("first")))
     starts = later.groupBy(F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest")).agg(F.sort_array(F.collect_set("line")).alias("starts"))
     joined = rows.join(starts, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")), "left")
-    whole = F.coalesce("starts", F.array().cast("array<int>"))
+    joined = joined.withColumn("starts", pinned(F.coalesce("starts", F.array().cast("array<int>"))))
     out = joined.select(
-        "id", F.coalesce(F.size("lines"), F.lit(0)).alias("n"), F.col("lines"), _kept(F.col("lines"), whole, size).alias("kept"), *([ROW] if carry else [])
+        "id", F.coalesce(F.size("lines"), F.lit(0)).alias("n"), F.col("lines"), pinned(_kept(F.col("lines"), F.col("starts"), size)).alias("kept"), *([ROW] if carry else [])
     )
     n = F.when(F.col("lines").isNull(), 0).otherwise(F.col("n"))
     return out.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, language_id, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
+from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -78,3 +78,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which language is each page in, by its text, markup, address and host?"""
     model = language_id.train_text(table(spark, sf_dir, "documents"))
     return language_id.identify(table(spark, sf_dir, "pages"), model).withColumnRenamed("id", "page_id").drop("posterior")
+
+
+@query("op4_license_scan", sql.LICENSE_SCAN)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which license notices does each document hold?"""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_table(spark)).withColumnRenamed("id", "doc_id")

@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries, written from the contracts and not from the operators."""
 
+from shardlog.llm.licenses import TEMPLATES
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -58,3 +60,16 @@ scored AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """
+
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+_PLAIN_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+_SHINGLES = "[array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]"
+
+LICENSE_SCAN = f"""
+WITH template AS (
+  SELECT license, list_distinct({_SHINGLES}) AS own FROM (SELECT license, {_PLAIN_WORDS} AS w FROM (VALUES {_TEMPLATE_ROWS}) t(license, text))),
+doc AS (SELECT doc_id, unnest({_SHINGLES}) AS s, unnest(range(len({_SHINGLES}))) AS place FROM (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents)),
+wanted AS (SELECT license, unnest(own) AS s, len(own) AS n FROM template)
+SELECT doc_id, license, any_value(n)::BIGINT AS n_shingles, count(DISTINCT s) AS n_found, min(place)::BIGINT AS first_shingle
+FROM doc JOIN wanted USING (s) GROUP BY doc_id, license HAVING count(DISTINCT s) >= 0.8 * any_value(n)
+"""
