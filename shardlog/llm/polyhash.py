@@ -7,6 +7,8 @@ hashes mean equal slices is for the caller to verify.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
@@ -38,12 +40,14 @@ def _values(salt: int) -> np.ndarray:
 
 
 class PrefixHashes:
-    """Of a text, given as an array of bytes. Another ``salt`` is another hash."""
+    """Of a text, given as an array of bytes; another ``salt`` is another hash. Of an
+    array of other numbers, if ``values`` says what each is worth."""
 
-    def __init__(self, data: np.ndarray, salt: int = 0):
+    def __init__(self, data: np.ndarray, salt: int = 0, values: Callable[[np.ndarray], np.ndarray] | None = None):
         n = len(data)
+        worth = values(data) | np.uint64(1) if values else _values(salt)[data]
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_values(salt)[data] * _powers(_BASE, n + 1)[:n], out=self.sums[1:])
+        np.cumsum(worth * _powers(_BASE, n + 1)[:n], out=self.sums[1:])
         self.unshift = _powers(_INVERSE, n + 1)[: n + 1]
 
     def slices(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

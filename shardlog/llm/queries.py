@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, simhash, sql, suffix_dedup, topk, warc
+from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, segmentation, simhash, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -84,3 +84,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which license notices does each document hold?"""
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_table(spark)).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which segmentations does each document get, and do they decode to it?"""
+    return segmentation.segmentations(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
