@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardlog.llm.common import extended, map_blocks, narrow, shifted_sums, texts_of, widen
-from shardlog.llm.line_features import line_features, split_lines, with_neighbours
+from shardlog.llm.line_features import NAMES, line_features, split_lines, with_neighbours
 
 BLOCK_BYTES = 2 << 20
 # Labelled documents of each label that a model is fitted on: those whose ids hash lowest.
-SAMPLE = 1500
-# Bytes of a sampled document that its lines may be taken from; scoring has no limit.
-SAMPLE_BYTES = 1 << 16
+SAMPLE = 1000
+# Lines of a sampled document that a model is fitted on; scoring has no limit.
+SAMPLE_LINES = 512
 STEPS = 120
 RIDGE = 1e-3
 
@@ -120,17 +120,29 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         some = each.where(F.col("label") == label).select("id", F.col("label").cast("int").alias("label")).orderBy(rank, "id").limit(sample)
         picked = some if picked is None else picked.unionAll(some)
     texts = narrow(docs, id=id_col, text=text_col).where("text is not null")
-    rows = texts.join(F.broadcast(picked), "id").select("id", "label", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    rows = texts.join(F.broadcast(picked), "id")
+    examples = map_blocks(rows, "text", BLOCK_BYTES, extended(rows, "features binary", without=("text",)), _example_block)
     # Repeated ids give one example.
-    got = rows.groupBy("id").agg(F.min(F.struct("text", "label")).alias("x")).select("id", "x.*").orderBy("id").collect()
+    got = examples.groupBy("id").agg(F.min(F.struct("features", "label")).alias("x")).select("id", "x.*").orderBy("id").collect()
     y = np.array([r.label for r in got], dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    data, ends, lines = split_lines([r.text.encode() for r in got])
+    each = [np.frombuffer(r.features, dtype=np.float32).reshape(-1, len(NAMES)) for r in got]
+    lines = np.array([len(e) for e in each], dtype=np.int64)
     share = np.bincount(y, minlength=2)
     # Both labels weigh the same, however rare one is.
     weight = (len(y) / (2 * share))[y]
-    return fit(with_neighbours(line_features(data, ends), lines), lines, y, weight)
+    return fit(with_neighbours(np.concatenate(each).astype(np.float64), lines), lines, y, weight)
+
+
+def _example_block(block: pa.RecordBatch) -> pa.RecordBatch:
+    """The features of the first lines of each text."""
+    data, ends, lines = split_lines(texts_of(block))
+    features = line_features(data, ends).astype(np.float32)
+    begins = shifted_sums(lines)[:-1]
+    out = {name: block.column(name) for name in block.schema.names if name != "text"}
+    out["features"] = pa.array([features[b : b + min(n, SAMPLE_LINES)].tobytes() for b, n in zip(begins.tolist(), lines.tolist())], pa.binary())
+    return pa.RecordBatch.from_pydict(out)
 
 
 def _score_block(block: pa.RecordBatch, model: Model | None) -> pa.RecordBatch:
