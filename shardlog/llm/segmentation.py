@@ -30,7 +30,7 @@ K = 2
 # Scores are taken times this: the model's are merge ranks, 1 to 32,000.
 ALPHA = 5e-4
 SEED = 11
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Units after a cut that get search nodes of their own; the rest shares one, which is
 # opened when it is taken.
 NODES = 16
