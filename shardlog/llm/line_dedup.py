@@ -73,14 +73,13 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     joined = rows.join(starts, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")), "left")
     joined = joined.withColumn("starts", pinned(F.coalesce("starts", F.array().cast("array<int>"))))
     out = joined.select(
-        "id", F.coalesce(F.size("lines"), F.lit(0)).alias("n"), F.col("lines"), pinned(_kept(F.col("lines"), F.col("starts"), size)).alias("kept"), *([ROW] if carry else [])
+        "id", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).alias("n"), "lines", pinned(_kept(F.col("lines"), F.col("starts"), size)).alias("kept"), *([ROW] if carry else [])
     )
-    n = F.when(F.col("lines").isNull(), 0).otherwise(F.col("n"))
     return out.select(
         "id",
-        n.cast("long").alias("n_lines"),
-        F.coalesce(n - F.size("kept"), F.lit(0)).cast("long").alias("n_removed"),
-        F.array_join("kept", "\n").alias("text"),
+        F.col("n").cast("long").alias("n_lines"),
+        F.when(F.col("lines").isNull(), 0).otherwise(F.col("n") - F.size("kept")).cast("long").alias("n_removed"),
+        F.when(F.col("lines").isNotNull(), F.array_join("kept", "\n")).alias("text"),
         *([ROW] if carry else []),
     )
 

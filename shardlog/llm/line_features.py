@@ -48,9 +48,11 @@ def line_features(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     hashes = PrefixHashes(data).slices(begin, stop)
     # Words that the same line had before: all but one of each (line, word).
     order = np.lexsort((hashes, line))
-    same = np.append(False, (hashes[order][1:] == hashes[order][:-1]) & (line[order][1:] == line[order][:-1]))
+    same = np.zeros(len(line), dtype=bool)
+    same[1:] = (hashes[order][1:] == hashes[order][:-1]) & (line[order][1:] == line[order][:-1])
     repeats = np.bincount(line[order][same], minlength=n)
-    next_to = np.append(False, (hashes[1:] == hashes[:-1]) & (line[1:] == line[:-1]))
+    next_to = np.zeros(len(line), dtype=bool)
+    next_to[1:] = (hashes[1:] == hashes[:-1]) & (line[1:] == line[:-1])
     word_size = stop - begin
     has_sign = np.add.reduceat(_SIGN[data].astype(np.int64), begin) > 0 if len(begin) else np.zeros(0, bool)
     last = np.where(size > 0, data[np.maximum(ends - 1, 0)], 0x20)
