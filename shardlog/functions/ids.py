@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed format of a record id: shard-batch-index, all decimal.
-ID_PATTERN = r"^(\d{1,18})-(\d{1,18})-(\d{1,9})$"
+ID_PATTERN = r"^(\d+)-(\d+)-(\d+)$"
 
 
 def record_id_text() -> Column:
@@ -19,10 +19,12 @@ def record_position() -> Column:
 
 
 def parse_record_id(text: Column) -> Column:
-    """Struct (shard_id, batch_id, batch_index), or null when malformed."""
-    part = lambda i, t: F.regexp_extract(text, ID_PATTERN, i).cast(t)
+    """Struct (shard_id, batch_id, batch_index), or null when malformed, which a
+    number is too that its type cannot hold."""
+    part = lambda i, t: F.regexp_extract(text, ID_PATTERN, i).try_cast(t)
+    fits = part(1, "bigint").isNotNull() & part(2, "bigint").isNotNull() & part(3, "int").isNotNull()
     return F.when(
-        text.rlike(ID_PATTERN),
+        text.rlike(ID_PATTERN) & fits,
         F.struct(
             part(1, "bigint").alias("shard_id"),
             part(2, "bigint").alias("batch_id"),

@@ -48,6 +48,8 @@ def until_predicate(offset: Offset) -> Column:
 
 def trim_predicate(offset: Offset) -> Column:
     """Records a stream trim removes: up to and including the offset."""
+    if offset.kind == "empty":
+        raise ValueError("a trim needs an offset; latest removes all records")
     if offset.kind == "earliest":
         return F.lit(False)
     if offset.kind == "latest":

@@ -68,7 +68,7 @@ def prefix_table(spark: SparkSession, bounds: list[tuple[int, str, str]]) -> Dat
     them. At most 16^4 rows plus one per shard, whatever the number of records.
     """
     ordered = sorted((start, shard) for shard, start, _ in bounds)
-    starts = [int(s, 16) for s, _ in ordered] + [HASH_SPACE]
+    starts = [int(s or "0", 16) for s, _ in ordered] + [HASH_SPACE]  # an empty start is 0
     shift = 128 - 4 * PREFIX_DIGITS
     rows = [
         (shard, start, f"{starts[i + 1] - 1:032x}", starts[i] >> shift, (starts[i + 1] - 1) >> shift)

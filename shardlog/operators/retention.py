@@ -15,13 +15,14 @@ from shardlog.session import store
 
 
 def trim_stream(log: DataFrame, offset: Offset) -> DataFrame:
-    """Drop everything up to and including the offset."""
-    return log.where(~trim_predicate(offset))
+    """Drop everything up to and including the offset. A record without a time stays
+    when the offset is a time."""
+    return log.where(~F.coalesce(trim_predicate(offset), F.lit(False)))
 
 
 def trim_shard(log: DataFrame, shard_id: int, offset: Offset) -> DataFrame:
     """Drop one shard's records up to and including the offset."""
-    return log.where((F.col("shard_id") != shard_id) | ~trim_predicate(offset))
+    return log.where((F.col("shard_id") != shard_id) | ~F.coalesce(trim_predicate(offset), F.lit(False)))
 
 
 def parse_ids(texts: DataFrame, text_col: str = "rid") -> tuple[DataFrame, DataFrame]:

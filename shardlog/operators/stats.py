@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardlog.model import ERROR_UNKNOWN_STAT
@@ -17,9 +17,7 @@ SUB_STATS = [
 ]
 
 
-def _is_batch() -> Column:
-    # Every batch has one record with index 0: batches are counted without a distinct.
-    return F.col("batch_index") == 0
+BATCH = ["shard_id", "batch_id"]
 
 
 def to_long(wide: DataFrame, stats: list[str], entity: str) -> DataFrame:
@@ -40,32 +38,50 @@ def stream_counters(appends: DataFrame, reads: DataFrame) -> DataFrame:
     """Six counters per stream. ``appends`` has a row per record with ``error``,
     null where its batch was stored; a batch is one append request."""
     stored = F.col("error").isNull()
-    wrote = appends.groupBy("stream_name").agg(
-        F.coalesce(F.sum(F.when(stored, F.col("n_bytes"))), F.lit(0)).alias("append_in_bytes"),
-        F.count_if(stored).alias("append_in_records"),
-        F.count_if(_is_batch()).alias("append_total"),
-        F.count_if(_is_batch() & ~stored).alias("append_failed"),
+    # A row per batch first: a log may begin or end inside one.
+    wrote = (
+        appends.groupBy("stream_name", *BATCH)
+        .agg(F.sum(F.when(stored, F.col("n_bytes"))).alias("_bytes"), F.count_if(stored).alias("_records"), F.max(~stored).alias("_failed"))
+        .groupBy("stream_name")
+        .agg(
+            F.coalesce(F.sum("_bytes"), F.lit(0)).alias("append_in_bytes"),
+            F.sum("_records").alias("append_in_records"),
+            F.count("*").alias("append_total"),
+            F.count_if("_failed").alias("append_failed"),
+        )
     )
-    read = reads.groupBy("stream_name").agg(
-        F.sum("n_bytes").alias("read_in_bytes"),
-        F.count_if(_is_batch()).alias("read_in_batches"),
+    read = (
+        reads.groupBy("stream_name", *BATCH)
+        .agg(F.sum("n_bytes").alias("_bytes"))
+        .groupBy("stream_name")
+        .agg(F.sum("_bytes").alias("read_in_bytes"), F.count("*").alias("read_in_batches"))
     )
     return to_long(_side_by_side([wrote, read], "stream_name", STREAM_STATS), STREAM_STATS, "stream_name")
 
 
 def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataFrame:
-    """Nine counters per subscription. ``sends`` and ``resends`` carry ``failed``."""
+    """Nine counters per subscription. ``sends`` and ``resends`` carry ``failed``, and
+    resends how many they are (``n_resends``)."""
     requests = [(t[0], t[2]) for t in batch_acks(acks).tails]  # a row per subscription
     spark = sends.sparkSession
-    firsts = sends.groupBy("sub_id").agg(
-        F.coalesce(F.sum(F.when(~F.col("failed"), F.col("n_bytes"))), F.lit(0)).alias("send_out_bytes"),
-        F.count_if(~F.col("failed")).alias("send_out_records"),
-        F.count_if("failed").alias("send_out_records_failed"),
-        F.count_if(_is_batch()).alias("response_messages"),
+    firsts = (
+        sends.groupBy("sub_id", *BATCH)
+        .agg(
+            F.sum(F.when(~F.col("failed"), F.col("n_bytes"))).alias("_bytes"),
+            F.count_if(~F.col("failed")).alias("_sent"),
+            F.count_if("failed").alias("_failed"),
+        )
+        .groupBy("sub_id")
+        .agg(
+            F.coalesce(F.sum("_bytes"), F.lit(0)).alias("send_out_bytes"),
+            F.sum("_sent").alias("send_out_records"),
+            F.sum("_failed").alias("send_out_records_failed"),
+            F.count("*").alias("response_messages"),
+        )
     )
     again = resends.groupBy("sub_id").agg(
-        F.count_if(~F.col("failed")).alias("resend_records"),
-        F.count_if("failed").alias("resend_records_failed"),
+        F.coalesce(F.sum(F.when(~F.col("failed"), F.col("n_resends"))), F.lit(0)).alias("resend_records"),
+        F.coalesce(F.sum(F.when(F.col("failed"), F.col("n_resends"))), F.lit(0)).alias("resend_records_failed"),
     )
     got = acks.groupBy("sub_id").agg(F.count("*").alias("received_acks"))
     waiting = unacked(sends, acks).groupBy("sub_id").agg(F.count("*").alias("check_list_size"))
@@ -74,34 +90,42 @@ def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataF
 
 
 def requested_stats(stats: DataFrame, wanted: list[str]) -> DataFrame:
-    """Values of the wanted stats and, for names that do not exist, an error row."""
+    """Values of the wanted stats and, for names that do not exist, an error row. A
+    known stat of which there are no values has a row without value and error."""
     spark = stats.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(w,) for w in wanted], "stat string"))  # a row per name asked for
-    return asked.join(stats, "stat", "left").withColumn(
-        "error", F.when(F.col("value").isNull(), F.lit(ERROR_UNKNOWN_STAT))
-    )
+    known = {*STREAM_STATS, *SUB_STATS}
+    rows = [(w, None if w in known else ERROR_UNKNOWN_STAT) for w in wanted]
+    asked = F.broadcast(spark.createDataFrame(rows, "stat string, error string"))  # a row per name asked for
+    return asked.join(stats, "stat", "left").select("stat", "entity", "value", "error")
 
 
 RATE_METHODS = {
     "append_in_bytes": lambda: F.col("n_bytes"),
     "append_in_records": lambda: F.lit(1),
-    "append_in_batches": lambda: _is_batch().cast("bigint"),
+    "append_in_batches": lambda: F.lit(1),
 }
 
 
 def rates(log: DataFrame, method: str, intervals_s: list[int], as_of: datetime, stream: str | None = None) -> DataFrame:
     """Per stream and interval, in the order asked for, the amount per second over
-    the last interval. One pass: a sum per interval, made long afterwards."""
+    the last interval, up to ``as_of``. One pass over the rows of the longest interval:
+    a sum per interval, made long afterwards. A batch counts when its first record
+    came. Streams without such rows have rates of 0."""
     if method not in RATE_METHODS:
         raise ValueError(f"method must be one of {sorted(RATE_METHODS)}, got {method!r}")
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     since = lambda s: now - F.make_dt_interval(secs=F.lit(s).cast("decimal(18,6)"))
     rows = log if stream is None else log.where(F.col("stream_name") == stream)
-    streams = rows.groupBy("stream_name").agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("ts") > since(s), RATE_METHODS[method]())), F.lit(0)).alias(f"_{i}")
-            for i, s in enumerate(intervals_s)
-        ]
+    # The streams alone: of a log partitioned by them, no column is read for it.
+    every = rows.select("stream_name").distinct()
+    if method == "append_in_batches":
+        rows = rows.groupBy("stream_name", *BATCH).agg(F.min("ts").alias("ts"))
+    recent = rows.where((F.col("ts") > since(max(intervals_s))) & (F.col("ts") <= now))
+    sums = recent.groupBy("stream_name").agg(
+        *[F.sum(F.when(F.col("ts") > since(s), RATE_METHODS[method]())).alias(f"_{i}") for i, s in enumerate(intervals_s)]
+    )
+    streams = every.join(sums, "stream_name", "left").select(
+        "stream_name", *[F.coalesce(f"_{i}", F.lit(0)).alias(f"_{i}") for i in range(len(intervals_s))]
     )
     values = F.array(
         *[

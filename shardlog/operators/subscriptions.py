@@ -21,12 +21,6 @@ from shardlog.sources.record_log import tail_ids
 RECORD = ["sub_id", *ID_COLUMNS]
 
 
-def consumer_of(names: list[str]) -> Column:
-    """Whole batches go to one consumer, in turn over the sorted names."""
-    ordered = F.array(*[F.lit(n) for n in sorted(names)])
-    return F.element_at(ordered, ((F.col("shard_id") + F.col("batch_id")) % len(names) + 1).cast("int"))
-
-
 def after_tail(log: DataFrame, tails: DataFrame) -> DataFrame:
     """Records behind a stored tail; a shard without a tail is new and read whole.
     The tails, at most a row per shard, are written first so that the join is
@@ -59,18 +53,19 @@ def with_acks(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
     return deliveries.join(first, RECORD, "left")
 
 
-def redeliveries(deliveries: DataFrame, acks: DataFrame, timeout_s: int, as_of: datetime, max_attempts: int) -> DataFrame:
-    """Resends: every ``timeout_s`` after the delivery while no ack has come, at
-    most ``max_attempts`` times and not after ``as_of``."""
+def redeliveries(deliveries: DataFrame, acks: DataFrame, timeout_s: int, as_of: datetime) -> DataFrame:
+    """Deliveries that were sent again, with how often and when first and last: every
+    ``timeout_s`` after the delivery until the record's first ack, or ``as_of``. The
+    resends are counted and not made into rows, as their number has no limit."""
     check_positive("ack_timeout_s", timeout_s)
-    end = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    due = lambda k: F.col("delivered_at") + F.make_dt_interval(secs=(k * timeout_s).cast("decimal(18,6)"))
-    sent = F.filter(
-        F.sequence(F.lit(1), F.lit(max_attempts)),
-        lambda k: (due(k) <= end) & (F.col("acked_at").isNull() | (F.col("acked_at") > due(k))),
-    )
-    again = with_acks(deliveries, acks).withColumn("attempt", F.explode(sent))
-    return again.withColumn("delivered_at", due(F.col("attempt"))).drop("acked_at")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    step = timeout_s * 1_000_000
+    sent, end = micros(F.col("delivered_at")), micros(F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))
+    # The last instant at which the record still waits: an ack at the due time stops it.
+    waits = F.least(end, F.coalesce(micros(F.col("acked_at")) - 1, end))
+    due = lambda n: F.col("delivered_at") + F.make_dt_interval(secs=(n * timeout_s).cast("decimal(18,6)"))
+    again = with_acks(deliveries, acks).withColumn("n_resends", F.floor((waits - sent) / step).cast("bigint")).where("n_resends > 0")
+    return again.withColumn("first_resend", due(F.lit(1))).withColumn("last_resend", due(F.col("n_resends"))).drop("acked_at")
 
 
 def number_attempts(sends: DataFrame) -> DataFrame:
@@ -92,9 +87,11 @@ def ack_latency(deliveries: DataFrame, acks: DataFrame, timeout_s: int) -> DataF
 
 
 def inflight_peaks(deliveries: DataFrame, acks: DataFrame, slice_: str = "minute") -> DataFrame:
-    """Most unacked records at once in each minute of each subscription."""
-    steps = deliveries.select("sub_id", F.col("delivered_at").alias("at"), F.lit(1).alias("step")).unionByName(
-        acks.select("sub_id", F.col("acked_at").alias("at"), F.lit(-1).alias("step"))
+    """Most unacked records at once in each minute of each subscription. A record
+    stops waiting at its first ack; acks of what was never delivered don't count."""
+    pairs = with_acks(deliveries, acks)
+    steps = pairs.select("sub_id", F.col("delivered_at").alias("at"), F.lit(1).alias("step")).unionByName(
+        pairs.where("acked_at is not null").select("sub_id", F.col("acked_at").alias("at"), F.lit(-1).alias("step"))
     )
     return running_peak(steps, ["sub_id"], "at", "step", slice_).withColumnRenamed("peak", "max_inflight")
 
@@ -125,6 +122,7 @@ def batch_acks(acks: DataFrame, count: int = ACK_BATCH_COUNT, seconds: int = ACK
 
 
 def consumers_of(deliveries: DataFrame) -> DataFrame:
-    """Consumers that took part in a subscription, with batches received. Each
-    batch's first record stands for it, so nothing needs a distinct count."""
-    return deliveries.groupBy("sub_id", "consumer_name").agg(F.count_if(F.col("batch_index") == 0).alias("n_batches"))
+    """Consumers that took part in a subscription, with the batches of which they
+    received any record."""
+    batches = deliveries.groupBy("sub_id", "consumer_name", "shard_id", "batch_id").agg(F.lit(1).alias("_"))
+    return batches.groupBy("sub_id", "consumer_name").agg(F.count("*").alias("n_batches"))

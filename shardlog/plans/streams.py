@@ -13,10 +13,8 @@ from shardlog.operators.batching import Rule
 from shardlog.operators.subscriptions import unacked
 from shardlog.plans.registry import query
 from shardlog.plans.relations import NUMBERED_SQL, SHARDS5, SUB_SQL, acks, log, log_path, records, rid, table
-from shardlog.plans.subscribing import UNACKED_SQL
 from shardlog.plans.writing import BYTES_RULE, BYTES_SQL
 from shardlog.session import scratch_path
-from shardlog.streaming.delivery import Subscription, deliverer, read_unacked
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
 from shardlog.streaming.views import daily_totals, keep_view, read_view, stream_as_select
 
@@ -109,20 +107,3 @@ def _(spark, sf):
 def _(spark, sf):
     """ST3: batches by count or bytes that stay open between micro-batches."""
     return _batched(spark, sf, BYTES_RULE).select("event_id", "shard_id", "batch_id", "batch_index")
-
-
-@query("stream_delivery", UNACKED_SQL)
-def _(spark, sf):
-    """ST4: what a subscription still waits for after all deliveries and acks."""
-    out = scratch_path(spark, "delivery")
-    acked = acks(spark, sf)
-    ack_files = scratch_path(spark, "acks")
-    acked.write.parquet(ack_files)
-    ids = ["shard_id", "batch_id", "batch_index"]
-    arrivals = _log_stream(spark, sf).select(F.lit("record").alias("kind"), *ids, F.col("publish_time").alias("at"))
-    ack_rows = table_stream(spark, ack_files, acked.schema).select(F.lit("ack").alias("kind"), *ids, F.col("acked_at").alias("at"))
-    # Resends leave a record unacked, so the timeout does not change this result.
-    sub = Subscription("s1", max_unacked=1_000_000_000)
-    step = deliverer(sub, out, lambda s: log(s, sf))
-    run_available(arrivals.unionByName(ack_rows).writeStream.foreachBatch(step), f"{out}/checkpoint")
-    return read_unacked(spark, out).select(rid())

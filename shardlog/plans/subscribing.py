@@ -9,22 +9,22 @@ from pyspark.sql import functions as F
 from shardlog.model import ERROR_UNKNOWN_STAT
 from shardlog.operators.stats import STREAM_STATS, rates, requested_stats, stream_counters, sub_counters
 from shardlog.operators.subscriptions import (
-    ack_latency, batch_acks, commit_frontier, consumer_of, consumers_of, inflight_peaks, number_attempts, redeliveries,
+    ack_latency, batch_acks, commit_frontier, consumers_of, inflight_peaks, number_attempts, redeliveries,
     start_position, unacked,
 )
 from shardlog.plans.registry import query
 from shardlog.plans.relations import (
-    ACK_TIMEOUT_S, CONSUMERS, MAX_RESENDS, STREAMS_SQL, SUB_SQL, acks, as_of, deliveries, log, rid, stream_log,
+    ACK_TIMEOUT_S, STREAMS_SQL, SUB_SQL, acks, as_of, deliveries, log, rid, stream_log,
 )
 from shardlog.plans.writing import fold_sql
 
 INTERVALS = [60, 3_600, 86_400, 604_800]
 RESENDS_SQL = f"""resends AS (
-  SELECT d.*, k AS attempt, delivered_at + to_seconds(k * {ACK_TIMEOUT_S}) AS sent_at
-  FROM deliveries d LEFT JOIN (SELECT rid, min(acked_at) AS acked_at FROM acks GROUP BY rid) a USING (rid),
-       generate_series(1, {MAX_RESENDS}) g(k)
-  WHERE delivered_at + to_seconds(k * {ACK_TIMEOUT_S}) <= (SELECT t FROM now)
-    AND (acked_at IS NULL OR acked_at > delivered_at + to_seconds(k * {ACK_TIMEOUT_S})))"""
+  SELECT *, delivered_at + to_seconds({ACK_TIMEOUT_S}) AS first_resend, delivered_at + to_seconds(n_resends * {ACK_TIMEOUT_S}) AS last_resend FROM (
+    SELECT d.*, (least(epoch_us((SELECT t FROM now)), coalesce(epoch_us(acked_at) - 1, epoch_us((SELECT t FROM now)))) - epoch_us(delivered_at))
+                // {ACK_TIMEOUT_S * 1_000_000} AS n_resends
+    FROM deliveries d LEFT JOIN (SELECT rid, min(acked_at) AS acked_at FROM acks GROUP BY rid) a USING (rid))
+  WHERE n_resends > 0)"""
 
 
 @query("list_consumers", f"{SUB_SQL} SELECT consumer_name AS consumer, count(DISTINCT (shard_id, batch_id)) AS n_batches FROM deliveries GROUP BY 1")
@@ -33,12 +33,6 @@ def _(spark, sf):
     return consumers_of(deliveries(spark, sf)).select(F.col("consumer_name").alias("consumer"), "n_batches")
 
 
-@query("consumer_assignment", f"{SUB_SQL} SELECT 'c' || ((shard_id + batch_id) % 3) AS consumer, count(*) AS n FROM numbered GROUP BY 1")
-def _(spark, sf):
-    """ST5: records of each of three consumers, whole batches at a time."""
-    return log(spark, sf).groupBy(consumer_of(CONSUMERS).alias("consumer")).agg(F.count("*").alias("n"))
-
-
 @query(
     "sub_start_position",
     f"""{SUB_SQL}, tails AS (
@@ -60,25 +54,26 @@ def _(spark, sf):
 
 
 def _resends(spark, sf):
-    return redeliveries(deliveries(spark, sf), acks(spark, sf), ACK_TIMEOUT_S, as_of(spark, sf), MAX_RESENDS)
+    return redeliveries(deliveries(spark, sf), acks(spark, sf), ACK_TIMEOUT_S, as_of(spark, sf))
 
 
-@query("sub_redelivery", f"{SUB_SQL}, {RESENDS_SQL} SELECT rid, CAST(attempt AS INTEGER) AS attempt, sent_at AS delivered_at FROM resends")
+@query("sub_redelivery", f"{SUB_SQL}, {RESENDS_SQL} SELECT rid, n_resends::BIGINT AS n_resends, first_resend, last_resend FROM resends")
 def _(spark, sf):
-    """Resends after each ack timeout."""
-    return _resends(spark, sf).select(rid(), "attempt", "delivered_at")
+    """How often records were sent again after the ack timeout, first and last."""
+    return _resends(spark, sf).select(rid(), "n_resends", "first_resend", "last_resend")
 
 
 @query(
     "sub_attempts",
     f"""{SUB_SQL}, {RESENDS_SQL}
-    SELECT rid, CAST(attempt + 1 AS INTEGER) AS attempt, sent_at AS delivered_at FROM resends
-    UNION ALL SELECT rid, 1, delivered_at FROM deliveries""",
+    SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY delivered_at)::INTEGER AS attempt, delivered_at FROM (
+      SELECT rid, delivered_at FROM deliveries UNION ALL SELECT rid, last_resend FROM resends)""",
 )
 def _(spark, sf):
-    """All sends of each record, numbered."""
-    sends = deliveries(spark, sf).unionByName(_resends(spark, sf).drop("attempt"))
-    return number_attempts(sends).select(rid(), "attempt", "delivered_at")
+    """The first and the last send of each record, numbered."""
+    kept = deliveries(spark, sf)
+    last = _resends(spark, sf).withColumn("delivered_at", F.col("last_resend")).select(*kept.columns)
+    return number_attempts(kept.unionByName(last)).select(rid(), "attempt", "delivered_at")
 
 
 @query(
@@ -99,7 +94,7 @@ def _(spark, sf):
 @query(
     "sub_inflight",
     f"""{SUB_SQL},
-    steps AS (SELECT delivered_at AS t, 1 AS step, rid FROM deliveries UNION ALL SELECT acked_at, -1, rid FROM acks),
+    steps AS (SELECT delivered_at AS t, 1 AS step, rid FROM deliveries UNION ALL SELECT min(acked_at), -1, rid FROM acks GROUP BY rid),
     run AS (SELECT t, sum(step) OVER (ORDER BY t, step, rid ROWS UNBOUNDED PRECEDING) AS level FROM steps)
     SELECT date_trunc('minute', t)::TIMESTAMP AS minute, max(level)::BIGINT AS max_inflight FROM run GROUP BY 1""",
 )
@@ -182,8 +177,8 @@ def _(spark, sf):
       SELECT 'send_out_bytes' AS stat, sum(n_bytes) FILTER (NOT failed) AS value FROM deliveries
       UNION ALL SELECT 'send_out_records', count(*) FILTER (NOT failed) FROM deliveries
       UNION ALL SELECT 'send_out_records_failed', count(*) FILTER (failed) FROM deliveries
-      UNION ALL SELECT 'resend_records', count(*) FILTER (NOT failed) FROM resends
-      UNION ALL SELECT 'resend_records_failed', count(*) FILTER (failed) FROM resends
+      UNION ALL SELECT 'resend_records', sum(n_resends) FILTER (NOT failed) FROM resends
+      UNION ALL SELECT 'resend_records_failed', sum(n_resends) FILTER (failed) FROM resends
       UNION ALL SELECT 'received_acks', count(*) FROM acks
       UNION ALL SELECT 'request_messages', max(batch_id) FROM cut
       UNION ALL SELECT 'response_messages', count(DISTINCT (shard_id, batch_id)) FROM deliveries
@@ -199,7 +194,7 @@ def _rates_sql(amount: str, where: str) -> str:
     return f"""{STREAMS_SQL}, i(ord, interval_s) AS (VALUES {', '.join(f'({n}, {s}::BIGINT)' for n, s in enumerate(INTERVALS))}),
     now AS (SELECT max(ts) AS t FROM events)
     SELECT stream_name, CAST(ord AS INTEGER) AS ord, interval_s,
-           round(coalesce(sum({amount}) FILTER (ts > t - to_seconds(interval_s)), 0) / interval_s, 9) AS rate
+           round(coalesce(sum({amount}) FILTER (ts > t - to_seconds(interval_s) AND ts <= t), 0) / interval_s, 9) AS rate
     FROM numbered, i, now {where} GROUP BY stream_name, ord, interval_s"""
 
 

@@ -224,3 +224,19 @@ def test_appends_go_on_from_the_tails(spark, rule):
         assert mine[0] == (tail + 1, 0) and {b for b, _ in mine} == set(range(tail + 1, mine[-1][0] + 1))
     stored = [r["event_id"] for r in spark.read.schema(log.schema).parquet(path).collect()]
     assert len(stored) == len(set(stored)) == sum(1 for rid, _ in seen.values() if rid) + len(got)
+
+
+def test_trims_keep_records_without_a_time_and_need_an_offset(spark):
+    log = spark.createDataFrame([(1, 1, T0), (1, 2, None)], "shard_id bigint, batch_id bigint, publish_time timestamp_ntz")
+    log = log.withColumn("batch_index", F.lit(0))
+    assert [r["batch_id"] for r in trim_stream(log, Offset.timestamp(T0)).collect()] == [2]
+    for trim in (lambda o: trim_stream(log, o), lambda o: trim_shard(log, 1, o)):
+        with pytest.raises(ValueError, match="trim needs an offset"):
+            trim(Offset.empty())
+
+
+def test_ids_of_any_size_that_fits(spark):
+    texts = ["1234567890123456789-5-0", "1-2-2000000000", "9223372036854775808-1-1", "1-1-2147483648", "1-1"]
+    good, bad = parse_ids(spark.createDataFrame([(t,) for t in texts], "rid string"))
+    assert [(r["shard_id"], r["batch_id"], r["batch_index"]) for r in good.collect()] == [(1234567890123456789, 5, 0), (1, 2, 2000000000)]
+    assert sorted(r["rid"] for r in bad.collect()) == sorted(texts[2:])

@@ -57,3 +57,11 @@ def test_profile_lists_empty_shards(spark):
     assert [r["shard_id"] for r in got] == list(range(1, 51))
     assert sum(r["records"] for r in got) == 20 and sum(r["bytes"] for r in got) == 60
     assert any(r["records"] == 0 and r["batches"] == 0 for r in got)
+
+
+@pytest.mark.parametrize("n", [64, 65])
+def test_an_empty_first_start_is_zero(spark, n):
+    bounds = shard_bounds(n)
+    open_ = [(bounds[0][0], "", bounds[0][2]), *bounds[1:]]
+    got = assign_shards(keys(spark, 200), open_).collect()
+    assert all(r["shard_id"] == by_hand(r["key"], bounds) for r in got)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from shardlog.operators.batching import Rule, cut_batches
 from shardlog.session import scratch_path
-from shardlog.streaming.delivery import Subscription, deliverer, read_deliveries, read_unacked
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
 from shardlog.streaming.views import daily_totals, keep_view, read_view
 
@@ -64,42 +63,3 @@ def test_view_follows_the_stream(spark):
 
 
 SIGNALS = "kind string, shard_id bigint, batch_id bigint, batch_index int, at timestamp_ntz"
-
-
-def test_delivery_waits_for_acks_and_sends_again(spark):
-    log = spark.createDataFrame(
-        [(s, b, i, T0) for s in (1, 2) for b in (1, 2, 3) for i in range(5)],
-        "shard_id bigint, batch_id bigint, batch_index int, publish_time timestamp_ntz",
-    ).cache()
-    out = scratch_path(spark, "delivery")
-    step = deliverer(Subscription("s", ack_timeout_s=60, max_unacked=12), out, lambda _: log)
-    at = lambda sec: T0 + timedelta(seconds=sec)
-    signal = lambda *r: spark.createDataFrame(list(r), SIGNALS)
-    sent = lambda e: [
-        (r["shard_id"], r["batch_id"], r["batch_index"], r["attempt"])
-        for r in read_deliveries(spark, out).where(F.col("epoch") == e).orderBy("batch_id", "shard_id", "batch_index").collect()
-    ]
-
-    step(signal(("record", 1, 1, 0, T0)), 0)  # twelve, then full
-    assert len(sent(0)) == 12 and sent(0)[-1] == (1, 2, 1, 1)
-    step(signal(("ack", 1, 1, 0, at(5)), ("ack", 2, 1, 4, at(6)), ("ack", 2, 3, 0, at(6))), 1)
-    assert sent(1) == [(1, 2, 2, 1), (1, 2, 3, 1)]  # two freed; the ack of an unsent record frees nothing
-    step(signal(("record", 1, 1, 0, at(30))), 2)
-    assert sent(2) == []
-    step(signal(("ack", 1, 2, 2, at(60))), 3)  # those sent at T0 are due again; one place is free
-    assert sorted(r[3] for r in sent(3)) == [1] + [2] * 11
-    assert read_unacked(spark, out).count() == 12
-    step(signal(("ack", 1, 2, 2, at(60))), 3)  # rerun of a micro-batch
-    assert len(sent(3)) == 12 and read_unacked(spark, out).count() == 12
-
-
-def test_delivery_of_everything_in_one_go(spark):
-    log = spark.createDataFrame(
-        [(1, b, i, T0) for b in range(1, 8) for i in range(5)],
-        "shard_id bigint, batch_id bigint, batch_index int, publish_time timestamp_ntz",
-    )
-    out = scratch_path(spark, "delivery")
-    acks = [("ack", 1, b, i, T0) for b in range(1, 8) for i in range(4)]
-    deliverer(Subscription("s", max_unacked=10), out, lambda _: log)(spark.createDataFrame(acks, SIGNALS), 0)
-    assert read_deliveries(spark, out).count() == 35  # acks at hand make room within the micro-batch
-    assert {(r["batch_id"], r["batch_index"]) for r in read_unacked(spark, out).collect()} == {(b, 4) for b in range(1, 8)}
