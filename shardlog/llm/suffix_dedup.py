@@ -32,9 +32,9 @@ GRAM = 64
 BLOCK_BYTES = 4 << 20
 # Suffixes at one anchor gram that a task sorts. Strings at more frequent grams are
 # counted one by one instead, by 128-bit hashes.
-GROUP = 1 << 15
+GROUP = 1 << 13
 # Segments worked on at a time, if the groups are small.
-CHUNK = 1 << 12
+CHUNK = 1 << 11
 
 
 def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
