@@ -27,6 +27,8 @@ SCALE = 256
 QUERY_VALUES = 1 << 20
 # Vectors that a task weighs against the queries at a time.
 ROWS = 2048
+# Queries whose bounds for those a task holds at a time.
+QUERIES = 512
 # Candidates evaluated between two looks at the next bound.
 STRIDE = 64
 
@@ -119,20 +121,22 @@ def _search_block(queries: dict, width: int, block: pa.RecordBatch, best: Best)
     rows = _matrix(block.column("vector"), width).astype(np.float64)
     row_ids, row_norms = np.asarray(block.column("id")), np.asarray(block.column("norm"))
     row_far = _matrix(block.column("pivots"), far.shape[1])
-    apart = np.zeros((len(ids), len(rows)))
-    for p in range(far.shape[1]):
-        np.maximum(apart, np.abs(far[:, p, None] - row_far[None, :, p]), out=apart)
-    # Distances carry rounding errors; a bound a little too high is still a bound.
-    least = np.maximum(apart * (1 - 1e-9) - 1e-6, 0)
-    bound = (norms[:, None] + row_norms[None] - least**2) / 2 + 1e-6
-    for q in range(len(ids)):
-        able = np.flatnonzero((bound[q] >= best.score[q, -1]) & (row_ids != ids[q]))
-        able = able[np.argsort(-bound[q, able], kind="stable")]
-        for i in range(0, len(able), STRIDE):
-            part = able[i : i + STRIDE]
-            if bound[q, part[0]] < best.score[q, -1]:
-                break
-            best.add(q, np.rint(rows[part] @ own[q]).astype(np.int64), row_ids[part])
+    for some in range(0, len(ids), QUERIES):
+        part_far = far[some : some + QUERIES]
+        apart = np.zeros((len(part_far), len(rows)))
+        for p in range(far.shape[1]):
+            np.maximum(apart, np.abs(part_far[:, p, None] - row_far[None, :, p]), out=apart)
+        # Distances carry rounding errors; a bound a little too high is still a bound.
+        least = np.maximum(apart * (1 - 1e-9) - 1e-6, 0)
+        bounds = (norms[some : some + QUERIES, None] + row_norms[None] - least**2) / 2 + 1e-6
+        for q, bound in enumerate(bounds, start=some):
+            able = np.flatnonzero((bound >= best.score[q, -1]) & (row_ids != ids[q]))
+            able = able[np.argsort(-bound[able], kind="stable")]
+            for i in range(0, len(able), STRIDE):
+                part = able[i : i + STRIDE]
+                if bound[part[0]] < best.score[q, -1]:
+                    break
+                best.add(q, np.rint(rows[part] @ own[q]).astype(np.int64), row_ids[part])
 
 
 def _search(index: DataFrame, queries: dict[int, dict], k: int) -> DataFrame:
