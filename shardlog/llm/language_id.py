@@ -33,7 +33,6 @@ SMOOTHING = 0.5
 
 _HIDDEN = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&[#a-z0-9]{1,10};", re.S | re.I)
 _HTML_LANG = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", re.I)
-_HEAD_BYTES = 4096  # where an html element must have begun, if there is one
 
 
 @dataclass
@@ -62,7 +61,7 @@ def visible_text(html: bytes) -> bytes:
 
 
 def declared_language(html: bytes) -> str | None:
-    found = _HTML_LANG.search(html[:_HEAD_BYTES])
+    found = _HTML_LANG.search(html)
     return found[1].decode().lower() if found else None
 
 
