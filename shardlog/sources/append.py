@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from shardlog.functions.ids import record_id_text
@@ -14,6 +15,17 @@ from shardlog.sources.record_log import append_results, tail_ids, write_log
 SINGLE = Rule(count=1)
 
 
+def stored_tails(spark: SparkSession, path: str) -> list[Row]:
+    """Last record id of each shard of the log at ``path``; none before the first append."""
+    try:
+        log = spark.read.schema("shard_id bigint, batch_id bigint, batch_index int").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return tail_ids(log).collect()  # a row per shard
+
+
 def append(
     records: DataFrame,
     path: str,
@@ -21,19 +33,18 @@ def append(
     rule: Rule,
     ts: str = "ts",
     order: list[str] = ["event_id"],  # noqa: B006
-    log: DataFrame | None = None,
 ) -> DataFrame:
     """Append records with ``key`` and ``n_bytes`` to the log at ``path``, in the
     order ``(ts, *order)``, and return each with ``rid`` or ``error``.
 
-    ``log`` is the log as stored before, if there is one; batch ids go on from
-    its tails. What is appended at once is flushed at its end, so the first
-    record of the next append begins a batch.
+    Batch ids go on from the tails of what ``path`` holds already, so none is given
+    twice, and only the records of this append are returned. What is appended at once
+    is flushed at its end, so the first record of the next append begins a batch.
     """
     spark = records.sparkSession
     hashed = records.withColumn("hash_key", hash_key(F.col("key")))
     good, lost = split_unassigned(assign_shards(hashed, bounds))
-    tails = tail_ids(log).collect() if log is not None else []  # a row per shard
+    tails = stored_tails(spark, path)
     resume = {(t["shard_id"],): (None, t["batch_id"], t["batch_id"] * rule.count) for t in tails}
     rows = cut_batches(good, ["shard_id"], ts, order, "n_bytes", rule, resume).records.drop("rn")
     write_log(rows, path)
