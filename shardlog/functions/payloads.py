@@ -21,15 +21,28 @@ def raw_payload(value: Column) -> Column:
 def json_payload(fields: list[Column], as_struct_numbers: bool = False, schema: T.StructType | None = None) -> Column:
     """Bytes of a JSON record (flag JSON); nulls are kept, binary becomes base64.
 
-    ``as_struct_numbers`` makes every number a double, as a protobuf Struct does;
-    integers beyond 2^53 then lose digits. It needs the fields' ``schema``.
+    ``as_struct_numbers`` makes every number a double, as a protobuf Struct does, also
+    inside structs, arrays and maps; integers beyond 2^53 then lose digits. It needs
+    the fields' ``schema``.
     """
     if as_struct_numbers:
-        numbers = {f.name for f in schema if isinstance(f.dataType, T.NumericType)}
-        fields = [F.col(f.name).cast("double").alias(f.name) if f.name in numbers else F.col(f.name) for f in schema]
+        fields = [F.col(f.name).cast(_with_doubles(f.dataType)).alias(f.name) for f in schema]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary")
 
 
+def _with_doubles(kind: T.DataType) -> T.DataType:
+    """The type with a double for every number in it; map keys stay, as JSON has them as text."""
+    if isinstance(kind, T.NumericType):
+        return T.DoubleType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _with_doubles(f.dataType), f.nullable) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_with_doubles(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _with_doubles(kind.valueType), kind.valueContainsNull)
+    return kind
+
+
 def known_flag(flag: Column) -> Column:
     return F.coalesce(flag.isin(FLAG_RAW, FLAG_JSON), F.lit(False))
 

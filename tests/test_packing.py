@@ -113,3 +113,9 @@ def test_undecodable_and_short_payloads_are_set_aside(spark, body):
     assert {r["batch_id"]: r["status"] for r in bad.collect()} == {2: "decode error"}
     with pytest.raises(PySparkException, match="decode error"):
         unpack_batches(packed, ["shard_id"], on_error="fail")[0].collect()
+
+
+def test_struct_numbers_are_doubles_at_any_depth(spark):
+    df = spark.sql("SELECT 1 AS a, named_struct('b', 2, 'c', array(3, null)) AS s, map('k', 4L) AS m, 'x' AS t")
+    text = df.select(p.json_payload([], as_struct_numbers=True, schema=df.schema).cast("string")).first()[0]
+    assert text == '{"a":1.0,"s":{"b":2.0,"c":[3.0,null]},"m":{"k":4.0},"t":"x"}'
