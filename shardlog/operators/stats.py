@@ -103,6 +103,8 @@ RATE_METHODS = {
     "append_in_bytes": lambda: F.col("n_bytes"),
     "append_in_records": lambda: F.lit(1),
     "append_in_batches": lambda: F.lit(1),
+    "read_in_bytes": lambda: F.col("n_bytes"),
+    "read_in_batches": lambda: F.lit(1),
 }
 
 
@@ -110,7 +112,8 @@ def rates(log: DataFrame, method: str, intervals_s: list[int], as_of: datetime,
     """Per stream and interval, in the order asked for, the amount per second over
     the last interval, up to ``as_of``. One pass over the rows of the longest interval:
     a sum per interval, made long afterwards. A batch counts when its first record
-    came. Streams without such rows have rates of 0."""
+    came. Streams without such rows have rates of 0. ``log`` holds the records appended,
+    or for the methods of reads those read, ``ts`` being when."""
     if method not in RATE_METHODS:
         raise ValueError(f"method must be one of {sorted(RATE_METHODS)}, got {method!r}")
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -118,7 +121,7 @@ def rates(log: DataFrame, method: str, intervals_s: list[int], as_of: datetime,
     rows = log if stream is None else log.where(F.col("stream_name") == stream)
     # The streams alone: of a log partitioned by them, no column is read for it.
     every = rows.select("stream_name").distinct()
-    if method == "append_in_batches":
+    if method.endswith("_in_batches"):
         rows = rows.groupBy("stream_name", *BATCH).agg(F.min("ts").alias("ts"))
     recent = rows.where((F.col("ts") > since(max(intervals_s))) & (F.col("ts") <= now))
     sums = recent.groupBy("stream_name").agg(

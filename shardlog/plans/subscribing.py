@@ -190,12 +190,12 @@ def _(spark, sf):
     return sub_counters(deliveries(spark, sf), _resends(spark, sf), acks(spark, sf))
 
 
-def _rates_sql(amount: str, where: str) -> str:
+def _rates_sql(amount: str, where: str, rows: str = "numbered") -> str:
     return f"""{STREAMS_SQL}, i(ord, interval_s) AS (VALUES {', '.join(f'({n}, {s}::BIGINT)' for n, s in enumerate(INTERVALS))}),
     now AS (SELECT max(ts) AS t FROM events)
     SELECT stream_name, CAST(ord AS INTEGER) AS ord, interval_s,
            round(coalesce(sum({amount}) FILTER (ts > t - to_seconds(interval_s) AND ts <= t), 0) / interval_s, 9) AS rate
-    FROM numbered, i, now {where} GROUP BY stream_name, ord, interval_s"""
+    FROM {rows}, i, now {where} GROUP BY stream_name, ord, interval_s"""
 
 
 @query("rate_one_stream", _rates_sql("n_bytes", "WHERE stream_name = 'click'"))
@@ -210,3 +210,10 @@ def _(spark, sf):
     """A10: records per second of every stream over four intervals."""
     out = rates(stream_log(spark, sf), "append_in_records", INTERVALS, as_of(spark, sf))
     return out.withColumn("rate", F.round("rate", 9))
+
+
+@query("rate_read_batches", _rates_sql("1", "", "(SELECT stream_name, min(ts) AS ts FROM numbered GROUP BY stream_name, shard_id, batch_id)"))
+def _(spark, sf):
+    """A10: batches read per second of every stream, each when its first record was."""
+    out = rates(stream_log(spark, sf), "read_in_batches", INTERVALS, as_of(spark, sf))
+    return out.withColumn("rate", F.round("rate", 9))
