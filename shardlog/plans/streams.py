@@ -10,11 +10,13 @@ from shardlog.functions.offsets import from_predicate
 from shardlog.functions.shards import assign_shards
 from shardlog.model import Offset
 from shardlog.operators.batching import Rule
+from shardlog.operators.packing import pack_batches
 from shardlog.operators.subscriptions import unacked
 from shardlog.plans.registry import query
 from shardlog.plans.relations import NUMBERED_SQL, SHARDS5, SUB_SQL, acks, log, log_path, records, rid, table
 from shardlog.plans.writing import BYTES_RULE, BYTES_SQL
-from shardlog.session import scratch_path
+from shardlog.session import scratch_path, store
+from shardlog.streaming.fetch import fetch_available, read_fetched
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
 from shardlog.streaming.views import daily_totals, keep_view, read_view, stream_as_select
 
@@ -88,12 +90,28 @@ def _(spark, sf):
     return unacked(spark.read.schema(rows.schema).parquet(f"{out}/rows"), acks(spark, sf)).select(rid())
 
 
+ARRIVALS = 3
+
+
+def _arrivals(spark, rows, number):
+    """The folder to which parts of ``rows``, counted by the column ``number``, come one
+    after the other: yielded after each, so that each is a micro-batch at least."""
+    path = scratch_path(spark, "arrivals")
+    for i in range(ARRIVALS):
+        rows.where(number == i).write.mode("append").parquet(path)
+        yield path
+
+
 def _batched(spark, sf, rule):
     out = scratch_path(spark, "ingest")
-    rows = assign_shards(records(spark, sf, _events(spark, sf)), SHARDS5)
-    run_available(
-        rows.writeStream.foreachBatch(batcher(out, ["shard_id"], "ts", ["event_id"], "n_bytes", rule)), f"{out}/checkpoint"
-    )
+    events = table(spark, sf, "events")
+    cuts = events.agg(F.percentile_approx("ts", [i / ARRIVALS for i in range(1, ARRIVALS)])).first()[0]
+    number = sum((F.col("ts") > F.lit(c)).cast("int") for c in cuts)
+    for path in _arrivals(spark, events, number):
+        rows = assign_shards(records(spark, sf, table_stream(spark, path, events.schema)), SHARDS5)
+        run_available(
+            rows.writeStream.foreachBatch(batcher(out, ["shard_id"], "ts", ["event_id"], "n_bytes", rule)), f"{out}/checkpoint"
+        )
     return read_batched(spark, out, rows.schema, ["shard_id"])
 
 
@@ -107,3 +125,43 @@ def _(spark, sf):
 def _(spark, sf):
     """ST3: batches by count or bytes that stay open between micro-batches."""
     return _batched(spark, sf, BYTES_RULE).select("event_id", "shard_id", "batch_id", "batch_index")
+
+
+# A tenth of shard 2's batches claims a record too many.
+_FETCH_SQL = f"""{NUMBERED_SQL},
+batch AS (
+  SELECT shard_id, batch_id, shard_id = 2 AND batch_id % 10 = 0 AS bad,
+         (batch_id - 1) * {ARRIVALS} // (SELECT max(batch_id) FROM numbered) AS arrival
+  FROM numbered GROUP BY shard_id, batch_id),
+good AS (SELECT * FROM numbered JOIN batch USING (shard_id, batch_id) WHERE NOT bad),
+stop AS (SELECT coalesce(min(arrival), {ARRIVALS}) AS arrival FROM batch WHERE bad),
+first AS (SELECT shard_id, min(batch_id) AS first FROM batch WHERE bad GROUP BY shard_id)"""
+
+
+def _fetched(spark, sf, on_error):
+    packed = store(pack_batches(log(spark, sf), ["shard_id"], "zstd"), "packed")
+    bad = (F.col("shard_id") == 2) & (F.col("batch_id") % 10 == 0)
+    sent = packed.withColumn("batch_size", F.col("batch_size") + F.when(bad, 1).otherwise(0))
+    top = packed.agg(F.max("batch_id")).first()[0]
+    out = scratch_path(spark, "packed-fetch")
+    for path in _arrivals(spark, sent, F.floor((F.col("batch_id") - 1) * ARRIVALS / top)):
+        stream = table_stream(spark, path, sent.schema)
+        if not fetch_available(stream, out, ["shard_id"], on_error):
+            break
+    return read_fetched(stream, out, ["shard_id"]).select(rid(), "key", F.octet_length("payload").cast("bigint").alias("n_bytes"))
+
+
+@query("packed_fetch_skip", f"{_FETCH_SQL} SELECT rid, key, n_bytes FROM good")
+def _(spark, sf):
+    """Packed batches opened as they come; bad ones are set aside."""
+    return _fetched(spark, sf, "skip")
+
+
+@query(
+    "packed_fetch_stop",
+    f"""{_FETCH_SQL} SELECT rid, key, n_bytes FROM good LEFT JOIN first USING (shard_id)
+    WHERE arrival <= (SELECT arrival FROM stop) AND (first IS NULL OR batch_id < first)""",
+)
+def _(spark, sf):
+    """The same, ended by the first bad batch."""
+    return _fetched(spark, sf, "stop")

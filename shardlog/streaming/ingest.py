@@ -3,7 +3,8 @@
 Each micro-batch is cut by the same operators as a bounded table, going on from
 the state the micro-batch before left for each shard: one small row per shard.
 So a hot shard is as parallel here as there, and an open batch survives.
-Output and state are written under the micro-batch's number and replaced when it
+Records are laid out as an appended log is, a directory per shard, so that reads of
+a shard prune here too. Output and state are written under the micro-batch's number and replaced when it
 is run again, so a retried micro-batch leaves one copy.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shardlog.operators.batching import Rule, cut_batches, stamp_publish_time
+from shardlog.sources.record_log import write_log
 
 STATE = "t0 bigint, held bigint, size bigint, batches bigint, records bigint"
 
@@ -51,7 +53,7 @@ def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str,
         types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*parts).schema)
         state = _read_state(spark, out, epoch - 1, parts, types)
         cut = cut_batches(df, parts, ts, order, n_bytes, rule, state)
-        cut.records.drop("rn", "publish_time").write.mode("overwrite").parquet(f"{out}/records/epoch={epoch}")
+        write_log(cut.records.drop("rn", "publish_time"), f"{out}/records/epoch={epoch}", parts, mode="overwrite")
         state.update({t[: len(parts)]: tuple(t[len(parts):]) for t in cut.tails})
         rows = [(*p, *s, batches, n) for p, (s, batches, n) in state.items()]
         spark.createDataFrame(rows, f"{types}{STATE}").coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")

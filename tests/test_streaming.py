@@ -2,10 +2,14 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from shardlog.operators.batching import Rule, cut_batches
+from shardlog.operators.packing import pack_batches
 from shardlog.session import scratch_path
+from shardlog.streaming.fetch import fetch_available, read_fetched
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
 from shardlog.streaming.views import daily_totals, keep_view, read_view
 
@@ -63,3 +67,47 @@ def test_view_follows_the_stream(spark):
 
 
 SIGNALS = "kind string, shard_id bigint, batch_id bigint, batch_index int, at timestamp_ntz"
+
+
+def packed_arrivals(spark, bad):
+    """Three micro-batches of packed batches: batches 1, 2 and 3 of two shards."""
+    rows = [(s, b, i, "k", "RAW", None, bytearray([s, b, i]), T0) for s in (1, 2) for b in (1, 2, 3) for i in (0, 1)]
+    fields = "shard_id bigint, batch_id bigint, batch_index int, key string, flag string, attributes map<string,string>, payload binary, publish_time timestamp_ntz"
+    packed = pack_batches(spark.createDataFrame(rows, fields), ["shard_id"], "gzip")
+    sent = packed.withColumn("batch_size", F.col("batch_size") + F.when(F.expr(bad), 1).otherwise(0))
+    path = scratch_path(spark, "packed")
+    for b in (1, 2, 3):
+        sent.where(F.col("batch_id") == b).coalesce(1).write.mode("append").parquet(path)
+    return table_stream(spark, path, sent.schema, files_per_trigger=1)
+
+
+def fetched(stream, out):
+    return {(r["shard_id"], r["batch_id"], r["batch_index"]): bytes(r["payload"]) for r in read_fetched(stream, out, ["shard_id"]).collect()}
+
+
+def test_fetch_follows_its_policy_for_bad_batches(spark):
+    stream = packed_arrivals(spark, "shard_id = 1 and batch_id = 2")
+    every = {(s, b, i): bytes([s, b, i]) for s in (1, 2) for b in (1, 2, 3) for i in (0, 1)}
+    skip, stop, fail = (scratch_path(spark, name) for name in ("skip", "stop", "fail"))
+    assert fetch_available(stream, skip, ["shard_id"])
+    assert fetched(stream, skip) == {k: v for k, v in every.items() if k[:2] != (1, 2)}
+    bad = spark.read.parquet(f"{skip}/bad").collect()
+    assert [(r["shard_id"], r["batch_id"], r["epoch"]) for r in bad] == [(1, 2, 1)]
+    # What the stream had before the bad batch stays, and nothing comes after.
+    for _ in range(2):
+        assert not fetch_available(stream, stop, ["shard_id"], "stop")
+        assert fetched(stream, stop) == {k: v for k, v in every.items() if k[1] == 1 or k[:2] == (2, 2)}
+    with pytest.raises(StreamingQueryException):
+        fetch_available(stream, fail, ["shard_id"], "fail")
+    assert set(fetched(stream, fail)) == {k for k in every if k[1] == 1}
+    with pytest.raises(ValueError, match="on_error must be"):
+        fetch_available(stream, fail, ["shard_id"], "ignore")
+
+
+def test_streamed_logs_have_a_directory_per_shard(spark):
+    path, out = slices(spark, rows(30), ROWS, 3), scratch_path(spark, "out")
+    df = spark.read.parquet(path)
+    stream = table_stream(spark, path, df.schema, files_per_trigger=1)
+    run_available(stream.writeStream.foreachBatch(batcher(out, ["shard_id"], "ts", ["id"], "n_bytes", Rule(count=7))), f"{out}/checkpoint")
+    mine = [f for f in spark.read.parquet(f"{out}/records").inputFiles() if "shard_id=2" in f]
+    assert len(mine) == 3 and sum(spark.read.parquet(f).count() for f in mine) == 10
