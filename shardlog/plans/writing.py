@@ -16,7 +16,7 @@ from shardlog.plans.registry import query
 from shardlog.plans.relations import (
     NUMBERED_SQL, REC_SQL, SHARDS5, SHARDS500, log, records, rid, shard_values, sharded, table,
 )
-from shardlog.session import scratch_path, use_utc
+from shardlog.session import scratch_path, store, use_utc
 from shardlog.sources.append import SINGLE, append
 from shardlog.sources.export import export_records, import_records
 from shardlog.sources.record_log import append_results, shard_profile
@@ -308,6 +308,28 @@ def _(spark, sf):
     return done.select("event_id", "rid")
 
 
+_LATER = "ts >= TIMESTAMP '2024-01-10'"
+
+
+@query(
+    "append_twice",
+    f"""{REC_SQL},
+    ord AS (SELECT *, {_LATER} AS later, row_number() OVER (PARTITION BY shard_id, {_LATER} ORDER BY ts, event_id) - 1 AS place FROM rec),
+    before AS (SELECT shard_id, max(place // 100) + 1 AS batches FROM ord WHERE NOT later GROUP BY shard_id)
+    SELECT event_id, later,
+           concat_ws('-', shard_id, place // 100 + 1 + CASE WHEN later THEN coalesce(batches, 0) ELSE 0 END, place % 100) AS rid
+    FROM ord LEFT JOIN before USING (shard_id)""",
+)
+def _(spark, sf):
+    """K2: two appends to one log. Ids go on, and each returns its own records only."""
+    path, later = scratch_path(spark, "append-twice"), F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")
+    both = [
+        store(append(records(spark, sf).where(part), path, SHARDS5, Rule(count=100)).select("event_id", later.alias("later"), "rid"), "appended")
+        for part in (~later, later)
+    ]
+    return both[0].unionAll(both[1])
+
+
 @query("append_batched", f"{NUMBERED_SQL} SELECT event_id, rid, n_bytes, publish_time FROM numbered")
 def _(spark, sf):
     """K2: shard, batch, number and write; read back from the written log."""
