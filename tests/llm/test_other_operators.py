@@ -168,3 +168,9 @@ def test_segmentations_of_odd_rows(spark):
     again = segmentation.segmentations(docs.repartition(3)).collect()
     assert sorted(r.ids_sha256 for r in again) == sorted(r.ids_sha256 for r in rows)
     assert segmentation.segmentations(docs.limit(0)).count() == 0
+
+
+def test_a_declared_language_is_found_wherever_it_stands():
+    late = b"<!-- " + b"x" * 10_000 + b' --><html class="a" lang="de-AT">'
+    assert language_id.declared_language(late) == "de"
+    assert language_id.declared_language(b"x" * 10_000) is None
