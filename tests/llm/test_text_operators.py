@@ -243,3 +243,31 @@ def test_quality_is_right_on_held_out_documents(spark, sf_dir):
     assert len(scores) == len(ODD) and all(0 <= r.score <= 1 for r in scores)
     assert line_crf.keep_good(odd, model).columns == odd.columns
     assert line_crf.train(docs.limit(0), labels) is None and line_crf.score(odd, None).first().score == 0.5
+
+
+def test_slopes_of_the_classifier_are_those_of_its_likelihood():
+    rng = np.random.default_rng(5)
+    lines, y, weight = np.array([3, 1, 5]), np.array([0, 1, 1]), np.array([0.5, 0.2, 0.3])
+    observed, at = rng.normal(size=(9, 4)), rng.normal(size=12)
+
+    def likelihood(p):
+        weights, moves, total, begin = p[:8].reshape(4, 2), p[8:].reshape(2, 2), 0.0, 0
+        for n, label, w in zip(lines, y, weight):
+            emit = observed[begin : begin + n] @ weights
+            total += w / n * (emit[:, label].sum() + (n - 1) * moves[label, label] - brute_marginals(emit, moves)[1])
+            begin += n
+        return total
+
+    got = line_crf.slopes(observed, lines, y, weight, at[:8].reshape(4, 2), at[8:].reshape(2, 2))
+    want = [(likelihood(at + d) - likelihood(at - d)) / 2e-5 for d in np.eye(12) * 1e-5]
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def test_classifier_learns_from_the_last_lines_of_long_documents(spark):
+    good, bad = ["A calm sentence with plain words."] * 600, ["## 77 $$ 77 $$ 77"] * 600
+    rows = [(i, "\n".join(good + (bad if i % 2 else good)), 1 - i % 2) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = line_crf.train(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+    seen = spark.createDataFrame([(1, "\n".join(good)), (2, "\n".join(bad))], DOCS)
+    scores = {r.id: r.score for r in line_crf.score(seen, model).collect()}
+    assert scores[2] < 0.1 and scores[1] > 0.5
