@@ -73,6 +73,13 @@ def number_attempts(sends: DataFrame) -> DataFrame:
     return sends.withColumn("attempt", F.row_number().over(W.partitionBy(*RECORD).orderBy("delivered_at")))
 
 
+def last_attempts(resent: DataFrame) -> DataFrame:
+    """The last send of each of ``resent``, redeliveries of numbered sends: ``n_resends``
+    attempts later, at the time of the last resend."""
+    attempt = (F.col("attempt") + F.col("n_resends")).cast("int")
+    return resent.withColumns({"attempt": attempt, "delivered_at": F.col("last_resend")})
+
+
 def ack_latency(deliveries: DataFrame, acks: DataFrame, timeout_s: int) -> DataFrame:
     """Per consumer: acks in time, late and missing, and mean seconds to an ack."""
     pairs = with_acks(deliveries, acks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shardlog.model import ERROR_UNKNOWN_STAT
 from shardlog.operators.stats import STREAM_STATS, rates, requested_stats, stream_counters, sub_counters
 from shardlog.operators.subscriptions import (
-    ack_latency, batch_acks, commit_frontier, consumers_of, inflight_peaks, number_attempts, redeliveries,
+    ack_latency, batch_acks, commit_frontier, consumers_of, inflight_peaks, last_attempts, number_attempts, redeliveries,
     start_position, unacked,
 )
 from shardlog.plans.registry import query
@@ -63,6 +63,11 @@ def _(spark, sf):
     return _resends(spark, sf).select(rid(), "n_resends", "first_resend", "last_resend")
 
 
+def _attempts(sent, acked, now):
+    numbered = number_attempts(sent)
+    return numbered.unionByName(last_attempts(redeliveries(numbered, acked, ACK_TIMEOUT_S, now)).select(*numbered.columns))
+
+
 @query(
     "sub_attempts",
     f"""{SUB_SQL}, {RESENDS_SQL}
@@ -70,10 +75,9 @@ def _(spark, sf):
       SELECT rid, delivered_at FROM deliveries UNION ALL SELECT rid, last_resend FROM resends)""",
 )
 def _(spark, sf):
-    """The first and the last send of each record, numbered."""
-    kept = deliveries(spark, sf)
-    last = _resends(spark, sf).withColumn("delivered_at", F.col("last_resend")).select(*kept.columns)
-    return number_attempts(kept.unionByName(last)).select(rid(), "attempt", "delivered_at")
+    """The deliveries of each record, numbered, and its last send with the number
+    that all resends before it leave to it."""
+    return _attempts(deliveries(spark, sf), acks(spark, sf), as_of(spark, sf)).select(rid(), "attempt", "delivered_at")
 
 
 @query(

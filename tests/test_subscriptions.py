@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shardlog.operators import subscriptions as s
 from shardlog.operators.sequence import running_peak, with_position
 from shardlog.operators.stats import rates, requested_stats
+from shardlog.plans import subscribing
 
 T0 = datetime(2024, 1, 1)
 D = "sub_id string, consumer_name string, shard_id bigint, batch_id bigint, batch_index int, n_bytes bigint, delivered_at timestamp_ntz"
@@ -50,6 +51,14 @@ def test_resends_of_a_day_are_all_counted(spark, sent):
     assert [r["n_resends"] for r in got] == [144] * 6
 
 
+def test_last_send_of_a_day_has_the_number_of_all_sends(spark, sent):
+    got = subscribing._attempts(sent, acked(spark, (1, 0, 5), (1, 1, 1300)), at(86_410)).collect()
+    seen = {(r["batch_id"], r["batch_index"], r["attempt"], (r["delivered_at"] - T0).total_seconds()) for r in got}
+    first = {(b, i, 1, float(b)) for b in (1, 2, 3) for i in (0, 1)}
+    last = {(b, i, 145, b + 86_400.0) for b in (2, 3) for i in (0, 1)}
+    assert seen == first | last | {(1, 1, 3, 1201.0)} and len(got) == len(seen)
+
+
 def test_repeated_acks_count_once_in_flight(spark, sent):
     got = s.inflight_peaks(sent, acked(spark, (1, 0, 60), (1, 0, 61), (1, 0, 62), (9, 9, 61)), "minute").collect()
     assert {r["minute"]: r["max_inflight"] for r in got} == {at(0): 6, at(60): 5}
