@@ -36,8 +36,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of each document, with their inclusion scores."""
-    return segmentation.segmentations(docs).withColumnRenamed("id", "doc_id")
+    """Two sampled segmentations of each document: their piece ids and inclusion scores."""
+    return segmentation.segmentations(docs, with_ids=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -89,4 +89,4 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which segmentations does each document get, and do they decode to it?"""
-    return segmentation.segmentations(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return segmentation.segmentations(table(spark, sf_dir, "documents"), with_ids=True).withColumnRenamed("id", "doc_id")

@@ -1,6 +1,7 @@
 """Archives, vectors, languages and segmentations against brute force."""
 
 import gzip
+import hashlib
 import math
 from collections import Counter
 from itertools import product
@@ -9,9 +10,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shardlog.llm import language_id, segmentation, topk, warc
+from shardlog.llm.common import table
 from shardlog.llm.piece_lattice import Lattices, Units, Vocabulary
 from shardlog.llm.polyhash import mixed
+from shardlog.llm.queries import QUERIES as LLM
 from shardlog.session import scratch_path
 
 LONG = "<p>" + "é" * 200
@@ -174,3 +178,10 @@ def test_a_declared_language_is_found_wherever_it_stands():
     late = b"<!-- " + b"x" * 10_000 + b' --><html class="a" lang="de-AT">'
     assert language_id.declared_language(late) == "de"
     assert language_id.declared_language(b"x" * 10_000) is None
+
+
+@pytest.mark.parametrize("run", [LLM["op3_sentencepiece"], lambda spark, sf_dir: corpus_pipeline.tokens(spark, table(spark, sf_dir, "documents"), sf_dir)])
+def test_results_hold_the_piece_ids(spark, sf_dir, run):
+    rows = run(spark, sf_dir).collect()
+    assert rows and all(len(r.ids) == r.n_pieces for r in rows)
+    assert all(r.ids_sha256 == hashlib.sha256(np.array(r.ids, dtype="<i4").tobytes()).hexdigest() for r in rows)
