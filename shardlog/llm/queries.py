@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, segmentation, simhash, sql, suffix_dedup, topk, warc
+from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, one_permutation, segmentation, simhash, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
@@ -90,3 +90,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which segmentations does each document get, and do they decode to it?"""
     return segmentation.segmentations(table(spark, sf_dir, "documents"), with_ids=True).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_document_fingerprints")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How like is each document to its edited text, and to the next document?"""
+    found = one_permutation.compare_edited(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        one_permutation.hex_of(F.col("fingerprint")).alias("fingerprint"),
+        one_permutation.hex_of(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
