@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 from shardlog.llm.common import narrow, pinned
 from shardlog.llm.licenses import SHINGLE, shingle_hashes, words_of
 
-BINS = 509
-LOW_BITS = 4
+BINS = 251
+LOW_BITS = 8
 _PER_LONG = 64 // LOW_BITS
 _LONGS = -(-BINS // _PER_LONG)
-# A bin number stands above the value it competes with; the bit between says "empty".
+# A bin number stands above the value it competes with; the bit below it says "empty".
 _VALUE_BITS = 53
 _EMPTY = 1 << _VALUE_BITS
-# How many other bins are asked one by one before the nearest of all is searched for.
-PROBES = 12
+# How many other bins are asked one by one before the first that answers is searched for.
+PROBES = 24
 # Documents that one window sorts, while there are fewer than MOST_CHUNKS windows.
 CHUNK_ROWS = 256
 MOST_CHUNKS = 8192
@@ -46,12 +46,15 @@ def _spread(i: int, salt: int) -> int:
 
 STARTS = [_spread(i, 1) % BINS for i in range(BINS)]
 STEPS = [1 + _spread(i, 2) % (BINS - 1) for i in range(BINS)]
-# The inverse of a step tells when a bin is asked.
-BACK = [pow(s, -1, BINS) for s in STEPS]
 
 
-def _constant(values: list[int]) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+def asked(i: int, t: int) -> int:
+    """The bin that the empty bin ``i`` asks at its step ``t``."""
+    return (STARTS[i] + t * STEPS[i]) % BINS
+
+
+def _constant(values: list[int], kind: str = "bigint") -> Column:
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
 def shingles_of(words: Column) -> Column:
@@ -78,25 +81,27 @@ def _least(ordered: Column) -> Column:
 
 def _densified(least: Column, filled: Column) -> Column:
     """The values with empty bins filled; all null if there are none."""
-    starts, steps, back = (_constant(v) for v in (STARTS, STEPS, BACK))
+    tables = [_constant([asked(i, t) for i in range(BINS)], "int") for t in range(PROBES)]
+    # The inverse of a step tells when a bin is asked.
+    starts, back = _constant(STARTS, "int"), _constant([pow(s, -1, BINS) for s in STEPS], "int")
 
     def value(own: Column, i: Column) -> Column:
-        asked = [F.get(least, ((F.get(starts, i) + F.lit(t) * F.get(steps, i)) % BINS).cast("int")) for t in range(PROBES)]
+        answers = [F.get(least, F.get(table, i)) for table in tables]
         when = lambda j: F.pmod((j - F.get(starts, i)) * F.get(back, i), F.lit(BINS))
-        nearest = F.array_min(F.transform(filled, lambda j: when(j) * 512 + j)).bitwiseAND(511)
-        return F.coalesce(own, *asked, F.get(least, nearest.cast("int")))
+        first = F.array_min(F.transform(filled, lambda j: when(j) * BINS + j)) % BINS
+        return F.coalesce(own, *answers, F.get(least, first))
 
     return F.transform(least, value)
 
 
 def _packed(values: Column) -> Column:
-    nibble = (1 << LOW_BITS) - 1
+    low = (1 << LOW_BITS) - 1
     return F.transform(
         F.sequence(F.lit(0), F.lit(_LONGS - 1)),
         lambda k: F.aggregate(
             F.slice(values, k * _PER_LONG + 1, F.lit(_PER_LONG)),
             F.lit(0).cast("long"),
-            lambda packed, v: F.shiftleft(packed, LOW_BITS).bitwiseOR(v.bitwiseAND(nibble)),
+            lambda packed, v: F.shiftleft(packed, LOW_BITS).bitwiseOR(v.bitwiseAND(low)),
         ),
     )
 
@@ -109,7 +114,7 @@ def add_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
     df = df.select(*kept, pinned(shingles_of(F.col("_words"))).alias("_shingles"))
     df = df.select(*kept, F.size("_shingles").alias("_size"), pinned(_sorted_bins(F.col("_shingles"))).alias("_ordered"))
     df = df.select(*kept, "_size", pinned(_least(F.col("_ordered"))).alias("_least"))
-    held = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), lambda j: F.get("_least", j.cast("int")).isNotNull())
+    held = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda j: F.get("_least", j).isNotNull())
     df = df.select(*kept, "_size", "_least", pinned(held).alias("_filled"))
     df = df.select(*kept, "_size", pinned(_densified(F.col("_least"), F.col("_filled"))).alias("_values"))
     packed = F.when(F.col("_size") > 0, _packed(F.col("_values"))).otherwise(F.array().cast("array<bigint>"))
@@ -119,17 +124,20 @@ def add_fingerprint(df: DataFrame, text: Column, out: str) -> DataFrame:
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of shingles that two fingerprints have in common, 0 to 1. Two
     empty ones are alike, an empty and another are not."""
-    each = int("1" * (64 // LOW_BITS), 16)
-    any_bit = lambda d: d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
-    unequal = F.zip_with(a, b, lambda x, y: F.bit_count(any_bit(x.bitwiseXOR(y)).bitwiseAND(each)))
-    agree = 1 - F.aggregate(unequal, F.lit(0), lambda n, k: n + k) / BINS
+    # Of each bin's bits in x ^ y, the lowest is set in the end if any is.
+    lowest = int(("0" * (LOW_BITS // 4 - 1) + "1") * _PER_LONG, 16)
+    differ = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    differ = F.transform(differ, lambda d: d.bitwiseOR(F.shiftrightunsigned(d, 4)))
+    differ = F.transform(differ, lambda d: d.bitwiseOR(F.shiftrightunsigned(d, 2)))
+    differ = F.transform(differ, lambda d: d.bitwiseOR(F.shiftrightunsigned(d, 1)))
+    agree = 1 - F.aggregate(differ, F.lit(0), lambda n, d: n + F.bit_count(d.bitwiseAND(F.lit(lowest)))) / BINS
     chance = 1 / (1 << LOW_BITS)
     none = (F.size(a) == 0).cast("int") + (F.size(b) == 0).cast("int")
     return F.when(none == 2, 1.0).when(none == 1, 0.0).otherwise(F.greatest(F.lit(0.0), (agree - chance) / (1 - chance)))
 
 
 def hex_of(fingerprint: Column) -> Column:
-    """The packed bins as hexadecimal digits, one a bin (and none for no word)."""
+    """The packed bins as hexadecimal digits, two a bin (and none for no word)."""
     return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
 
 
@@ -145,21 +153,19 @@ def with_next(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, most_chunks: int =
     """Each row with the ``text`` and ``fingerprint`` of the next one, as next_text and
     next_fingerprint.
 
-    ``rows`` has id, text and fingerprint. The next row is that of the greatest id
-    below its own; after the last comes the first. Rows of one id follow each other
-    by their text; a row that repeats id and text is the same document and is returned
-    once. A row without an id stands outside of the order, and its next is null.
+    ``rows`` has id, never null, text and fingerprint. The next row is that of the
+    greatest id below its own; after the last comes the first. Rows of one id follow
+    each other by their text; a row that repeats id and text is the same document and
+    is returned once.
 
     Ids are cut into at most ``most_chunks`` ranges with about as many rows, so that no
     task sorts them all. The first row of each range also goes to the range above, whose
     last row it follows. Texts are shuffled once.
     """
-    known = rows.where("id is not null")
-    n = known.count()
-    empty = rows.where("id is null").select("*", F.lit(None).cast("string").alias("next_text"), F.array().cast("array<bigint>").alias("next_fingerprint"))
+    ids = rows.groupBy("id").agg(F.count("*").alias("n"))
+    n = rows.count()
     if not n:
-        return empty
-    ids = known.groupBy("id").agg(F.count("*").alias("n"))
+        return without_next(rows)
     # Bounded: a row per range.
     ranges = (
         ids.repartitionByRange(min(most_chunks, math.ceil(n / chunk_rows)), "id")
@@ -169,10 +175,10 @@ def with_next(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, most_chunks: int =
         .collect()
     )
     if any(r["n"] > 1 for r in ranges):
-        known = known.dropDuplicates(["id", "text"])
+        rows = rows.dropDuplicates(["id", "text"])
     above = [(r["greatest"], (k + 1) % len(ranges) + 1) for k, r in enumerate(ranges)]
     heads = rows.sparkSession.createDataFrame(above, "id bigint, above bigint")
-    placed = known.withColumn("chunk", _chunk_of(F.col("id"), [r["least"] for r in ranges])).join(F.broadcast(heads), "id", "left")
+    placed = rows.withColumn("chunk", _chunk_of(F.col("id"), [r["least"] for r in ranges])).join(F.broadcast(heads), "id", "left")
     own = F.struct("chunk", F.lit(False).alias("guest"))
     guest = F.struct(F.col("above").alias("chunk"), F.lit(True).alias("guest"))
     dealt = placed.select("id", "text", "fingerprint", F.inline(F.when(F.col("above").isNull(), F.array(own)).otherwise(F.array(own, guest))))
@@ -180,7 +186,11 @@ def with_next(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, most_chunks: int =
     follows = dealt.select(
         "id", "text", "fingerprint", "guest", F.lead("text").over(order).alias("next_text"), F.lead("fingerprint").over(order).alias("next_fingerprint")
     )
-    return follows.where(~F.col("guest")).drop("guest").unionByName(empty)
+    return follows.where(~F.col("guest")).drop("guest")
+
+
+def without_next(rows: DataFrame) -> DataFrame:
+    return rows.select("id", "text", "fingerprint", F.lit(None).cast("string").alias("next_text"), F.array().cast("array<bigint>").alias("next_fingerprint"))
 
 
 def edited_text() -> Column:
@@ -194,13 +204,14 @@ def compare_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     each row: how like is a document to itself with its last half taken from the next
     one, and to the next one?
 
-    A null text is empty. Documents, repeated rows and missing ids are as in
-    ``with_next``; without a next document the half goes and nothing comes. Other
-    columns are left out.
+    A null text is empty. Repeated rows are as in ``with_next``. A row without an id
+    stands outside of the order: its half goes, nothing comes, and its next document
+    counts as empty. Other columns are left out; a text is worked on whole.
     """
     rows = narrow(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = add_fingerprint(rows, F.col("text"), "fingerprint")
-    pairs = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
+    # Parted first: a filter does not go below the fingerprint, which is pinned.
+    known, unknown = (add_fingerprint(rows.where(f"id is {which}"), F.col("text"), "fingerprint") for which in ("not null", "null"))
+    pairs = with_next(known).unionByName(without_next(unknown)).withColumn("n_chars", F.char_length("text").cast("long"))
     pairs = pairs.select("id", "n_chars", "fingerprint", "next_fingerprint", pinned(edited_text()).alias("edited"))
     pairs = add_fingerprint(pairs, F.col("edited"), "edited_fingerprint")
     return pairs.select(
