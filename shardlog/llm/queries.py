@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, one_permutation, segmentation, simhash, sql, suffix_dedup, topk, warc
+from shardlog.llm import decontamination, language_id, licenses, line_crf, line_dedup, one_permutation, phrases, segmentation, simhash, spelling, sql, suffix_dedup, topk, warc
 from shardlog.llm.common import table
 from shardlog.llm.registry import ORACLES, QUERIES, query
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "phrases", "spelling"]
 
 
 @query("op1_decontamination", sql.DECONTAMINATION)

@@ -73,3 +73,59 @@ wanted AS (SELECT license, unnest(own) AS s, len(own) AS n FROM template)
 SELECT doc_id, license, any_value(n)::BIGINT AS n_shingles, count(DISTINCT s) AS n_found, min(place)::BIGINT AS first_shingle
 FROM doc JOIN wanted USING (s) GROUP BY doc_id, license HAVING count(DISTINCT s) >= 0.8 * any_value(n)
 """
+
+PHRASES = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')), '[^ \\t]+') AS w FROM documents),
+gram AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, range(1, 6) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS c FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, c AS a FROM f WHERE k > 1 AND c >= 100),
+part AS (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (
+  SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 5) t(m) WHERE m < k)),
+covered AS (SELECT lang, phrase, max(a) AS longer FROM part GROUP BY ALL),
+kept AS (SELECT cand.* FROM cand LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cut AS (SELECT *, array_to_string(w[:i], ' ') AS left_part, array_to_string(w[i + 1:], ' ') AS right_part FROM (SELECT *, unnest(range(1, k)) AS i FROM kept)),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, i, lf.c AS l, rf.c AS r, n, (1000::HUGEINT * a * n) // (lf.c::HUGEINT * rf.c) AS score
+  FROM cut JOIN f lf ON lf.lang = cut.lang AND lf.phrase = left_part JOIN f rf ON rf.lang = cut.lang AND rf.phrase = right_part JOIN total ON total.lang = cut.lang),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+# CRC-32 of the UTF-8 bytes, bit by bit for its table and byte by byte for a text.
+SPELLING = f"""
+WITH RECURSIVE bits(b, c, k) AS (
+  SELECT b, b::BIGINT, 0 FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE k = 8),
+run AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]{{7,}}')) AS run FROM documents) GROUP BY ALL),
+coded AS (
+  SELECT run, times, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x) >> 6)::BIGINT, 128 + (unicode(x) & 63)::BIGINT] END)) AS bytes FROM run),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda h, b: xor(h >> 8, tab[xor(h & 255, b) + 1])), 4294967295) AS h
+  FROM coded, crc),
+slipped AS (SELECT times, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+word AS (SELECT word, sum(times)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+short AS (SELECT word, n, length(word) AS size, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM short a JOIN short b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM short a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM short a JOIN word b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, other_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) = 1),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM word LEFT JOIN best USING (word)),
+walk(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NOT NULL),
+last AS (SELECT walk.word, root FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n FROM formed JOIN last USING (word)
+"""
