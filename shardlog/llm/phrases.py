@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,8 +35,10 @@ TOP = 2000
 # occurrences that LEAST in the corpus lead to expect in the sample.
 SAMPLE = 8
 LOWERED = 0.4
-# Size of the filter: 2^27 bits are 16 MB, whatever the corpus.
+# Largest size of the filter: 2^27 bits are 16 MB, whatever the corpus. It has
+# SPACIOUS bits for each proposed phrase while there are fewer.
 FILTER_BITS = 27
+SPACIOUS = 24
 _PLACES = 4
 BLOCK_BYTES = 4 << 20
 # A language's rows are ranked in so many parts first.
@@ -138,11 +141,9 @@ _NOTHING = pa.RecordBatch.from_pydict({
 })
 
 
-def count_phrases(docs: DataFrame, longest: int, bits: np.ndarray | None = None, before: np.ndarray | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_phrases(docs: DataFrame, longest: int, bits: Broadcast | None = None, before: Broadcast | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Occurrences of the phrases that ``count_language`` counts, over all documents."""
-    spark = docs.sparkSession
-    now, old = spark.sparkContext.broadcast(bits), spark.sparkContext.broadcast(before)
-    counted = map_blocks(docs, "text", block_bytes, _COUNTED, lambda b: _count_block(b, longest, now.value, old.value))
+    counted = map_blocks(docs, "text", block_bytes, _COUNTED, lambda b: _count_block(b, longest, bits and bits.value, before and before.value))
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"), F.min("h").alias("h"), F.max("proposed").alias("proposed"))
 
 
@@ -174,15 +175,20 @@ def frequent_phrases(
     sampled = rows.where(F.pmod(F.xxhash64("id", F.length("text"), F.lit(7)), F.lit(sample)) == 0).select("text", "lang")
     rows = rows.select("text", "lang")
     enough = max(2, int(lowered * least / sample))
-    bits = filter_of(count_phrases(sampled, longest, block_bytes=block_bytes).where((F.col("k") > 0) & (F.col("n") >= enough)), filter_bits)
-    before, found = None, None
+    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where((F.col("k") > 0) & (F.col("n") >= enough)).select("h"), "proposed")
+    filter_bits = min(filter_bits, max(16, (SPACIOUS * proposed.count()).bit_length()))
+    send = docs.sparkSession.sparkContext.broadcast
+    bits, before, found = send(filter_of(proposed, filter_bits)), None, None
     while True:
         counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases")
         found = counted if found is None else found.unionByName(counted)
         missed = counted.where((F.col("k") > 0) & ~F.col("proposed"))
+        if before is not None:
+            before.destroy()
         if missed.isEmpty():
+            bits.destroy()
             return found.select("lang", "k", "phrase", "n")
-        before, bits = bits, bits | filter_of(missed, filter_bits)
+        before, bits = bits, send(bits.value | filter_of(missed, filter_bits))
 
 
 def _between(words: Column, begin: Column, n: Column) -> Column:

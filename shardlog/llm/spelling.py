@@ -19,10 +19,11 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm.common import narrow, ranges, table
+from shardlog.llm.common import narrow, ranges, shifted_sums, table
 from shardlog.llm.registry import query
 from shardlog.llm.sql import SPELLING
 from shardlog.session import store
@@ -37,7 +38,7 @@ CHUNK = 1 << 15
 # Words of a cell to aim for; the top has a level more for every FAN times as many words.
 CELL, FAN = 1 << 13, 5
 # A node is a leaf when this many pairs of words and searches are left.
-_LEAF = 1 << 10
+_LEAF = 1 << 12
 _PAIRS = 1 << 16
 _WIDE = 64
 _STEP_BITS = 12
@@ -68,29 +69,60 @@ def words_with_slips(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return words.where(F.char_length("word") >= shortest).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def count_vectors(words: list[bytes]) -> np.ndarray:
-    """A row per word, a column per level: letters of the level's group."""
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    levels = _LEVEL_OF[np.frombuffer(b"".join(words), dtype=np.uint8)]
-    owner = np.repeat(np.arange(len(words)), sizes)
-    return np.bincount(owner * GROUPS + levels, minlength=len(words) * GROUPS).reshape(-1, GROUPS)
+class Words:
+    """An Arrow column of words as letters end to end, a byte for each."""
+
+    def __init__(self, column: pa.Array):
+        flat = np.frombuffer(b"".join(column.cast(pa.binary()).to_pylist()), dtype=np.uint8)
+        owner = np.repeat(np.arange(len(column)), np.asarray(pc.binary_length(column), dtype=np.int64))
+        # U+00C0 to U+00FF are a byte C3 and the letter's code without bit 6.
+        letter = flat != 0xC3
+        self.flat, self.owner = flat[letter], owner[letter]
+        self.flat = np.where(self.flat < 0x80, self.flat, self.flat | 0x40)
+        self.sizes = np.bincount(self.owner, minlength=len(column))
+        self.starts = shifted_sums(self.sizes)[:-1]
+
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first three letters of each word in a number, and the last three."""
+        letters = np.append(self.flat, np.zeros(3, np.uint8)).astype(np.int64)
+        last = np.maximum(self.starts + self.sizes - 3, 0)
+        return tuple(letters[at] << 16 | letters[at + 1] << 8 | letters[at + 2] for at in (self.starts, last))
+
+    def vectors(self) -> np.ndarray:
+        """A row per word, a column per level: letters of the level's group. Counts end
+        at 127: words of more search too widely, and are verified."""
+        counts = np.bincount(self.owner * GROUPS + _LEVEL_OF[self.flat], minlength=len(self.sizes) * GROUPS)
+        return np.minimum(counts, 127).astype(np.int8).reshape(-1, GROUPS)
+
+    def word(self, k: int) -> bytes:
+        return self.flat[self.starts[k] : self.starts[k] + self.sizes[k]].tobytes()
+
+    def padded(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The letters of some words as rows, from the left and from the right."""
+        sizes = np.where(self.sizes[which] <= _WIDE, self.sizes[which], 0)
+        flat = self.flat[ranges(self.starts[which], sizes)]
+        owner, place = np.repeat(np.arange(len(which)), sizes), ranges(np.zeros(len(which), np.int64), sizes)
+        wide = int(sizes.max(initial=0)) + 1
+        left, right = (np.zeros((len(which), wide), np.uint8) for _ in range(2))
+        left[owner, place] = flat
+        right[owner, np.repeat(sizes, sizes) - 1 - place] = flat
+        return left, right
 
 
 def steps(depth: int) -> list[int]:
-    """From a cell to those that one surplus and one deficit lead to, itself included."""
+    """From a cell to itself and to those that one surplus and one deficit lead to, of two
+    opposite steps the one upwards: either cell finds the pairs of both."""
     unit = [1 << _STEP_BITS * k for k in range(depth)]
-    both = [a - b for a, b in itertools.permutations(unit, 2)]
-    return [0, *unit, *(-u for u in unit), *both]
+    return [0, *unit, *(b - a for a, b in itertools.combinations(unit, 2))]
 
 
 def _cells(words: DataFrame, depth: int) -> DataFrame:
-    """Words with the number of their cell. Counts beyond 4095 share cells with others,
-    which costs time alone: words are searched for and verified inside."""
-    weights = np.array([1 << _STEP_BITS * k for k in range(depth)] + [0] * (GROUPS - depth), dtype=np.int64)
+    """Words with the number of their cell. Counts above 127 share a cell."""
+    weights = np.array([1 << _STEP_BITS * k for k in range(depth)], dtype=np.int64)
 
     def add(batches):
         for batch in batches:
-            vectors = count_vectors([w.encode("latin-1") for w in batch.column("word").to_pylist()])
+            vectors = Words(batch.column("word")).vectors()[:, :depth].astype(np.int64)
             yield batch.append_column("cell", pa.array(vectors @ weights, pa.int64()))
 
     return words.mapInArrow(add, "word string, n long, cell long")
@@ -99,25 +131,33 @@ def _cells(words: DataFrame, depth: int) -> DataFrame:
 def candidates(items: np.ndarray, searches: np.ndarray):
     """Pairs (search, item) whose vectors differ by a surplus and a deficit of one at
     most, in blocks. ``items`` are sorted by their vectors."""
-    stack = [(0, 0, len(items), np.arange(len(searches)), np.zeros(len(searches), np.int8), np.zeros(len(searches), np.int8))]
+    none = np.zeros(len(searches), np.int8)
+    stack = [(0, 0, len(items), np.arange(len(searches)), none, none)]
     while stack:
         level, low, high, q, surplus, deficit = stack.pop()
         if level == GROUPS or (high - low) * len(q) <= _LEAF:
-            for a in range(0, len(q), max(1, _PAIRS // (high - low))):
-                part = q[a : a + max(1, _PAIRS // (high - low))]
-                differ = items[None, low:high] - searches[part][:, None]
-                fits = (np.maximum(differ, 0).sum(axis=2) <= 1) & (np.maximum(-differ, 0).sum(axis=2) <= 1)
-                i, j = np.nonzero(fits)
+            size = max(1, _PAIRS // (high - low))
+            for a in range(0, len(q), size):
+                part, more, fewer = q[a : a + size], surplus[a : a + size, None], deficit[a : a + size, None]
+                for rest in range(level, GROUPS):
+                    differ = items[None, low:high, rest] - searches[part, rest, None]
+                    more = more + np.maximum(differ, 0)
+                    fewer = fewer + np.maximum(-differ, 0)
+                    # Sums would not fit a byte if large differences were added up.
+                    np.minimum(more, 2, out=more)
+                    np.minimum(fewer, 2, out=fewer)
+                i, j = np.nonzero(np.broadcast_to((more <= 1) & (fewer <= 1), (len(part), high - low)))
                 yield part[i], low + j
             continue
         counts = items[low:high, level]
         starts = low + np.append(0, np.flatnonzero(counts[1:] != counts[:-1]) + 1)
+        own = searches[q, level]
         for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), high]):
-            differ = items[begin, level] - searches[q, level]
+            differ = items[begin, level] - own
             more, fewer = surplus + np.maximum(differ, 0), deficit + np.maximum(-differ, 0)
-            alive = (more <= 1) & (fewer <= 1)
+            alive = (more <= 1) & (fewer <= 1) & (differ <= 1) & (differ >= -1)
             if alive.any():
-                stack.append((level + 1, begin, end, q[alive], more[alive].astype(np.int8), fewer[alive].astype(np.int8)))
+                stack.append((level + 1, begin, end, q[alive], more[alive], fewer[alive]))
 
 
 def one_edit(a: bytes, b: bytes) -> bool:
@@ -130,56 +170,57 @@ def one_edit(a: bytes, b: bytes) -> bool:
     return a[same + 1 :] == b[same + 1 :] if len(a) == len(b) else a[same + (len(a) > len(b)) :] == b[same + (len(b) > len(a)) :]
 
 
-class _Letters:
-    """Words as rows of letters, from the left and from the right."""
-
-    def __init__(self, words: list[bytes]):
-        self.words = words
-        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
-        wide = np.where(self.sizes <= _WIDE, self.sizes, 0)
-        flat = np.frombuffer(b"".join(w if len(w) <= _WIDE else b"" for w in words), dtype=np.uint8)
-        owner, place = np.repeat(np.arange(len(words)), wide), ranges(np.zeros(len(words), np.int64), wide)
-        self.left, self.right = (np.zeros((len(words), _WIDE), np.uint8) for _ in range(2))
-        self.left[owner, place] = flat
-        self.right[owner, np.repeat(wide, wide) - 1 - place] = flat
-
-
-def verified(searches: _Letters, i: np.ndarray, items: _Letters, j: np.ndarray) -> np.ndarray:
+def verified(words: Words, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs are one edit apart: all letters but one agree, from either end."""
-    short, long = np.minimum(searches.sizes[i], items.sizes[j]), np.maximum(searches.sizes[i], items.sizes[j])
+    short, long = np.minimum(words.sizes[i], words.sizes[j]), np.maximum(words.sizes[i], words.sizes[j])
+    which, place = np.unique(np.concatenate([i, j]), return_inverse=True)
     common = []
-    for a, b in ((searches.left, items.left), (searches.right, items.right)):
-        unequal = a[i] != b[j]
-        common.append(np.minimum(np.where(unequal.any(axis=1), unequal.argmax(axis=1), _WIDE), short))
+    for letters in words.padded(which):
+        unequal = letters[place[: len(i)]] != letters[place[len(i) :]]
+        common.append(np.minimum(np.where(unequal.any(axis=1), unequal.argmax(axis=1), short), short))
     out = np.where(long == short, common[0] + common[1] == short - 1, (long == short + 1) & (common[0] + common[1] >= short))
     for k in np.flatnonzero(long > _WIDE).tolist():
-        out[k] = one_edit(searches.words[i[k]], items.words[j[k]])
+        out[k] = one_edit(words.word(i[k]), words.word(j[k]))
     return out
 
 
 def _search(group: pa.Table) -> pa.Table:
-    """For each search of a chunk: its near words there, and the most frequent of them."""
-    is_item = np.asarray(group.column("item"))
-    words = [w.encode("latin-1") for w in group.column("word").to_pylist()]
-    n = np.asarray(group.column("n"))
-    place = np.flatnonzero(is_item)
-    vectors = count_vectors(words)
+    """For each word of a chunk its near words there, and the most frequent of them.
+
+    A search from the own cell finds each of two words from the other; one from another
+    cell finds both ends of a pair."""
+    group = group.combine_chunks()
+    column = group.column("word").chunk(0) if group.num_rows else pa.array([], pa.string())
+    step, n = np.asarray(group.column("step")), np.asarray(group.column("n"))
+    words = Words(column)
+    vectors = words.vectors()
+    place, of = np.flatnonzero(step < 0), np.flatnonzero(step >= 0)
     place = place[np.lexsort(vectors[place].T[::-1])]
-    of = np.flatnonzero(~is_item)
-    items, searches = _Letters([words[p] for p in place.tolist()]), _Letters([words[p] for p in of.tolist()])
-    found = [(i[ok], j[ok]) for i, j in candidates(vectors[place], vectors[of]) for ok in (verified(searches, i, items, j),)]
-    i, j = (np.concatenate([f[side] for f in found] or [np.zeros(0, np.int64)]) for side in (0, 1))
-    # Of the near words the most frequent first, of equally frequent ones the smallest.
-    rank = np.empty(len(place), dtype=np.int64)
-    rank[sorted(range(len(place)), key=lambda k: (-n[place[k]], items.words[k]))] = np.arange(len(place))
+    blocks = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    head, tail = words.ends()
+    for i, j in candidates(vectors[place], vectors[of]) if len(place) else ():
+        i, j = of[i], place[j]
+        # One edit leaves either end of six letters alone, or both.
+        likely = (head[i] == head[j]) | (tail[i] == tail[j]) | (words.sizes[i] < 6) | (words.sizes[j] < 6)
+        i, j = i[likely], j[likely]
+        near = verified(words, i, j)
+        blocks.append((i[near], j[near]))
+    i, j = (np.concatenate([b[side] for b in blocks]) for side in (0, 1))
+    back = step[i] > 0
+    i, j = np.concatenate([i, j[back]]), np.concatenate([j, i[back]])
+    # Of a word's near ones the most frequent first, of equally frequent ones the smallest.
+    met = np.unique(j)
+    named = dict(zip(met.tolist(), column.take(pa.array(met)).to_pylist()))
+    rank = np.zeros(len(words.sizes), dtype=np.int64)
+    rank[sorted(named, key=lambda k: (-n[k], named[k]))] = np.arange(len(met))
     order = np.lexsort((rank[j], i))
     i, j = i[order], j[order]
     first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
     return pa.table({
-        "word": pa.array([searches.words[k].decode("latin-1") for k in i[first].tolist()], pa.string()),
+        "word": column.take(pa.array(i[first])),
         "n_near": pa.array(np.diff(np.append(first, len(i))), pa.int64()),
-        "near": pa.array([items.words[k].decode("latin-1") for k in j[first].tolist()], pa.string()),
-        "near_n": pa.array(n[place[j[first]]], pa.int64()),
+        "near": column.take(pa.array(j[first])),
+        "near_n": pa.array(n[j[first]], pa.int64()),
     })
 
 
@@ -199,15 +240,16 @@ def near_words(words: DataFrame, depth: int | None = None, chunk: int = CHUNK) -
         while depth < 5 and size > CELL * FAN**depth:
             depth += 1
     placed = store(_cells(words, depth), "cells")
-    around = placed.select("word", F.explode(F.array(*[F.col("cell") + F.lit(s) for s in steps(depth)])).alias("cell"))
+    away = F.posexplode(F.array(*[F.col("cell") + F.lit(s) for s in steps(depth)])).alias("step", "cell")
+    around = placed.select("word", "n", away)
     held = placed.groupBy("cell").agg(F.ceil(F.count("*") / chunk).cast("int").alias("item_chunks"))
     # Searches only go where there are words. Both sides are dealt: each chunk of a cell's words meets each chunk of its searches.
     around = around.join(held, "cell")
     sought = around.groupBy("cell").agg(F.ceil(F.count("*") / chunk).cast("int").alias("search_chunks"))
     cells = store(held.join(sought, "cell"), "cell-chunks")
     every = lambda chunks: F.explode(F.sequence(F.lit(0), F.col(chunks) - 1))
-    searches = around.drop("item_chunks").join(cells, "cell").select("cell", every("item_chunks").alias("a"), _share("search_chunks").alias("b"), "word", F.lit(0).cast("long").alias("n"), F.lit(False).alias("item"))
-    items = placed.join(cells, "cell").select("cell", _share("item_chunks").alias("a"), every("search_chunks").alias("b"), "word", "n", F.lit(True).alias("item"))
+    searches = around.drop("item_chunks").join(cells, "cell").select("cell", every("item_chunks").alias("a"), _share("search_chunks").alias("b"), "word", "n", "step")
+    items = placed.join(cells, "cell").select("cell", _share("item_chunks").alias("a"), every("search_chunks").alias("b"), "word", "n", F.lit(-1).alias("step"))
     found = searches.unionByName(items).groupBy("cell", "a", "b").applyInArrow(_search, "word string, n_near long, near string, near_n long")
     best = F.min(F.struct((-F.col("near_n")).alias("minus"), "near"))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.minus")).alias("near_n"))

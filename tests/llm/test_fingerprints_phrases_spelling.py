@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,8 +189,7 @@ def test_one_edit():
     for a, b, near in [("abc", "abc", 0), ("abc", "abd", 1), ("abc", "ab", 1), ("ab", "abc", 1), ("abc", "xabc", 1), ("abc", "bac", 0), ("abc", "a", 0), ("aab", "ab", 1)]:
         a, b = a.encode(), b.encode()
         assert spelling.one_edit(a, b) == bool(near)
-        one = np.zeros(1, np.int64)
-        assert spelling.verified(spelling._Letters([a]), one, spelling._Letters([b]), one)[0] == bool(near)
+        assert spelling.verified(spelling.Words(pa.array([a.decode(), b.decode()])), np.array([0]), np.array([1]))[0] == bool(near)
 
 
 def test_edited_text_digest(spark):
