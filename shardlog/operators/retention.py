@@ -3,15 +3,17 @@ write them to a new path, as Spark cannot overwrite the path it reads."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shardlog.functions.ids import parse_record_id, record_id_text
 from shardlog.functions.offsets import trim_predicate
 from shardlog.model import Offset
 from shardlog.session import store
+from shardlog.sources.directory import files_in_time
 
 
 def trim_stream(log: DataFrame, offset: Offset) -> DataFrame:
@@ -65,5 +67,46 @@ def keep_backlog(log: DataFrame, backlog: dict[str, int], now: datetime) -> Data
     spark = log.sparkSession
     table = F.broadcast(spark.createDataFrame(list(backlog.items()), "stream_name string, backlog_s bigint"))  # a row per stream
     seconds = F.col("backlog_s")
+    # Implied by what follows, and there to reach the scan.
+    oldest = now - timedelta(seconds=max([0, *backlog.values()]))
+    log = log.where(~F.coalesce(F.col("stream_name").isin(list(backlog)), F.lit(False)) | (F.col("publish_time") >= F.lit(oldest.isoformat(sep=" ")).cast("timestamp_ntz")))
     kept = log.join(table, "stream_name", "left").where(seconds.isNull() | within_backlog(now, seconds))
     return kept.drop("backlog_s")
+
+
+def expiry_of_files(directory: DataFrame, backlog: dict[str, int], now: datetime) -> DataFrame:
+    """(stream_name, file, n_records, keeps) of each file of a log of streams: ``all`` of
+    its records are within the stream's backlog, ``none`` is, or ``some`` may be. Files
+    of ``none`` can be deleted as they are."""
+    spark = directory.sparkSession
+    table = F.broadcast(spark.createDataFrame(list(backlog.items()), "stream_name string, backlog_s bigint"))  # a row per stream
+    limit = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz") - F.make_dt_interval(secs=F.col("backlog_s").cast("decimal(18,6)"))
+    keeps = (
+        F.when(F.col("backlog_s").isNull(), "all")
+        .when((F.col("backlog_s") <= 0) | (F.col("newest") < limit), "none")
+        .when(F.col("oldest") >= limit, "all")
+        .otherwise("some")
+    )
+    files = files_in_time(directory, ["stream_name"]).join(table, "stream_name", "left")
+    return files.select("stream_name", "file", "n_records", keeps.alias("keeps"))
+
+
+def keep_backlog_files(directory: DataFrame, path: str, schema: StructType, backlog: dict[str, int], now: datetime) -> DataFrame:
+    """What ``keep_backlog`` keeps of the log at ``path``, by its directory: files whose
+    records have all expired are not opened, those whose records all stay are read as they
+    are, and only the files that straddle a limit are filtered row by row.
+
+    The driver sees a row per file, as Spark's own listing of the log does.
+    """
+    spark = directory.sparkSession
+    named: dict[str, list[str]] = {"all": [], "some": []}
+    for r in expiry_of_files(directory, backlog, now).where("keeps <> 'none'").select("file", "keeps").distinct().toLocalIterator():
+        named[r["keeps"]].append(r["file"])
+    reader = lambda files: spark.read.schema(schema).option("basePath", path).parquet(*files)
+    kept = spark.createDataFrame([], schema)
+    if named["all"]:
+        kept = reader(named["all"])
+    if named["some"]:
+        some = keep_backlog(reader(named["some"]), backlog, now).select(*kept.columns)
+        kept = kept.unionByName(some) if named["all"] else some
+    return kept

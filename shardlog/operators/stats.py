@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shardlog.model import ERROR_UNKNOWN_STAT
 from shardlog.operators.subscriptions import batch_acks, unacked
+from shardlog.session import store
 
 STREAM_STATS = ["append_in_bytes", "append_in_records", "append_total", "append_failed", "read_in_bytes", "read_in_batches"]
 SUB_STATS = [
@@ -108,32 +109,52 @@ RATE_METHODS = {
 }
 
 
-def rates(log: DataFrame, method: str, intervals_s: list[int], as_of: datetime, stream: str | None = None) -> DataFrame:
+def rates(log: DataFrame, method: str, intervals_s: list[int], as_of: datetime, stream: str | None = None, directory: DataFrame | None = None) -> DataFrame:
     """Per stream and interval, in the order asked for, the amount per second over
-    the last interval, up to ``as_of``. One pass over the rows of the longest interval:
-    a sum per interval, made long afterwards. A batch counts when its first record
-    came. Streams without such rows have rates of 0. ``log`` holds the records appended,
-    or for the methods of reads those read, ``ts`` being when."""
+    the last interval, up to ``as_of``: a sum per interval, made long afterwards. A batch
+    counts when its first record came. Streams without such rows have rates of 0. ``log``
+    holds the records appended, or for the methods of reads those read, ``ts`` being when.
+
+    With the log's ``directory`` batches are summed up there. Records are only read of
+    the batches in which an interval begins or the clock stops, and none to count batches.
+    """
     if method not in RATE_METHODS:
         raise ValueError(f"method must be one of {sorted(RATE_METHODS)}, got {method!r}")
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    since = lambda s: now - F.make_dt_interval(secs=F.lit(s).cast("decimal(18,6)"))
-    rows = log if stream is None else log.where(F.col("stream_name") == stream)
+    since = [now - F.make_dt_interval(secs=F.lit(s).cast("decimal(18,6)")) for s in intervals_s]
+    longest = since[intervals_s.index(max(intervals_s))]
+    of = lambda df: df if stream is None else df.where(F.col("stream_name") == stream)
+    by_batch, names = method.endswith("_in_batches"), [f"_{i}" for i in range(len(intervals_s))]
+    rows, listed = of(log), None if directory is None else of(directory)
     # The streams alone: of a log partitioned by them, no column is read for it.
-    every = rows.select("stream_name").distinct()
-    if method.endswith("_in_batches"):
+    every = (rows if listed is None else listed).select("stream_name").distinct()
+    if listed is not None:
+        batches = listed.groupBy("stream_name", *BATCH).agg(
+            F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_bytes").alias("n_bytes"), F.sum("n_records").alias("n_records")
+        )
+        if by_batch:
+            rows = batches.withColumn("ts", F.col("first_ts"))
+    elif by_batch:
         rows = rows.groupBy("stream_name", *BATCH).agg(F.min("ts").alias("ts"))
-    recent = rows.where((F.col("ts") > since(max(intervals_s))) & (F.col("ts") <= now))
-    sums = recent.groupBy("stream_name").agg(
-        *[F.sum(F.when(F.col("ts") > since(s), RATE_METHODS[method]())).alias(f"_{i}") for i, s in enumerate(intervals_s)]
-    )
-    streams = every.join(sums, "stream_name", "left").select(
-        "stream_name", *[F.coalesce(f"_{i}", F.lit(0)).alias(f"_{i}") for i in range(len(intervals_s))]
-    )
+    amount = RATE_METHODS[method]()
+    if listed is None or by_batch:
+        recent = rows.where((F.col("ts") > longest) & (F.col("ts") <= now))
+        parts = recent.select("stream_name", *[F.when(F.col("ts") > s, amount).alias(n) for s, n in zip(since, names)])
+    else:
+        batches = batches.where((F.col("last_ts") > longest) & (F.col("first_ts") <= now))
+        whole = [(F.col("first_ts") > s) & (F.col("last_ts") <= now) for s in since]
+        held = F.col("n_bytes") if method.endswith("_in_bytes") else F.col("n_records")
+        parts = batches.select("stream_name", *[F.when(w, held).alias(n) for w, n in zip(whole, names)])
+        # Written so that the join is planned by its true size: about a batch per shard and interval.
+        edges = store(batches.select("stream_name", *BATCH, *[w.alias(f"w{n}") for w, n in zip(whole, names)]).where(" or ".join(f"not w{n}" for n in names)), "edges")
+        inside = rows.where((F.col("ts") > longest) & (F.col("ts") <= now)).join(edges, ["stream_name", *BATCH])
+        parts = parts.unionByName(inside.select("stream_name", *[F.when(~F.col(f"w{n}") & (F.col("ts") > s), amount).alias(n) for s, n in zip(since, names)]))
+    sums = parts.groupBy("stream_name").agg(*[F.sum(n).alias(n) for n in names])
+    streams = every.join(sums, "stream_name", "left").select("stream_name", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
     values = F.array(
         *[
-            F.struct(F.lit(i).alias("ord"), F.lit(s).cast("bigint").alias("interval_s"), (F.col(f"_{i}") / s).alias("rate"))
-            for i, s in enumerate(intervals_s)
+            F.struct(F.lit(i).alias("ord"), F.lit(s).cast("bigint").alias("interval_s"), (F.col(n) / s).alias("rate"))
+            for i, (s, n) in enumerate(zip(intervals_s, names))
         ]
     )
     return streams.select("stream_name", F.explode(values).alias("v")).select("stream_name", "v.*")

@@ -53,11 +53,22 @@ def with_acks(deliveries: DataFrame, acks: DataFrame) -> DataFrame:
     return deliveries.join(first, RECORD, "left")
 
 
+def latest_sends(deliveries: DataFrame) -> DataFrame:
+    """The latest delivery of each record; dealt by record, as the join with acks is."""
+    latest = W.partitionBy(*RECORD).orderBy(F.col("delivered_at").desc())
+    return deliveries.withColumn("_nth", F.row_number().over(latest)).where("_nth = 1").drop("_nth")
+
+
 def redeliveries(deliveries: DataFrame, acks: DataFrame, timeout_s: int, as_of: datetime) -> DataFrame:
     """Deliveries that were sent again, with how often and when first and last: every
     ``timeout_s`` after the delivery until the record's first ack, or ``as_of``. The
-    resends are counted and not made into rows, as their number has no limit."""
+    resends are counted and not made into rows, as their number has no limit.
+
+    Of a record with several deliveries up to ``as_of`` the latest alone is sent again:
+    each delivery starts the timer anew. What came later is not seen.
+    """
     check_positive("ack_timeout_s", timeout_s)
+    deliveries = latest_sends(deliveries.where(F.col("delivered_at") <= F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")))
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     step = timeout_s * 1_000_000
     sent, end = micros(F.col("delivered_at")), micros(F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"))

@@ -10,14 +10,16 @@ from shardlog.functions.shards import shard_bounds, shards_frame
 from shardlog.model import Offset
 from shardlog.operators.batching import batch_by_count
 from shardlog.operators.reconcile import reconcile
-from shardlog.operators.retention import keep_backlog, parse_ids, trim_points, trim_shard, trim_shards, trim_stream
+from shardlog.operators.retention import keep_backlog_files, parse_ids, trim_points, trim_shard, trim_shards, trim_stream
 from shardlog.plans.registry import query
-from shardlog.plans.relations import NUMBERED_SQL, SHARDS5, STREAMS_SQL, as_of, log, records, rid, stream_log
+from shardlog.plans.relations import (
+    NUMBERED_SQL, SHARDS5, STREAMS_SQL, as_of, log, log_directory, records, rid, stream_directory, stream_log, stream_log_path,
+)
 from shardlog.functions.ids import parse_record_id, record_id_text
 from shardlog.functions.shards import assign_shards
+from shardlog.sources.directory import tails
 from shardlog.sources.record_log import (
     first_batches, first_records_per_shard, read_by_key, read_shard, read_shard_batches, read_single_shard, read_stream,
-    tail_ids,
 )
 
 BACKLOG = {"click": 86_400, "view": 604_800, "error": 0, "purchase": 1_209_600, "signup": 2_592_000}
@@ -44,7 +46,7 @@ def _(spark, sf):
 @query("read_shard_limit", f"{NUMBERED_SQL} SELECT shard_id, rid, event_id FROM numbered WHERE (batch_id - 1) * 100 + batch_index < 30")
 def _(spark, sf):
     """One read of every shard, 30 records each."""
-    return first_records_per_shard(log(spark, sf), 30).select("shard_id", rid(), "event_id")
+    return first_records_per_shard(log(spark, sf), 30, directory=log_directory(spark, sf)).select("shard_id", rid(), "event_id")
 
 
 @query(
@@ -54,7 +56,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Ten records of one shard from a record on."""
-    return read_shard(log(spark, sf), 3, Offset.record(2, 40), max_records=10).select(rid(), "event_id")
+    return read_shard(log(spark, sf), 3, Offset.record(2, 40), max_records=10, directory=log_directory(spark, sf)).select(rid(), "event_id")
 
 
 @query(
@@ -121,7 +123,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """The last id of every shard."""
-    return tail_ids(log(spark, sf))
+    return tails(log_directory(spark, sf))
 
 
 # --- retention --------------------------------------------------------------
@@ -210,7 +212,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Each stream keeps its own backlog; 0 keeps none."""
-    kept = keep_backlog(stream_log(spark, sf), BACKLOG, as_of(spark, sf))
+    path, schema = stream_log_path(spark, sf), stream_log(spark, sf).schema
+    kept = keep_backlog_files(stream_directory(spark, sf), path, schema, BACKLOG, as_of(spark, sf))
     return kept.groupBy("stream_name", "shard_id").agg(
         F.count("*").alias("rows_kept"), F.min(F.struct("batch_id", "batch_index")).alias("f")
     ).select("stream_name", "shard_id", "rows_kept", F.concat_ws("-", "shard_id", "f.batch_id", "f.batch_index").alias("first_id"))

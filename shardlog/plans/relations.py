@@ -18,6 +18,7 @@ from shardlog.functions.shards import assign_shards, hash_key, shard_bounds
 from shardlog.model import FLAG_JSON
 from shardlog.operators.batching import batch_by_count, stamp_publish_time
 from shardlog.session import scratch_path
+from shardlog.sources.directory import SHARD_TYPE, read_directory, record_commit
 from shardlog.sources.record_log import write_log
 
 SHARDS5 = shard_bounds(5)
@@ -65,6 +66,7 @@ def log(spark: SparkSession, sf_dir: str, parts: tuple[str, ...] = ("shard_id",)
         rows = numbered(spark, sf_dir, list(parts))
         path = scratch_path(spark, "log")
         write_log(rows, path, list(parts))
+        record_commit(spark.read.schema(rows.schema).parquet(path), path, 0, list(parts))
         _logs[at], _schemas[at] = path, rows.schema
     return spark.read.schema(_schemas[at]).parquet(_logs[at])
 
@@ -74,11 +76,24 @@ def log_path(spark: SparkSession, sf_dir: str) -> str:
     return _logs[(spark.sparkContext.applicationId, sf_dir, ("shard_id",))]
 
 
+def log_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_directory(spark, log_path(spark, sf_dir))
+
+
 def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records as five streams, one per event type, of five shards each."""
     return log(spark, sf_dir, ("stream_name", "shard_id"))
 
 
+def stream_log_path(spark: SparkSession, sf_dir: str) -> str:
+    stream_log(spark, sf_dir)
+    return _logs[(spark.sparkContext.applicationId, sf_dir, ("stream_name", "shard_id"))]
+
+
+def stream_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_directory(spark, stream_log_path(spark, sf_dir), f"stream_name string, {SHARD_TYPE}")
+
+
 def as_of(spark: SparkSession, sf_dir: str) -> datetime:
     return table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
 
@@ -98,14 +113,14 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def acks(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     now = as_of(spark, sf_dir)
     never = (F.col("event_id") % 7 == 0) & (F.col("delivered_at") >= F.lit("2024-01-11").cast("timestamp_ntz"))
     acked = F.col("delivered_at") + F.make_dt_interval(secs=((F.col("event_id") * 37) % 1800).cast("decimal(18,6)"))
     return (
         deliveries(spark, sf_dir)
         .where(~never)
-        .select("sub_id", "shard_id", "batch_id", "batch_index", acked.alias("acked_at"))
+        .select("sub_id", "shard_id", "batch_id", "batch_index", acked.alias("acked_at"), *more)
         .where(F.col("acked_at") <= F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz"))
     )
 

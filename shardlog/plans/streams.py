@@ -13,11 +13,12 @@ from shardlog.operators.batching import Rule
 from shardlog.operators.packing import pack_batches
 from shardlog.operators.subscriptions import unacked
 from shardlog.plans.registry import query
-from shardlog.plans.relations import NUMBERED_SQL, SHARDS5, SUB_SQL, acks, log, log_path, records, rid, table
+from shardlog.plans.relations import ACK_TIMEOUT_S, NUMBERED_SQL, SHARDS5, SUB_SQL, acks, deliveries, log, log_path, records, rid, table
 from shardlog.plans.writing import BYTES_RULE, BYTES_SQL
 from shardlog.session import scratch_path, store
 from shardlog.streaming.fetch import fetch_available, read_fetched
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
+from shardlog.streaming.timeouts import timed_out
 from shardlog.streaming.views import daily_totals, keep_view, read_view, stream_as_select
 
 _DAILY_SQL = """SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n, sum(strlen(props))::BIGINT AS bytes
@@ -165,3 +166,32 @@ def _(spark, sf):
 def _(spark, sf):
     """The same, ended by the first bad batch."""
     return _fetched(spark, sf, "stop")
+
+
+# Every fifth ack arrives up to an hour after it was given.
+_LATE_S = 3_600
+
+
+@query(
+    "stream_ack_timeout",
+    f"""{SUB_SQL},
+    passed AS (SELECT least((SELECT max(delivered_at) FROM deliveries), (SELECT max(acked_at) FROM acks)) - to_seconds({_LATE_S}) AS t)
+    SELECT rid, delivered_at, delivered_at + to_seconds({ACK_TIMEOUT_S}) AS due FROM deliveries d, passed
+    WHERE delivered_at + to_seconds({ACK_TIMEOUT_S}) < t AND NOT EXISTS (
+      SELECT 1 FROM acks a WHERE a.rid = d.rid AND acked_at BETWEEN delivered_at - to_seconds({ACK_TIMEOUT_S}) AND delivered_at + to_seconds({ACK_TIMEOUT_S}))""",
+)
+def _(spark, sf):
+    """J5 on running streams: records whose ack did not come in time, over three arrivals
+    with late acks. What the watermarks have not passed is still waited for."""
+    out = scratch_path(spark, "ack-timeout")
+    sent, heard = deliveries(spark, sf), acks(spark, sf, "event_id")
+    cuts = [F.lit(c) for c in sent.agg(F.percentile_approx("delivered_at", [i / ARRIVALS for i in range(1, ARRIVALS)])).first()[0]]
+    number = lambda at: sum((at > c).cast("int") for c in cuts)
+    arrived = F.col("acked_at") + F.make_dt_interval(secs=F.when(F.col("event_id") % 5 == 0, _LATE_S).otherwise(0).cast("decimal(18,6)"))
+    sends = _arrivals(spark, sent, number(F.col("delivered_at")))
+    for path, ack_path in zip(sends, _arrivals(spark, heard, number(arrived))):
+        waiting = timed_out(
+            table_stream(spark, path, sent.schema), table_stream(spark, ack_path, heard.schema), ACK_TIMEOUT_S, f"{_LATE_S} seconds"
+        ).select(rid(), "delivered_at", "due")
+        stream_as_select(waiting, f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.schema(waiting.schema).parquet(f"{out}/rows")

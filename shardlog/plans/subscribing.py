@@ -14,7 +14,7 @@ from shardlog.operators.subscriptions import (
 )
 from shardlog.plans.registry import query
 from shardlog.plans.relations import (
-    ACK_TIMEOUT_S, STREAMS_SQL, SUB_SQL, acks, as_of, deliveries, log, rid, stream_log,
+    ACK_TIMEOUT_S, STREAMS_SQL, SUB_SQL, acks, as_of, deliveries, log, rid, stream_directory, stream_log,
 )
 from shardlog.plans.writing import fold_sql
 
@@ -70,9 +70,10 @@ def _attempts(sent, acked, now):
 
 @query(
     "sub_attempts",
-    f"""{SUB_SQL}, {RESENDS_SQL}
-    SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY delivered_at)::INTEGER AS attempt, delivered_at FROM (
-      SELECT rid, delivered_at FROM deliveries UNION ALL SELECT rid, last_resend FROM resends)""",
+    f"""{SUB_SQL}, {RESENDS_SQL},
+    sent AS (SELECT rid, delivered_at, row_number() OVER (PARTITION BY rid ORDER BY delivered_at) AS attempt FROM deliveries)
+    SELECT rid, attempt::INTEGER AS attempt, delivered_at FROM sent
+    UNION ALL SELECT rid, (attempt + n_resends)::INTEGER, last_resend FROM resends JOIN sent USING (rid, delivered_at)""",
 )
 def _(spark, sf):
     """The deliveries of each record, numbered, and its last send with the number
@@ -80,6 +81,57 @@ def _(spark, sf):
     return _attempts(deliveries(spark, sf), acks(spark, sf), as_of(spark, sf)).select(rid(), "attempt", "delivered_at")
 
 
+# Every thirteenth record is sent again 100 seconds later, and every third ack comes twice.
+# The clock stops on January 25, with sends and acks behind it.
+REPEATED_AS_OF = datetime(2024, 1, 25)
+REPEATED_SQL = f"""{SUB_SQL},
+sends AS (
+  SELECT * FROM deliveries
+  UNION ALL SELECT sub_id, consumer_name, shard_id, batch_id, batch_index, rid, event_id, n_bytes, delivered_at + to_seconds(100), failed
+  FROM deliveries WHERE event_id % 13 = 0),
+heard AS (
+  SELECT a.* FROM acks a UNION ALL
+  SELECT a.sub_id, a.shard_id, a.batch_id, a.batch_index, a.rid, a.acked_at + to_seconds(30) FROM acks a JOIN deliveries d USING (rid) WHERE event_id % 3 = 0),
+clock AS (SELECT TIMESTAMP '{REPEATED_AS_OF}' AS t),
+seen AS (SELECT sends.*, row_number() OVER (PARTITION BY rid ORDER BY delivered_at) AS attempt, count(*) OVER (PARTITION BY rid) AS n_sends
+  FROM sends, clock WHERE delivered_at <= t),
+again AS (
+  SELECT *, delivered_at + to_seconds({ACK_TIMEOUT_S}) AS first_resend, delivered_at + to_seconds(n_resends * {ACK_TIMEOUT_S}) AS last_resend FROM (
+    SELECT s.*, (least(epoch_us(t), coalesce(epoch_us(acked_at) - 1, epoch_us(t))) - epoch_us(delivered_at)) // {ACK_TIMEOUT_S * 1_000_000} AS n_resends
+    FROM seen s LEFT JOIN (SELECT rid, min(acked_at) AS acked_at FROM heard GROUP BY rid) USING (rid), clock
+    WHERE attempt = n_sends)
+  WHERE n_resends > 0)"""
+
+
+def _repeated(spark, sf):
+    """Sends up to the clock, and all acks."""
+    sent = deliveries(spark, sf)
+    later = F.col("delivered_at") + F.make_dt_interval(secs=F.lit(100).cast("decimal(18,6)"))
+    sent = sent.unionByName(sent.where("event_id % 13 = 0").withColumn("delivered_at", later))
+    heard = acks(spark, sf, "event_id")
+    late = F.col("acked_at") + F.make_dt_interval(secs=F.lit(30).cast("decimal(18,6)"))
+    heard = heard.unionByName(heard.where("event_id % 3 = 0").withColumn("acked_at", late)).drop("event_id")
+    return sent.where(F.col("delivered_at") <= F.lit(str(REPEATED_AS_OF)).cast("timestamp_ntz")), heard
+
+
+@query("sub_redelivery_repeated", f"{REPEATED_SQL} SELECT rid, n_resends::BIGINT AS n_resends, first_resend, last_resend FROM again")
+def _(spark, sf):
+    """J5 where records were sent more than once: the timer runs from the last send."""
+    sent, heard = _repeated(spark, sf)
+    return redeliveries(sent, heard, ACK_TIMEOUT_S, REPEATED_AS_OF).select(rid(), "n_resends", "first_resend", "last_resend")
+
+
+@query(
+    "sub_attempts_repeated",
+    f"""{REPEATED_SQL} SELECT rid, attempt::INTEGER AS attempt, delivered_at FROM seen
+    UNION ALL SELECT rid, (attempt + n_resends)::INTEGER, last_resend FROM again""",
+)
+def _(spark, sf):
+    """W7 where records were sent more than once: one last send each."""
+    sent, heard = _repeated(spark, sf)
+    return _attempts(sent, heard, REPEATED_AS_OF).select(rid(), "attempt", "delivered_at")
+
+
 @query(
     "sub_ack_latency",
     f"""{SUB_SQL}
@@ -205,19 +257,19 @@ def _rates_sql(amount: str, where: str, rows: str = "numbered") -> str:
 @query("rate_one_stream", _rates_sql("n_bytes", "WHERE stream_name = 'click'"))
 def _(spark, sf):
     """Bytes per second of one stream over four intervals."""
-    out = rates(stream_log(spark, sf), "append_in_bytes", INTERVALS, as_of(spark, sf), "click")
+    out = rates(stream_log(spark, sf), "append_in_bytes", INTERVALS, as_of(spark, sf), "click", stream_directory(spark, sf))
     return out.withColumn("rate", F.round("rate", 9))
 
 
 @query("rate_all_streams", _rates_sql("1", ""))
 def _(spark, sf):
     """A10: records per second of every stream over four intervals."""
-    out = rates(stream_log(spark, sf), "append_in_records", INTERVALS, as_of(spark, sf))
+    out = rates(stream_log(spark, sf), "append_in_records", INTERVALS, as_of(spark, sf), directory=stream_directory(spark, sf))
     return out.withColumn("rate", F.round("rate", 9))
 
 
 @query("rate_read_batches", _rates_sql("1", "", "(SELECT stream_name, min(ts) AS ts FROM numbered GROUP BY stream_name, shard_id, batch_id)"))
 def _(spark, sf):
     """A10: batches read per second of every stream, each when its first record was."""
-    out = rates(stream_log(spark, sf), "read_in_batches", INTERVALS, as_of(spark, sf))
+    out = rates(stream_log(spark, sf), "read_in_batches", INTERVALS, as_of(spark, sf), directory=stream_directory(spark, sf))
     return out.withColumn("rate", F.round("rate", 9))

@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardlog.functions.ids import record_id_text
 from shardlog.functions.shards import assign_shards, hash_key, split_unassigned
 from shardlog.operators.batching import Rule, cut_batches
-from shardlog.operators.subscriptions import after_tail
-from shardlog.sources.record_log import append_results, tail_ids, write_log
+from shardlog.sources.directory import commit_path, next_commit, read_directory, record_commit, tails
+from shardlog.sources.record_log import append_results, write_log
 
 SINGLE = Rule(count=1)
 
 
-def stored_tails(spark: SparkSession, path: str) -> list[Row]:
-    """Last record id of each shard of the log at ``path``; none before the first append."""
-    try:
-        log = spark.read.schema("shard_id bigint, batch_id bigint, batch_index int").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return tail_ids(log).collect()  # a row per shard
-
-
 def append(
     records: DataFrame,
     path: str,
@@ -37,20 +25,22 @@ def append(
     """Append records with ``key`` and ``n_bytes`` to the log at ``path``, in the
     order ``(ts, *order)``, and return each with ``rid`` or ``error``.
 
-    Batch ids go on from the tails of what ``path`` holds already, so none is given
-    twice, and only the records of this append are returned. What is appended at once
-    is flushed at its end, so the first record of the next append begins a batch.
+    Batch ids go on from the tails in the log's directory, so none is given twice; of
+    what is stored, nothing else is read. The records are a commit of their own, listed
+    in the directory last: an append that broke off is not in the log, and the next one
+    replaces what it left. What is appended at once is flushed at its end, so the first
+    record of the next append begins a batch. A log has one writer at a time.
     """
     spark = records.sparkSession
     hashed = records.withColumn("hash_key", hash_key(F.col("key")))
     good, lost = split_unassigned(assign_shards(hashed, bounds))
-    tails = stored_tails(spark, path)
-    resume = {(t["shard_id"],): (None, t["batch_id"], t["batch_id"] * rule.count) for t in tails}
+    directory = read_directory(spark, path)
+    number, ends = next_commit(directory), tails(directory).collect()  # a row per shard
+    resume = {(t["shard_id"],): (None, t["batch_id"], t["batch_id"] * rule.count) for t in ends}
     rows = cut_batches(good, ["shard_id"], ts, order, "n_bytes", rule, resume).records.drop("rn")
-    write_log(rows, path)
-    written = spark.read.schema(rows.schema).parquet(path)
-    if tails:
-        before = spark.createDataFrame([tuple(t) for t in tails], "shard_id bigint, batch_id bigint, batch_index int")
-        written = after_tail(written, before)
+    data = commit_path(path, number)
+    write_log(rows, data, mode="overwrite")
+    written = spark.read.schema(rows.schema).parquet(data)
+    record_commit(written, path, number, ts=ts)
     done = append_results(written).withColumn("rid", record_id_text())
     return done.unionByName(lost, allowMissingColumns=True)
