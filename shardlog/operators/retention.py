@@ -69,7 +69,8 @@ def keep_backlog(log: DataFrame, backlog: dict[str, int], now: datetime) -> Data
     seconds = F.col("backlog_s")
     # Implied by what follows, and there to reach the scan.
     oldest = now - timedelta(seconds=max([0, *backlog.values()]))
-    log = log.where(~F.coalesce(F.col("stream_name").isin(list(backlog)), F.lit(False)) | (F.col("publish_time") >= F.lit(oldest.isoformat(sep=" ")).cast("timestamp_ntz")))
+    other = F.col("stream_name").isNull() | ~F.col("stream_name").isin(list(backlog))
+    log = log.where(other | (F.col("publish_time") >= F.lit(oldest.isoformat(sep=" ")).cast("timestamp_ntz")))
     kept = log.join(table, "stream_name", "left").where(seconds.isNull() | within_backlog(now, seconds))
     return kept.drop("backlog_s")
 

@@ -13,7 +13,7 @@ from shardlog.operators.batching import Rule
 from shardlog.operators.packing import pack_batches
 from shardlog.operators.subscriptions import unacked
 from shardlog.plans.registry import query
-from shardlog.plans.relations import ACK_TIMEOUT_S, NUMBERED_SQL, SHARDS5, SUB_SQL, acks, deliveries, log, log_path, records, rid, table
+from shardlog.plans.relations import ACK_TIMEOUT_S, NUMBERED_SQL, REC_SQL, SHARDS5, SUB_SQL, acks, deliveries, log, log_path, records, rid, table
 from shardlog.plans.writing import BYTES_RULE, BYTES_SQL
 from shardlog.session import scratch_path, store
 from shardlog.streaming.fetch import fetch_available, read_fetched
@@ -36,7 +36,7 @@ def _log_stream(spark, sf):
 def _daily_view(spark, sf):
     out = scratch_path(spark, "view")
     sized = _events(spark, sf).withColumn("n_bytes", F.octet_length("props").cast("bigint"))
-    schema = keep_view(daily_totals(sized, "ts", ["event_type"], "n_bytes"), f"{out}/changes", f"{out}/checkpoint")
+    schema = keep_view(daily_totals(sized, "ts", ["event_type"], "n_bytes"), f"{out}/changes", f"{out}/checkpoint", ["day", "event_type"], 10)
     return read_view(spark, f"{out}/changes", schema, ["day", "event_type"])
 
 
@@ -103,17 +103,17 @@ def _arrivals(spark, rows, number):
         yield path
 
 
-def _batched(spark, sf, rule):
+def _batched(spark, sf, rule, which="true", flush=True):
     out = scratch_path(spark, "ingest")
     events = table(spark, sf, "events")
     cuts = events.agg(F.percentile_approx("ts", [i / ARRIVALS for i in range(1, ARRIVALS)])).first()[0]
     number = sum((F.col("ts") > F.lit(c)).cast("int") for c in cuts)
     for path in _arrivals(spark, events, number):
-        rows = assign_shards(records(spark, sf, table_stream(spark, path, events.schema)), SHARDS5)
+        rows = assign_shards(records(spark, sf, table_stream(spark, path, events.schema)), SHARDS5).where(which)
         run_available(
             rows.writeStream.foreachBatch(batcher(out, ["shard_id"], "ts", ["event_id"], "n_bytes", rule)), f"{out}/checkpoint"
         )
-    return read_batched(spark, out, rows.schema, ["shard_id"])
+    return read_batched(spark, out, rows.schema, ["shard_id"], flush)
 
 
 @query("stream_ingest", f"{NUMBERED_SQL} SELECT event_id, rid, n_bytes, publish_time FROM numbered")
@@ -128,6 +128,27 @@ def _(spark, sf):
     return _batched(spark, sf, BYTES_RULE).select("event_id", "shard_id", "batch_id", "batch_index")
 
 
+_SLOT_S = 21_600
+# Nothing comes to shard 2 any more after some days.
+_QUIET = "NOT (shard_id = 2 AND ts >= TIMESTAMP_NTZ '2024-01-19 08:00:00')"
+
+
+@query(
+    "stream_timer",
+    f"""{REC_SQL},
+    timed AS (SELECT event_id, shard_id, epoch_us(ts) AS us, min(epoch_us(ts)) OVER (PARTITION BY shard_id) AS root
+      FROM rec WHERE {_QUIET.replace('TIMESTAMP_NTZ', 'TIMESTAMP')}),
+    slots AS (SELECT *, (us - root) // {_SLOT_S * 1_000_000} AS slot FROM timed)
+    SELECT event_id, shard_id, dense_rank() OVER (PARTITION BY shard_id ORDER BY slot) AS batch_id FROM slots
+    WHERE root + (slot + 1) * {_SLOT_S * 1_000_000} <= (SELECT max(us) FROM timed)""",
+)
+def _(spark, sf):
+    """W4, ST3: batches closed by the timer alone, each as soon as the clock of all
+    shards has passed its time, also the last one of a shard that went quiet."""
+    rule = Rule(count=1_000_000, timeout_us=_SLOT_S * 1_000_000)
+    return _batched(spark, sf, rule, _QUIET, flush=False).select("event_id", "shard_id", "batch_id")
+
+
 # A tenth of shard 2's batches claims a record too many.
 _FETCH_SQL = f"""{NUMBERED_SQL},
 batch AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shardlog.functions.ids import record_id_text
 from shardlog.functions.payloads import attribute, json_field, json_payload, raw_payload, raw_text
 from shardlog.functions.shards import assign_shards, hash_key, shards_frame
-from shardlog.model import ERROR_CONTAMINATED, ERROR_UNKNOWN_TYPE, FLAG_JSON, FLAG_RAW
+from shardlog.model import ERROR_CONTAMINATED, ERROR_UNKNOWN_TYPE, FLAG_JSON, FLAG_RAW, ID_COLUMNS
 from shardlog.operators.batching import Rule, batch_by_count, cut_batches
 from shardlog.operators.packing import batch_status, batch_summary, pack_batches, split_by_flag, typed_payload, unpack_batches
 from shardlog.plans.registry import query
@@ -18,6 +18,7 @@ from shardlog.plans.relations import (
 )
 from shardlog.session import scratch_path, store, use_utc
 from shardlog.sources.append import SINGLE, append
+from shardlog.sources.cursors import advance, create_subscription, fetch
 from shardlog.sources.export import export_records, import_records
 from shardlog.sources.record_log import append_results, shard_profile
 
@@ -311,15 +312,16 @@ def _(spark, sf):
 _LATER = "ts >= TIMESTAMP '2024-01-10'"
 
 
-@query(
-    "append_twice",
-    f"""{REC_SQL},
+_TWICE_SQL = f"""{REC_SQL},
     ord AS (SELECT *, {_LATER} AS later, row_number() OVER (PARTITION BY shard_id, {_LATER} ORDER BY ts, event_id) - 1 AS place FROM rec),
-    before AS (SELECT shard_id, max(place // 100) + 1 AS batches FROM ord WHERE NOT later GROUP BY shard_id)
-    SELECT event_id, later,
-           concat_ws('-', shard_id, place // 100 + 1 + CASE WHEN later THEN coalesce(batches, 0) ELSE 0 END, place % 100) AS rid
-    FROM ord LEFT JOIN before USING (shard_id)""",
-)
+    before AS (SELECT shard_id, max(place // 100) + 1 AS batches FROM ord WHERE NOT later GROUP BY shard_id),
+    twice AS (
+      SELECT event_id, later,
+             concat_ws('-', shard_id, place // 100 + 1 + CASE WHEN later THEN coalesce(batches, 0) ELSE 0 END, place % 100) AS rid
+      FROM ord LEFT JOIN before USING (shard_id))"""
+
+
+@query("append_twice", f"{_TWICE_SQL} SELECT event_id, later, rid FROM twice")
 def _(spark, sf):
     """K2: two appends to one log. Ids go on, and each returns its own records only."""
     path, later = scratch_path(spark, "append-twice"), F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")
@@ -330,6 +332,20 @@ def _(spark, sf):
     return both[0].unionAll(both[1])
 
 
+@query("sub_stored_start", f"{_TWICE_SQL} SELECT event_id, rid FROM twice WHERE later")
+def _(spark, sf):
+    """ST1, S7: a subscription made between two appends, its start stored; it fetches the
+    records of the second, and by its stored position nothing once it is done with them."""
+    path, later = scratch_path(spark, "subscribed"), F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")
+    append(records(spark, sf).where(~later), path, SHARDS5, Rule(count=100))
+    create_subscription(spark, path, "s1")
+    schema = append(records(spark, sf).where(later), path, SHARDS5, Rule(count=100)).drop("rid", "error").schema
+    got = store(fetch(spark, path, "s1", schema).select("event_id", *ID_COLUMNS), "fetched")
+    advance(spark, path, "s1", got)
+    again = fetch(spark, path, "s1", schema).select("event_id", *ID_COLUMNS)
+    return got.unionAll(again).select("event_id", rid())
+
+
 @query("append_batched", f"{NUMBERED_SQL} SELECT event_id, rid, n_bytes, publish_time FROM numbered")
 def _(spark, sf):
     """K2: shard, batch, number and write; read back from the written log."""

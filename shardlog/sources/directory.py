@@ -51,10 +51,10 @@ def next_commit(directory: DataFrame) -> int:
     return 0 if last is None else last + 1
 
 
-def record_commit(written: DataFrame, path: str, number: int, parts: list[str] = ["shard_id"], ts: str = "ts") -> None:  # noqa: B006
+def record_commit(written: DataFrame, path: str, number: int, parts: list[str] = ["shard_id"], ts: str = "ts", n_bytes: str = "n_bytes") -> None:  # noqa: B006
     """Make the commit ``number`` count: list the batches of ``written``, a table as read
     from its files, in the directory. Ids, sizes and times alone are read."""
-    found = written.select(*parts, "batch_id", "batch_index", "n_bytes", F.col(ts).alias("ts"), "publish_time", F.col("_metadata.file_path").alias("file"))
+    found = written.select(*parts, "batch_id", "batch_index", F.col(n_bytes).cast("long").alias("n_bytes"), F.col(ts).alias("ts"), "publish_time", F.col("_metadata.file_path").alias("file"))
     rows = found.groupBy(*parts, "batch_id", "file").agg(
         F.min("batch_index").alias("first_index"),
         F.max("batch_index").alias("last_index"),

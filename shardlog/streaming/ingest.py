@@ -4,8 +4,11 @@ Each micro-batch is cut by the same operators as a bounded table, going on from
 the state the micro-batch before left for each shard: one small row per shard.
 So a hot shard is as parallel here as there, and an open batch survives.
 Records are laid out as an appended log is, a directory per shard, so that reads of
-a shard prune here too. Output and state are written under the micro-batch's number and replaced when it
-is run again, so a retried micro-batch leaves one copy.
+a shard prune here too. Output, its rows of the log's directory and the state are written
+under the micro-batch's number and replaced when it is run again, so a retried micro-batch leaves one copy.
+
+Time goes on with the newest record of any shard: an open batch whose timer has run out by
+then is closed, also that of a shard to which nothing comes any more.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shardlog.operators.batching import Rule, cut_batches, stamp_publish_time
+from shardlog.operators.batching import Rule, State, cut_batches
+from shardlog.session import store
+from shardlog.sources.directory import read_directory, record_commit
 from shardlog.sources.record_log import write_log
 
-STATE = "t0 bigint, held bigint, size bigint, batches bigint, records bigint"
+STATE = "t0 bigint, held bigint, size bigint, batches bigint, records bigint, clock bigint"
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -38,41 +43,76 @@ def run_steadily(writer, checkpoint: str, every: str = "10 seconds"):
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
-def _read_state(spark: SparkSession, out: str, epoch: int, parts: list[str], types: str) -> dict:
+def _read_state(spark: SparkSession, out: str, epoch: int, parts: list[str], types: str) -> tuple[dict, int]:
+    """Per shard its state with batches and records so far; and the clock."""
     if epoch < 0:
-        return {}
+        return {}, -(1 << 62)
     rows = spark.read.schema(f"{types}{STATE}").parquet(f"{out}/state/epoch={epoch}").collect()  # a row per shard
-    return {tuple(r[p] for p in parts): ((r["t0"], r["held"], r["size"]), r["batches"], r["records"]) for r in rows}
+    state = {tuple(r[p] for p in parts): ((r["t0"], r["held"], r["size"]), r["batches"], r["records"]) for r in rows}
+    return state, max((r["clock"] for r in rows), default=-(1 << 62))
+
+
+def timed_state(state: State, clock: int, rule: Rule) -> State:
+    """The state of a shard when the timer has been watched until ``clock``."""
+    t0, held, size = state
+    if rule.timeout_us <= 0 or clock < t0 + rule.timeout_us:
+        return state
+    return t0 + rule.timeout_us * ((clock - t0) // rule.timeout_us), 0, 0
+
 
+def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str, rule: Rule, late_s: int = 0):
+    """A ``foreachBatch`` function that cuts records into batches below ``out``.
 
-def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str, rule: Rule):
-    """A ``foreachBatch`` function that cuts records into batches below ``out``."""
+    ``late_s`` is how far the clock stays behind the newest record, for shards whose
+    records come that much later than those of others.
+    """
 
     def append(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.select(*parts).schema)
-        state = _read_state(spark, out, epoch - 1, parts, types)
+        types = _part_types(df.schema, parts)
+        state, clock = _read_state(spark, out, epoch - 1, parts, types)
         cut = cut_batches(df, parts, ts, order, n_bytes, rule, state)
-        write_log(cut.records.drop("rn", "publish_time"), f"{out}/records/epoch={epoch}", parts, mode="overwrite")
+        rows = cut.records.drop("rn")
+        write_log(rows, f"{out}/records/epoch={epoch}", parts, mode="overwrite")
+        record_commit(spark.read.schema(rows.schema).parquet(f"{out}/records/epoch={epoch}"), out, epoch, parts, ts, n_bytes)
+        newest = read_directory(spark, out, types.rstrip(", ")).where(F.col("commit") == epoch).agg(F.max(F.unix_micros(F.col("last_ts").cast("timestamp")))).first()[0]
+        clock = clock if newest is None else max(clock, newest - late_s * 1_000_000)
         state.update({t[: len(parts)]: tuple(t[len(parts):]) for t in cut.tails})
-        rows = [(*p, *s, batches, n) for p, (s, batches, n) in state.items()]
-        spark.createDataFrame(rows, f"{types}{STATE}").coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")
+        ends = [(*p, *timed_state(s, clock, rule), batches, n, clock) for p, (s, batches, n) in state.items()]
+        spark.createDataFrame(ends, f"{types}{STATE}").coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")
 
     return append
 
 
-def read_batched(spark: SparkSession, out: str, schema: StructType, parts: list[str], ts: str = "ts", flush: bool = True) -> DataFrame:
+def _part_types(schema: StructType, parts: list[str]) -> str:
+    return "".join(f"{p} {schema[p].dataType.simpleString()}, " for p in parts)
+
+
+def read_batched(spark: SparkSession, out: str, schema: StructType, parts: list[str], flush: bool = True) -> DataFrame:
     """The log written by ``batcher``, with publish times.
 
+    Records hold the publish time of their batch as it was when their micro-batch
+    ended. Of the few batches that went on in another one, at most one per shard and
+    micro-batch, the directory has the true one; no record is shuffled for it.
+
     ``flush`` counts the batches still open as closed, as stopping the producer
     does; otherwise they are left out until they close.
     """
-    full = StructType(list(schema.fields)).add("batch_id", "long").add("batch_index", "integer").add("epoch", "integer")
-    records = spark.read.schema(full).option("basePath", f"{out}/records").parquet(f"{out}/records")
+    added = {"batch_id": "long", "batch_index": "integer", "publish_time": "timestamp_ntz", "epoch": "integer"}
+    full = StructType(list(schema.fields))
+    for name, kind in added.items():
+        full = full.add(name, kind)
+    records = spark.read.schema(full).option("basePath", f"{out}/records").parquet(f"{out}/records").drop("epoch")
+    types = _part_types(schema, parts)
+    batches = read_directory(spark, out, types.rstrip(", ")).groupBy(*parts, "batch_id").agg(
+        F.min("commit").alias("first"), F.max("commit").alias("last"), F.max("publish_time").alias("_published")
+    )
+    # Written so that the join is planned by its true size.
+    continued = store(batches.where("first < last").drop("first", "last"), "continued")
+    records = records.join(continued, [*parts, "batch_id"], "left").withColumn("publish_time", F.coalesce("_published", "publish_time")).drop("_published")
     if not flush:
-        types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in schema if f.name in parts)
         states = spark.read.schema(f"{types}{STATE}, epoch int").option("basePath", f"{out}/state").parquet(f"{out}/state")
         last = states.groupBy(*parts).agg(F.max_by(F.struct("held", "batches"), "epoch").alias("s"))
-        open_ = F.broadcast(last.where("s.held > 0").select(*parts, F.col("s.batches").alias("_open")))  # a row per shard
+        open_ = store(last.where("s.held > 0").select(*parts, F.col("s.batches").alias("_open")), "open")  # a row per shard
         records = records.join(open_, parts, "left").where("_open is null or batch_id < _open").drop("_open")
-    return stamp_publish_time(records.drop("epoch"), parts, ts)
+    return records

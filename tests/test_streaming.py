@@ -1,5 +1,6 @@
 """Streams over several micro-batches."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,7 +12,8 @@ from shardlog.operators.packing import pack_batches
 from shardlog.session import scratch_path
 from shardlog.streaming.fetch import fetch_available, read_fetched
 from shardlog.streaming.ingest import batcher, read_batched, run_available, table_stream
-from shardlog.streaming.views import daily_totals, keep_view, read_view
+from shardlog.streaming.timeouts import timed_out
+from shardlog.streaming.views import compact_view, daily_totals, keep_view, read_view, stream_as_select
 
 T0 = datetime(2024, 1, 1)
 ROWS = "id bigint, shard_id bigint, ts timestamp_ntz, n_bytes bigint"
@@ -111,3 +113,69 @@ def test_streamed_logs_have_a_directory_per_shard(spark):
     run_available(stream.writeStream.foreachBatch(batcher(out, ["shard_id"], "ts", ["id"], "n_bytes", Rule(count=7))), f"{out}/checkpoint")
     mine = [f for f in spark.read.parquet(f"{out}/records").inputFiles() if "shard_id=2" in f]
     assert len(mine) == 3 and sum(spark.read.parquet(f).count() for f in mine) == 10
+
+
+SENT = "sub_id string, shard_id bigint, batch_id bigint, batch_index int, delivered_at timestamp_ntz"
+HEARD = "sub_id string, shard_id bigint, batch_id bigint, batch_index int, acked_at timestamp_ntz"
+
+
+def test_timeouts_wait_for_acks_on_their_way(spark):
+    at = lambda s: T0 + timedelta(seconds=s)
+    sends, heard, out = scratch_path(spark, "sends"), scratch_path(spark, "heard"), scratch_path(spark, "out")
+
+    def arrive(sent, acked):
+        spark.createDataFrame([("s", 1, 1, i, at(t)) for i, t in sent], SENT).coalesce(1).write.mode("append").parquet(sends)
+        spark.createDataFrame([("s", 1, 1, i, at(t)) for i, t in acked], HEARD).coalesce(1).write.mode("append").parquet(heard)
+        late = timed_out(table_stream(spark, sends, spark.read.parquet(sends).schema), table_stream(spark, heard, spark.read.parquet(heard).schema), 100, "50 seconds")
+        stream_as_select(late, f"{out}/rows", f"{out}/checkpoint")
+        return sorted((r["batch_index"], r["due"]) for r in spark.read.schema(late.schema).parquet(f"{out}/rows").collect())
+
+    # 0 is acked, 1 not, 2 too late, 3 twice, 4 is sent again after its ack
+    assert arrive([(0, 0), (1, 1), (2, 2), (3, 3), (4, 4)], [(0, 50), (3, 60), (3, 61), (4, 70)]) == []
+    # The clock has passed 1's time, but not by as much as an ack may be late.
+    assert arrive([(4, 90), (9, 140)], [(9, 141)]) == []
+    # 1's ack arrives late, and within the bound.
+    assert arrive([], [(1, 100), (2, 103)]) == []
+    got = arrive([(9, 400)], [(9, 401)])
+    assert got == [(2, at(102))]
+
+
+def test_timer_closes_the_last_batch_of_a_quiet_shard(spark):
+    rule, out = Rule(count=100, timeout_us=60_000_000), scratch_path(spark, "out")
+    first = [(i, 1 + i % 2, T0 + timedelta(seconds=i), 1) for i in range(20)]
+    later = [(100 + i, 1, T0 + timedelta(seconds=40 + 10 * i), 1) for i in range(6)]
+    cut, schema = batcher(out, ["shard_id"], "ts", ["id"], "n_bytes", rule, late_s=5), spark.createDataFrame(first, ROWS).schema
+    closed = lambda: {(r["shard_id"], r["batch_id"]) for r in read_batched(spark, out, schema, ["shard_id"], flush=False).collect()}
+    cut(spark.createDataFrame(first, ROWS), 0)
+    assert closed() == set()
+    cut(spark.createDataFrame(later[:2], ROWS), 1)
+    assert closed() == set()
+    # At 70 s the clock is at 65 s: shard 1 began at 0 s, and shard 2 at 1 s.
+    cut(spark.createDataFrame(later[2:4], ROWS), 2)
+    assert closed() == {(1, 1), (2, 1)}
+    cut(spark.createDataFrame([(200, 2, T0 + timedelta(seconds=95), 1)], ROWS), 3)
+    want = cut_batches(spark.createDataFrame([*first, *later[:4], (200, 2, T0 + timedelta(seconds=95), 1)], ROWS), ["shard_id"], "ts", ["id"], "n_bytes", rule).records
+    cols = ["id", "batch_id", "batch_index", "publish_time"]
+    got = read_batched(spark, out, schema, ["shard_id"])
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+    assert "Window" not in got._jdf.queryExecution().toString()
+
+
+def test_compacted_views_keep_their_values_and_few_files(spark):
+    keys, schema = ["k"], spark.createDataFrame([], "k bigint, n bigint").schema
+    changes, plain = scratch_path(spark, "changes"), {}
+    for epoch in range(50):
+        new = {k: epoch * 100 + k for k in range(epoch % 7, 20, 7)}
+        plain.update(new)
+        spark.createDataFrame(list(new.items()), schema).coalesce(1).write.mode("overwrite").parquet(f"{changes}/epoch={epoch}")
+        if epoch % 5 == 4:
+            before = sorted(map(tuple, read_view(spark, changes, schema, keys).collect()))
+            compact_view(spark, changes, schema, keys, epoch)
+            assert sorted(map(tuple, read_view(spark, changes, schema, keys).collect())) == before == sorted(plain.items())
+            # A micro-batch that runs again after its compaction changes nothing.
+            compact_view(spark, changes, schema, keys, epoch)
+    folders = [d for d in os.listdir(changes) if d.startswith("epoch=")]
+    assert len(folders) == 5 and len(os.listdir(f"{changes}/_snapshots")) == len(os.listdir(f"{changes}/_pointers")) == 2
+    # One that broke off before its pointer is not read.
+    spark.createDataFrame([(1, 1, 49)], "k bigint, n bigint, epoch int").write.parquet(f"{changes}/_snapshots/upto=60")
+    assert sorted(map(tuple, read_view(spark, changes, schema, keys).collect())) == sorted(plain.items())

@@ -138,3 +138,12 @@ def test_counts_of_consumers(spark, sent):
     assert {r["consumer_name"]: r["n_batches"] for r in got} == {"c0": 1, "c1": 2}
     part = s.consumers_of(sent.where("batch_index = 1").withColumn("consumer_name", F.lit("c"))).first()
     assert part["n_batches"] == 3
+
+
+def test_resends_run_from_the_latest_send(spark):
+    sends = spark.createDataFrame([("s", "c", 1, 1, 0, 5, at(t)) for t in (0, 100, 1500)], D)
+    # The send at 1500 is behind the clock.
+    got = s.redeliveries(sends, acked(spark), 600, at(1300)).collect()
+    assert [(r["n_resends"], r["first_resend"], r["last_resend"]) for r in got] == [(2, at(700), at(1300))]
+    numbered = subscribing._attempts(sends.where(F.col("delivered_at") <= F.lit(str(at(1300))).cast("timestamp_ntz")), acked(spark), at(1300)).collect()
+    assert sorted((r["attempt"], r["delivered_at"]) for r in numbered) == [(1, at(0)), (2, at(100)), (4, at(1300))]
