@@ -44,6 +44,10 @@ class Vocabulary:
         for value, i in enumerate(self.byte_ids.tolist()):
             if i >= 0:
                 self.bytes_of[i] = bytes([value])
+        # The same end to end, for many ids at a time.
+        self.sizes_of = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.starts_of = shifted_sums(self.sizes_of)[:-1]
+        self.flat_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.longest = max(len(names[i]) for i in normal)
         codes = [code_points(names[i]) for i in normal]
         begins = shifted_sums(np.array([len(c) for c in codes]))

@@ -40,7 +40,15 @@ def uniform(key: np.ndarray, *counters) -> np.ndarray:
     """Numbers in (0, 1) from a key and counters."""
     h = key.astype(np.uint64)
     for i, c in enumerate(counters, start=1):
-        h = mixed(h ^ mixed(np.atleast_1d(c).astype(np.uint64) + np.uint64(i << 56)))
+        h = _stirred(h, i, c)
+    return _fraction(h)
+
+
+def _stirred(h: np.ndarray, i: int, counter) -> np.ndarray:
+    return mixed(h ^ mixed(np.atleast_1d(counter).astype(np.uint64) + np.uint64(i << 56)))
+
+
+def _fraction(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
@@ -83,8 +91,9 @@ class Search:
         self.samples: list[Sample] = []
 
     def _draw(self, units: np.ndarray, number: int):
-        keys, place = self.keys[self.text_of[units]], self.place[units]
-        return lambda which, step: uniform(keys[which], number, place[which] + 1, step)
+        # Key and sample are stirred once a text, the unit's place once a unit.
+        h = _stirred(_stirred(self.keys.astype(np.uint64), 1, number)[self.text_of[units]], 2, self.place[units] + 1)
+        return lambda which, step: _fraction(_stirred(h[which], 3, step))
 
     def _open(self, s: Sample, number: int) -> None:
         """The nodes beside a sample: one column for each of the units from its cut on,
@@ -234,6 +243,20 @@ def decode(ids: list[int], vocabulary: Vocabulary) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def decoded_alike(ids: np.ndarray, cuts: np.ndarray, texts: list[str], vocabulary: Vocabulary) -> np.ndarray:
+    """For each text whether its ids decode to it. The bytes of all pieces are laid end
+    to end and compared with those that the texts should have; only where they differ
+    is a text decoded by itself."""
+    sizes = vocabulary.sizes_of[ids]
+    flat = vocabulary.flat_bytes[ranges(vocabulary.starts_of[ids], sizes)].tobytes()
+    ends = shifted_sums(sizes)[cuts].tolist()
+    wanted = [(BLANK + t.replace(" ", BLANK)).encode() if t else b"" for t in texts]
+    out = np.array([flat[a:b] == w for a, b, w in zip(ends, ends[1:], wanted)], dtype=bool)
+    for t in np.flatnonzero(~out).tolist():
+        out[t] = decode(ids[cuts[t] : cuts[t + 1]].tolist(), vocabulary) == texts[t].replace(BLANK, " ")
+    return out
+
+
 RESULT = "rank int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_sha256 string, round_trip boolean, ids array<int>"
 
 
@@ -248,11 +271,13 @@ def _sample_block(block: pa.RecordBatch, k: int, vocabulary: Vocabulary, with_id
         columns["n_pieces"].append(np.diff(s["cuts"])[at])
         for c in ("log_prob", "perturbed", "log_inclusion"):
             columns[c].append(s[c][at])
-        cuts = s["cuts"].tolist()
-        each = [s["ids"][cuts[t] : cuts[t + 1]] for t in at.tolist()]
-        columns["ids_sha256"] += [hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() for ids in each]
-        columns["round_trip"] += [decode(ids.tolist(), vocabulary) == texts[t].replace(BLANK, " ") for t, ids in zip(at.tolist(), each)]
-        columns["ids"] += each
+        ids = s["ids"].astype("<i4")
+        view, cuts = memoryview(ids.tobytes()), s["cuts"].tolist()
+        columns["ids_sha256"] += [hashlib.sha256(view[4 * cuts[t] : 4 * cuts[t + 1]]).hexdigest() for t in at.tolist()]
+        same = decoded_alike(ids, s["cuts"], texts, vocabulary)
+        columns["round_trip"].append(same[at])
+        # Texts without a segmentation of this rank have no pieces, so none are in between.
+        columns["ids"].append(pa.ListArray.from_arrays(pa.array(np.append(s["cuts"][at], len(ids)), pa.int32()), pa.array(ids)))
     of = np.concatenate(columns["of"])
     # Rows of a text next to each other, in order of rank.
     order = np.argsort(of, kind="stable")
@@ -260,10 +285,10 @@ def _sample_block(block: pa.RecordBatch, k: int, vocabulary: Vocabulary, with_id
     for c in ("rank", "n_pieces", "log_prob", "perturbed", "log_inclusion"):
         values = np.concatenate(columns[c])[order]
         out[c] = pa.array(values.astype(np.int32) if c == "rank" else values)
-    for c, kind in (("ids_sha256", pa.string()), ("round_trip", pa.bool_())):
-        out[c] = pa.array([columns[c][i] for i in order.tolist()], kind)
+    out["ids_sha256"] = pa.array(columns["ids_sha256"], pa.string()).take(pa.array(order))
+    out["round_trip"] = pa.array(np.concatenate(columns["round_trip"])[order])
     if with_ids:
-        out["ids"] = pa.array([columns["ids"][i] for i in order.tolist()], pa.list_(pa.int32()))
+        out["ids"] = pa.concat_arrays(columns["ids"]).take(pa.array(order))
     return pa.RecordBatch.from_pydict(out)
 
 
