@@ -1,12 +1,17 @@
 """Phrase collocations by Toivonen's mining: a sample proposes, full passes count.
 
-Phrases that are frequent in a sample of the documents, at a lowered threshold, are
+Phrases that are frequent in a sample of runs of words, at a lowered threshold, are
 proposed. A full pass counts every phrase whose two longest parts, the words but the
 last and the words but the first, are both proposed: these are the proposed phrases and
 their negative border. A counted phrase that is frequent but was not proposed is a
 failure of the border: longer phrases with it were not counted. Then the failures are
 proposed too, and a further pass counts what that adds, until there is no failure. As
-every part of a frequent phrase is frequent, all frequent phrases are counted then.
+every part of a frequent phrase is frequent, all frequent phrases are counted then. What
+a further pass reaches is little, so it is proposed at once, at every length.
+
+Proposed phrases are counted under their words, those of the border, of which there are
+many, under a 64-bit hash: they only have to be shown to be rare. A hash that is not
+is a failure, and the next pass counts its phrase, or phrases, under their words.
 
 Proposed phrases travel to the executors as a Bloom filter of fixed size. What it lets
 through by chance is counted as well, which costs time and changes no result; what an
@@ -24,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shardlog.llm.common import col, map_blocks, table, texts_of
+from shardlog.llm.polyhash import mixed
 from shardlog.llm.registry import query
 from shardlog.llm.sql import PHRASES
 from shardlog.session import store
@@ -31,20 +37,21 @@ from shardlog.session import store
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-# One document in so many is sampled; a phrase is proposed from LOWERED of the
+# One run of so many words in so many is sampled; a phrase is proposed from LOWERED of the
 # occurrences that LEAST in the corpus lead to expect in the sample.
-SAMPLE = 8
+RUN, SAMPLE = 40, 8
 LOWERED = 0.4
 # Largest size of the filter: 2^27 bits are 16 MB, whatever the corpus. It has
 # SPACIOUS bits for each proposed phrase while there are fewer.
 FILTER_BITS = 27
 SPACIOUS = 24
 _PLACES = 4
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # A language's rows are ranked in so many parts first.
 _PARTS = 64
 
-_COUNTED = "lang string, k int, phrase string, h long, n long, proposed boolean"
+# Rows of the border have no language, length or phrase.
+_COUNTED = "lang string, k int, phrase string, h long, n long"
 # Lower case for A-Z; a full stop, which no word holds, for every mark that ends a piece.
 _FOLD = bytes(0x2E if b in b".,;:!?\x0a\x0b\x0c\x0d" else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -69,82 +76,89 @@ def _held(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
 
 
 def count_language(texts: list[bytes], lang: str, longest: int, bits: np.ndarray | None, before: np.ndarray | None):
-    """(k, phrases, hashes, counts, proposed) for each k: the phrases of k words whose
-    parts are in the filter ``bits``, but for those with both parts in ``before``, and at
-    k = 0 the number of words. Words, which have no parts, count as new without ``before``.
+    """(k, phrases, hashes, counts, border hashes, border counts) for each k: of the
+    phrases of k words whose parts are in the filter ``bits`` those that are in it
+    themselves, and the others; and at k = 0 the number of words. What the filter
+    ``before`` had counted is left out, and what it had not reached counts as in the
+    filter. All words count as having their parts in a filter.
     """
     words = b".".join(texts).translate(_FOLD).replace(b".", b" . ").split()
     names = dict.fromkeys(words)
     names.pop(b".", None)
     vocabulary = list(names)
-    for i, w in enumerate(vocabulary):
-        names[w] = i
+    names = dict(zip(vocabulary, range(len(vocabulary))))
     names[b"."] = -1
     code = np.fromiter(map(names.__getitem__, words), dtype=np.int64, count=len(words))
     seed = xxhash.xxh64_intdigest(lang.encode())
-    own = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in vocabulary), dtype=np.uint64, count=len(vocabulary))
-    starts = np.flatnonzero(code >= 0)
-    if before is None:
-        yield 0, [""], np.zeros(1, np.uint64), np.array([len(starts)]), np.ones(1, bool)
-    # Of the phrase of k words that starts at each place: its number, if it is in the filter
-    number, hashes = code, own
-    in_old = _held(before, own) if before is not None else np.zeros(len(own), dtype=bool)
-    fits = _held(bits, own)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in vocabulary), dtype=np.uint64, count=len(vocabulary))
+    own, starts = hashes, np.flatnonzero(code >= 0)
     if before is None:
-        counts = np.bincount(code[starts], minlength=len(own))
-        yield 1, [w.decode() for w in vocabulary], own, counts, fits
-    for k in range(2, longest + 1):
-        number = np.where((number >= 0) & fits[number], number, -1) if len(fits) else number
-        at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
-        if k == 2:
-            last = code[at + 1]
-        else:
+        yield 0, [""], np.zeros(1, np.uint64), np.array([len(starts)]), hashes[:0], starts[:0]
+    # The phrase of k words that starts at each place, if it is in the filter: its number
+    number, place, counts = code, np.zeros(0, np.int64), np.bincount(code[starts], minlength=len(own))
+    reached = np.full(len(own), before is not None)
+    for k in range(1, longest + 1):
+        if k > 1:
+            at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
             at = at[at + k <= len(code)]
+            if not len(at):
+                return
             last = code[at + k - 1]
-        if not len(at):
-            return
-        keys, first, inverse, counts = np.unique(number[at] * len(own) + last, return_index=True, return_inverse=True, return_counts=True)
-        place = at[first]
-        was = in_old[number[place]] & in_old[number[place + 1]]
-        hashes = _extended(hashes[number[place]], own[last[first]])
-        fits = _held(bits, hashes)
-        in_old = was & _held(before, hashes) if before is not None else np.zeros(len(hashes), dtype=bool)
-        number = np.full(len(code), -1, dtype=np.int64)
-        number[at] = inverse
-        new = np.flatnonzero(~was)
-        phrases = [b" ".join(words[p : p + k]).decode() for p in place[new].tolist()]
-        yield k, phrases, hashes[new], counts[new], fits[new]
+            keys, first, inverse, counts = np.unique(number[at] * len(own) + last, return_index=True, return_inverse=True, return_counts=True)
+            place = at[first]
+            reached = in_old[number[place]] & in_old[number[place + 1]]
+            hashes = _extended(hashes[number[place]], own[last[first]])
+            number = np.full(len(code), -1, dtype=np.int64)
+            number[at] = inverse
+        fits = _held(bits, hashes) if before is None else _held(bits, hashes) | ~reached
+        in_old = reached & _held(before, hashes) if before is not None else reached
+        # Without a filter, in the sample, all is kept and hashes are enough.
+        new, rare = np.flatnonzero(fits & ~in_old & (bits is not None)), np.flatnonzero(~reached & (~fits | (bits is None)))
+        if k > 1:
+            phrases = [b" ".join(words[p : p + k]).decode() for p in place[new].tolist()]
+        else:
+            phrases = [vocabulary[i].decode() for i in new.tolist()]
+        yield k, phrases, hashes[new], counts[new], hashes[rare], counts[rare]
+        number = np.where((number >= 0) & fits[number], number, -1) if len(fits) else number
 
 
 def _count_block(block: pa.RecordBatch, longest: int, bits, before) -> pa.RecordBatch:
     by_lang: dict[str, list[bytes]] = {}
     for text, lang in zip(texts_of(block), block.column("lang").to_pylist()):
         by_lang.setdefault(lang, []).append(text)
-    parts = [
-        pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang] * len(phrases), pa.string()),
-            "k": pa.array([k] * len(phrases), pa.int32()),
-            "phrase": pa.array(phrases, pa.string()),
-            "h": pa.array(hashes.view(np.int64), pa.int64()),
-            "n": pa.array(counts, pa.int64()),
-            "proposed": pa.array(fits, pa.bool_()),
-        })
-        for lang, texts in by_lang.items()
-        for k, phrases, hashes, counts, fits in count_language(texts, lang, longest, bits, before)
-    ]
-    return pa.concat_batches(parts or [_NOTHING])
-
-
-_NOTHING = pa.RecordBatch.from_pydict({
-    "lang": pa.array([], pa.string()), "k": pa.array([], pa.int32()), "phrase": pa.array([], pa.string()),
-    "h": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "proposed": pa.array([], pa.bool_()),
-})
+    parts = [_NOTHING]
+    for lang, texts in by_lang.items():
+        for k, phrases, hashes, counts, rare_hashes, rare_counts in count_language(texts, lang, longest, bits, before):
+            parts.append(_rows(pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()), pa.array(phrases, pa.string()), hashes, counts))
+            none = [pa.nulls(len(rare_hashes), kind) for kind in (pa.string(), pa.int32(), pa.string())]
+            parts.append(_rows(*none, rare_hashes, rare_counts))
+    return pa.concat_batches(parts)
+
+
+def _sampled(text: bytes, key: int, sample: int) -> bytes:
+    """Some of the runs of RUN words of a text, by its key and their places. Of a long
+    piece that says something a hundred times, and of a group of copies, a part is sampled."""
+    words = text.translate(_FOLD).replace(b".", b" . ").split()
+    chance = mixed(np.arange(-(-len(words) // RUN), dtype=np.uint64) + np.uint64(key % (1 << 62)))
+    return b".".join([b" ".join(words[RUN * i : RUN * i + RUN]) for i in np.flatnonzero(chance % np.uint64(sample) == 0).tolist()])
+
+
+def _sample_block(block: pa.RecordBatch, sample: int) -> pa.RecordBatch:
+    texts = [_sampled(t, key, sample) for t, key in zip(texts_of(block), block.column("key").to_pylist())]
+    return pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.binary()).cast(pa.string()), "lang": block.column("lang")})
+
+
+def _rows(lang: pa.Array, k: pa.Array, phrase: pa.Array, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"lang": lang, "k": k, "phrase": phrase, "h": pa.array(hashes.view(np.int64), pa.int64()), "n": pa.array(counts, pa.int64())})
+
+
+_NOTHING = _rows(pa.nulls(0, pa.string()), pa.nulls(0, pa.int32()), pa.nulls(0, pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def count_phrases(docs: DataFrame, longest: int, bits: Broadcast | None = None, before: Broadcast | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Occurrences of the phrases that ``count_language`` counts, over all documents."""
     counted = map_blocks(docs, "text", block_bytes, _COUNTED, lambda b: _count_block(b, longest, bits and bits.value, before and before.value))
-    return counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"), F.min("h").alias("h"), F.max("proposed").alias("proposed"))
+    return counted.groupBy("lang", "k", "phrase", "h").agg(F.sum("n").alias("n"))
 
 
 def filter_of(phrases: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -170,24 +184,23 @@ def frequent_phrases(
     ``und``; each row counts, repeated ones too. Words are cut at blanks and tabs, pieces
     at ``.,;:!?`` and line breaks, A-Z is lower-cased.
     """
-    rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"), F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    # By row and not by text, so that one part of a group of copies is sampled.
-    sampled = rows.where(F.pmod(F.xxhash64("id", F.length("text"), F.lit(7)), F.lit(sample)) == 0).select("text", "lang")
+    rows = docs.select(F.xxhash64(col(id_col)).alias("key"), col(text_col).cast("string").alias("text"), F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"))
+    sampled = map_blocks(rows, "text", block_bytes, "text string, lang string", lambda b: _sample_block(b, sample))
     rows = rows.select("text", "lang")
     enough = max(2, int(lowered * least / sample))
-    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where((F.col("k") > 0) & (F.col("n") >= enough)).select("h"), "proposed")
+    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where(F.col("k").isNull() & (F.col("n") >= enough)).select("h"), "proposed")
     filter_bits = min(filter_bits, max(16, (SPACIOUS * proposed.count()).bit_length()))
     send = docs.sparkSession.sparkContext.broadcast
     bits, before, found = send(filter_of(proposed, filter_bits)), None, None
     while True:
         counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases")
         found = counted if found is None else found.unionByName(counted)
-        missed = counted.where((F.col("k") > 0) & ~F.col("proposed"))
+        missed = counted.where("k is null")
         if before is not None:
             before.destroy()
         if missed.isEmpty():
             bits.destroy()
-            return found.select("lang", "k", "phrase", "n")
+            return found.where("k is not null").select("lang", "k", "phrase", "n")
         before, bits = bits, send(bits.value | filter_of(missed, filter_bits))
 
 
