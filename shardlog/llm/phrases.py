@@ -46,7 +46,7 @@ LOWERED = 0.4
 FILTER_BITS = 27
 SPACIOUS = 24
 _PLACES = 4
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 # A language's rows are ranked in so many parts first.
 _PARTS = 64
 
