@@ -50,8 +50,9 @@ BLOCK_BYTES = 1 << 19
 # A language's rows are ranked in so many parts first.
 _PARTS = 64
 
-# Rows of the border have no language, length or phrase.
-_COUNTED = "lang string, k int, phrase string, h long, n long"
+# Two keys keep the rows of a task's sums small: the language and phrase, with the
+# language's length in front, or for the border the hash alone.
+_COUNTED = "name string, h long, n long"
 # Lower case for A-Z; a full stop, which no word holds, for every mark that ends a piece.
 _FOLD = bytes(0x2E if b in b".,;:!?\x0a\x0b\x0c\x0d" else 0x20 if b == 9 else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -128,10 +129,11 @@ def _count_block(block: pa.RecordBatch, longest: int, bits, before) -> pa.Record
         by_lang.setdefault(lang, []).append(text)
     parts = [_NOTHING]
     for lang, texts in by_lang.items():
-        for k, phrases, hashes, counts, rare_hashes, rare_counts in count_language(texts, lang, longest, bits, before):
-            parts.append(_rows(pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()), pa.array(phrases, pa.string()), hashes, counts))
-            none = [pa.nulls(len(rare_hashes), kind) for kind in (pa.string(), pa.int32(), pa.string())]
-            parts.append(_rows(*none, rare_hashes, rare_counts))
+        front = f"{len(lang)}:{lang}"
+        for _, phrases, _, counts, rare_hashes, rare_counts in count_language(texts, lang, longest, bits, before):
+            names = pa.array([front + p for p in phrases], pa.string())
+            parts.append(_rows(names, pa.nulls(len(phrases), pa.int64()), counts))
+            parts.append(_rows(pa.nulls(len(rare_hashes), pa.string()), pa.array(rare_hashes.view(np.int64), pa.int64()), rare_counts))
     return pa.concat_batches(parts)
 
 
@@ -148,17 +150,25 @@ def _sample_block(block: pa.RecordBatch, sample: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.binary()).cast(pa.string()), "lang": block.column("lang")})
 
 
-def _rows(lang: pa.Array, k: pa.Array, phrase: pa.Array, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"lang": lang, "k": k, "phrase": phrase, "h": pa.array(hashes.view(np.int64), pa.int64()), "n": pa.array(counts, pa.int64())})
+def _rows(name: pa.Array, h: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"name": name, "h": h, "n": pa.array(counts, pa.int64())})
 
 
-_NOTHING = _rows(pa.nulls(0, pa.string()), pa.nulls(0, pa.int32()), pa.nulls(0, pa.string()), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+_NOTHING = _rows(pa.nulls(0, pa.string()), pa.nulls(0, pa.int64()), np.zeros(0, np.int64))
+
+
+def _named(counted: DataFrame) -> DataFrame:
+    """(lang, k, phrase, n) of the rows that have a name; k is 0 for a language's words."""
+    size = F.substring_index("name", ":", 1)
+    rows = counted.where("name is not null").select("name", "n", size.cast("int").alias("size"), (F.char_length(size) + 2).alias("at"))
+    rows = rows.select(F.substr("name", F.col("at"), F.col("size")).alias("lang"), F.substr("name", F.col("at") + F.col("size")).alias("phrase"), "n")
+    return rows.select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("k"), "phrase", "n")
 
 
 def count_phrases(docs: DataFrame, longest: int, bits: Broadcast | None = None, before: Broadcast | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Occurrences of the phrases that ``count_language`` counts, over all documents."""
     counted = map_blocks(docs, "text", block_bytes, _COUNTED, lambda b: _count_block(b, longest, bits and bits.value, before and before.value))
-    return counted.groupBy("lang", "k", "phrase", "h").agg(F.sum("n").alias("n"))
+    return counted.groupBy("name", "h").agg(F.sum("n").alias("n"))
 
 
 def filter_of(phrases: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -188,19 +198,21 @@ def frequent_phrases(
     sampled = map_blocks(rows, "text", block_bytes, "text string, lang string", lambda b: _sample_block(b, sample))
     rows = rows.select("text", "lang")
     enough = max(2, int(lowered * least / sample))
-    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where(F.col("k").isNull() & (F.col("n") >= enough)).select("h"), "proposed")
+    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where(F.col("h").isNotNull() & (F.col("n") >= enough)).select("h"), "proposed")
     filter_bits = min(filter_bits, max(16, (SPACIOUS * proposed.count()).bit_length()))
     send = docs.sparkSession.sparkContext.broadcast
+    # A language's number of words has a name that ends with the language.
+    total = F.substring_index("name", ":", 1).cast("int") + F.char_length(F.substring_index("name", ":", 1)) + 1 == F.char_length("name")
     bits, before, found = send(filter_of(proposed, filter_bits)), None, None
     while True:
-        counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("k") == 0) | (F.col("n") >= least)), "phrases")
-        found = counted if found is None else found.unionByName(counted)
-        missed = counted.where("k is null")
+        counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("n") >= least) | total), "phrases")
+        found = _named(counted) if found is None else found.unionByName(_named(counted))
+        missed = counted.where("h is not null")
         if before is not None:
             before.destroy()
         if missed.isEmpty():
             bits.destroy()
-            return found.where("k is not null").select("lang", "k", "phrase", "n")
+            return found
         before, bits = bits, send(bits.value | filter_of(missed, filter_bits))
 
 
