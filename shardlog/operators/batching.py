@@ -6,12 +6,15 @@ parallel inside one shard, the shard is cut into sorted chunks of bounded size:
 
 1. every chunk proposes the few states it may leave to the next chunk;
 2. every chunk is folded once for each proposal: entry state -> exit state;
-3. these transfers are joined up, first within groups of chunks by Spark, then
-   from group to group; where a true state was not proposed it is folded in a
-   further round, so the result is exact whatever was proposed;
-4. every chunk, now with its true entry state, says where its batches begin.
-
-Steps 1, 2 and 4 read times and sizes only; payloads are shuffled once, at the end.
+3. these transfers are joined up level by level, a group of chunks, then a group of
+   groups, until a part is one transfer; where a true state was not proposed it is
+   folded in a further round, so the result is exact whatever was proposed;
+4. the way down the levels gives every chunk its true entry state, and the chunk says
+   where its batches begin.
+
+All of them read times and sizes only, and all are Spark jobs: of the parts, however
+many, the driver sees the length of the longest one in chunks, and whether a round has
+left any part unfinished.
 """
 
 from __future__ import annotations
@@ -37,12 +40,15 @@ NO_LIMIT = 1 << 62
 # closed the last batch, so as many as a batch has records, up to this. States
 # beyond are found in later rounds; this bounds the work of a round, not the result.
 PROPOSALS = 4096
-# Chunks whose transfers are joined up in one task.
+# Chunks, or groups of them, whose transfers are joined up in one task.
 GROUP = 256
 STATE = ["t0", "held", "size"]
+# What a part ends with, and a later cut may go on from.
+TAIL = [*STATE, "batches", "records"]
 STATE_TYPE = "t0 bigint, held bigint, size bigint"
 EXIT = ["t1", "held1", "size1"]
 EXIT_TYPE = "t1 bigint, held1 bigint, size1 bigint, begun bigint"
+NODE_TYPE = f"_seq bigint, {STATE_TYPE}, {EXIT_TYPE}, reached bigint, through boolean"
 
 
 @dataclass(frozen=True)
@@ -183,37 +189,46 @@ def _transfer(pdf: pd.DataFrame, entries: pd.DataFrame, rule: Rule, key: list[st
     return _rows(pdf, key, rows, [*STATE, *EXIT, "begun"])
 
 
-def _steps(transfers: pd.DataFrame) -> dict[int, dict[State, tuple[State, int]]]:
-    """Transfers of a group of chunks by chunk number and entry state."""
+def _steps(transfers: pd.DataFrame) -> dict[int, dict[State, tuple]]:
+    """Transfers of a group by number and entry state."""
     steps: dict = {}
-    for seq, entry, after, n in zip(transfers["_seq"], _states(transfers), _states(transfers, EXIT), transfers["begun"]):
-        steps.setdefault(int(seq), {})[entry] = (after, int(n))
+    ends = zip(_states(transfers, EXIT), transfers["begun"], transfers["reached"], transfers["through"])
+    for seq, entry, (after, begun, reached, through) in zip(transfers["_seq"], _states(transfers), ends):
+        steps.setdefault(int(seq), {})[entry] = (after, int(begun), int(reached), bool(through))
     return steps
 
 
-def _compose(transfers: pd.DataFrame, parts: list[str]) -> pd.DataFrame:
-    """Transfers of a group of chunks as one: from each state its first chunk was
-    folded for, as far as known. ``reached`` is the chunk the walk stands before."""
-    steps = _steps(transfers)
-    first, last = min(steps), max(steps)
-    rows = []
-    for entry in steps[first]:
-        state, begun, at = entry, 0, first
-        while at <= last and state in steps[at]:
-            state, n = steps[at][state]
-            begun, at = begun + n, at + 1
-        rows.append((*entry, *state, begun, at, at > last))
-    return _rows(transfers, [*parts, "_group"], rows, [*STATE, *EXIT, "begun", "reached", "through"])
+def _composer(parts: list[str], span: int, size: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Joins up the transfers of a group of ``size`` members of ``span`` chunks each."""
+
+    def compose(transfers: pd.DataFrame) -> pd.DataFrame:
+        """From each state the first member was folded for, as far as known.
+        ``reached`` is the chunk the walk stands before."""
+        steps = _steps(transfers)
+        first, last = min(steps), max(steps)
+        rows = []
+        for entry in steps[first]:
+            state, begun, at, reached, through = entry, 0, first, first * span, True
+            while through and at <= last:
+                if state not in steps[at]:
+                    reached, through = at * span, False
+                else:
+                    state, n, reached, through = steps[at][state]
+                    begun, at = begun + n, at + 1
+            rows.append((first // size, *entry, *state, begun, reached, through))
+        return _rows(transfers, parts, rows, ["_seq", *STATE, *EXIT, "begun", "reached", "through"])
+
+    return compose
 
 
 def _enter(transfers: pd.DataFrame, entry: pd.DataFrame, parts: list[str]) -> pd.DataFrame:
-    """The true entry state of every chunk of a group and the batches before it."""
+    """The true entry state of every member of a group and the batches before it."""
     steps = _steps(transfers)
     state, batches = _states(entry)[0], int(entry["batches"].iloc[0])
     rows = []
     for at in range(min(steps), max(steps) + 1):
         rows.append((at, *state, batches))
-        state, n = steps[at][state]
+        state, n, _, _ = steps[at][state]
         batches += n
     return _rows(transfers, parts, rows, ["_seq", *STATE, "batches"])
 
@@ -233,16 +248,15 @@ def _begins(pdf: pd.DataFrame, entry: pd.DataFrame, rule: Rule, key: list[str])
     return _rows(pdf, key, rows, ["_start", "_batch", "_until"])
 
 
-def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[str], count: int, resume: dict) -> "Cut":
+def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[str], count: int, resume: DataFrame | None) -> "Cut":
     table, chunks = lay_out(df, parts, order, "count")
-    if resume:
-        spark = df.sparkSession
-        types = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in table.select(*parts).schema)
-        seen = F.broadcast(spark.createDataFrame([(*p, r[2]) for p, r in resume.items()], f"{types}_seen bigint"))  # a row per part
-        moved = F.col("_before") + F.coalesce("_seen", F.lit(0))
-        chunks = store(chunks.join(seen, parts, "left").withColumn("_before", moved).drop("_seen"), "chunks")
-    totals = chunks.groupBy(*parts).agg(F.max(F.col("_before") + F.col("_rows")).alias("n")).collect()  # a row per part
-    tails = [(*r[:-1], (0, r["n"] % count, 0), -(-r["n"] // count), r["n"]) for r in totals]
+    if resume is not None:
+        chunks = _moved_on(chunks, resume, parts)
+    n = F.max(F.col("_before") + F.col("_rows"))
+    zero = F.lit(0).cast("bigint")
+    tails = chunks.groupBy(*parts).agg(n.alias("records")).select(
+        *parts, zero.alias("t0"), (F.col("records") % count).alias("held"), zero.alias("size"), F.ceil(F.col("records") / count).alias("batches"), "records"
+    )
     records = _count_ids(number_rows(table, chunks, parts).drop(CHUNK), count)
     if ts and count == 1:
         records = records.withColumn("publish_time", F.col(ts))
@@ -251,13 +265,20 @@ def _cut_by_count(df: DataFrame, parts: list[str], ts: str | None, order: list[s
     return Cut(tails, lambda: records)
 
 
+def _moved_on(chunks: DataFrame, seen: DataFrame, parts: list[str]) -> DataFrame:
+    """Chunks whose positions go on from the ``records`` that a part had before."""
+    moved = F.col("_before") + F.coalesce("_seen", F.lit(0))
+    joined = chunks.join(seen.select(*parts, F.col("records").alias("_seen")), parts, "left")
+    return store(joined.withColumn("_before", moved).drop("_seen"), "chunks")
+
+
 @dataclass
 class Cut:
-    """Result of ``cut_batches``: per part the state after its last record with
-    the numbers of batches and records so far; and, placed when asked for, the
-    records with their ids."""
+    """Result of ``cut_batches``: a row per part with the state after its last record
+    and the numbers of batches and records so far (``TAIL``); and, placed when asked
+    for, the records with their ids."""
 
-    tails: list[tuple]
+    tails: DataFrame
     place: Callable[[], DataFrame]
 
     @cached_property
@@ -272,7 +293,7 @@ def cut_batches(
     order: list[str],
     n_bytes: str,
     rule: Rule,
-    resume: dict[tuple, tuple[State, int, int]] | None = None,
+    resume: DataFrame | None = None,
 ) -> Cut:
     """Cut the records of each part, in ``(ts, *order)``, by count, bytes or time.
 
@@ -282,13 +303,12 @@ def cut_batches(
     closed before the next record is added.
 
     ``ts`` may be None, for ``order`` alone, if the rule has no timer.
-    ``resume`` continues parts cut before: part -> (state, batches, records); a
-    state of None begins a new batch. With the count rule alone the batches are
+    ``resume`` continues parts cut before, from their ``tails``; a null ``t0`` begins
+    a new batch. A part that is not in it is new. With the count rule alone the batches are
     told from the records, which then must be a multiple of the count if new.
     Adds ``rn``, ``batch_id`` (from 1), ``batch_index`` (from 0) and, if there is
     ``ts``, ``publish_time``: the time of the latest record of the batch so far.
     """
-    resume = resume or {}
     if ts is None and rule.timeout_us > 0:
         raise ValueError("a timer needs a time column")
     order = order if ts is None else [ts, *order]
@@ -303,23 +323,26 @@ def cut_batches(
     numbers = chunks.select(*parts, CHUNK, "_seq")
     narrow = table.select(*parts, CHUNK, PLACE, "_us", "_bytes").join(numbers, [*parts, CHUNK])
 
-    # What each part starts from, a row per part.
+    # What each part starts from. Written, so that joins with it are planned by its size.
     starts = chunks.groupBy(*parts).agg(F.min("_root").alias("_root"), F.sum("_rows").alias("_rows"), F.max("_seq").alias("_last"))
-    begin: dict[tuple, tuple[State, int, int]] = {}
-    lasts: dict[tuple, tuple[int, int]] = {}
-    for r in starts.collect():
-        part = tuple(r[p] for p in parts)
-        state, batches, records = resume.get(part, (None, 0, 0))
-        begin[part] = (state or (r["_root"] if rule.timeout_us > 0 else 0, 0, 0), batches, records)
-        lasts[part] = (r["_last"], r["_rows"])
-    begin_rows = spark.createDataFrame(
-        [(*p, *s, b, n) for p, (s, b, n) in begin.items()], f"{part_types}{STATE_TYPE}, batches bigint, records bigint"
-    )
-
-    wanted = begin_rows.select(*parts, F.lit(0).cast("bigint").alias("_seq"), *STATE)
-    if any(last for last, _ in lasts.values()):
-        # The timer grid of a part stems from its start, a row per part.
-        rooted = narrow.join(F.broadcast(begin_rows.select(*parts, F.col("t0").alias("_root"))), parts)
+    before = starts.withColumns(dict.fromkeys(TAIL, F.lit(None).cast("bigint")))
+    if resume is not None:
+        before = starts.join(resume.select(*parts, *TAIL), parts, "left")
+    new_t0 = F.col("_root") if rule.timeout_us > 0 else F.lit(0).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    begin = store(
+        before.select(
+            *parts, F.coalesce("t0", new_t0).alias("t0"), *[F.when(F.col("t0").isNull(), zero).otherwise(F.col(c)).alias(c) for c in STATE[1:]],
+            F.coalesce("batches", zero).alias("batches"), F.coalesce("records", zero).alias("records"), "_last", "_rows",
+        ),
+        "begin",
+    )
+    longest = starts.agg(F.max("_last")).first()[0] or 0
+
+    wanted = begin.select(*parts, zero.alias("_seq"), *STATE)
+    if longest:
+        # The timer grid of a part stems from its start. The last chunk has none to propose to.
+        rooted = narrow.join(begin.select(*parts, F.col("t0").alias("_root"), "_last"), parts).where("_seq < _last").drop("_last")
         limit = PROPOSALS
         proposed = rooted.groupBy(*key).applyInPandas(
             lambda pdf: _propose(pdf, rule, key, limit), f"{part_types}_seq bigint, {STATE_TYPE}"
@@ -330,31 +353,31 @@ def cut_batches(
     while True:
         fresh = _fold_chunks(narrow, wanted, rule, key, part_types, all_chunks=known is None)
         known = fresh if known is None else known.unionByName(fresh)
-        grouped = known.withColumn("_group", F.floor(F.col("_seq") / GROUP))
-        walked = grouped.groupBy(*parts, "_group").applyInPandas(
-            lambda pdf: _compose(pdf, parts),
-            f"{part_types}_group bigint, {STATE_TYPE}, {EXIT_TYPE}, reached bigint, through boolean",
-        )
-        entries, tails, open_ends = _walk(walked.collect(), parts, begin, lasts)  # PROPOSALS rows per group of chunks
-        if not open_ends:
+        levels = _levels(known, parts, part_types, longest)
+        # A row per part: where its walk ended.
+        walked = store(begin.join(levels[-1].drop("_seq"), [*parts, *STATE]), "walked")
+        short = walked.where("not through")
+        if short.isEmpty():
             break
-        ends = spark.createDataFrame(open_ends, f"{part_types}_seq bigint, {STATE_TYPE}")
-        beyond = F.broadcast(ends.select(*parts, F.col("_seq").alias("_from")))  # a row per part
-        exits = known.select(*key, *[F.col(e).alias(s) for e, s in zip(EXIT, STATE)])
-        guesses = _shift(exits, numbers, parts).join(beyond, parts).where("_seq > _from").drop("_from")
+        after = [F.col(e).alias(s) for e, s in zip(EXIT, STATE)]
+        ends = short.select(*parts, F.col("reached").alias("_seq"), *after)
+        beyond = ends.select(*parts, F.col("_seq").alias("_from"))
+        guesses = _shift(known.select(*key, *after), numbers, parts).join(beyond, parts).where("_seq > _from").drop("_from")
         wanted = ends.unionByName(guesses.join(known.select(*key, *STATE), [*key, *STATE], "left_anti"))
+    tails = walked.select(
+        *parts, *[F.col(e).alias(s) for e, s in zip(EXIT, STATE)], (F.col("batches") + F.col("begun")).alias("batches"), (F.col("records") + F.col("_rows")).alias("records")
+    )
 
     def place() -> DataFrame:
-        at_groups = spark.createDataFrame(entries, f"{part_types}_group bigint, {STATE_TYPE}, batches bigint")
-        entered = (
-            grouped.groupBy(*parts, "_group")
-            .cogroup(at_groups.groupBy(*parts, "_group"))
-            .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint")
-        )
-        shifted = chunks
-        if resume:
-            moved = chunks.join(F.broadcast(begin_rows.select(*parts, "records")), parts)  # a row per part
-            shifted = store(moved.withColumn("_before", F.col("_before") + F.col("records")).drop("records"), "chunks")
+        entered = begin.select(*parts, zero.alias("_seq"), *STATE, "batches")
+        for level in reversed(levels[:-1]):
+            entered = (
+                level.withColumn("_up", F.floor(F.col("_seq") / GROUP))
+                .groupBy(*parts, "_up")
+                .cogroup(entered.withColumnRenamed("_seq", "_up").groupBy(*parts, "_up"))
+                .applyInPandas(lambda t, e: _enter(t, e, parts), f"{part_types}_seq bigint, {STATE_TYPE}, batches bigint")
+            )
+        shifted = chunks if resume is None else _moved_on(chunks, begin, parts)
         placed_entries = entered.join(shifted.select(*key, (F.col("_before") + 1).alias("first_rn")), key)
         begins = (
             narrow.groupBy(*key)
@@ -391,30 +414,18 @@ def _fold_chunks(narrow: DataFrame, wanted: DataFrame, rule: Rule, key: list[str
     return store(folded, "transfers")
 
 
-def _walk(rows: list, parts: list[str], begin: dict, lasts: dict) -> tuple[list, list, list]:
-    """Follow each part from its start, group by group. Returns the entry of every
-    group, what each part ends with, and where a walk met an unknown state."""
-    known: dict[tuple, dict[State, tuple]] = {}
-    for r in rows:
-        at = known.setdefault((*(r[p] for p in parts), r["_group"]), {})
-        at[tuple(r[c] for c in STATE)] = (tuple(r[c] for c in EXIT), r["begun"], r["reached"], r["through"])
-    entries, tails, open_ends = [], [], []
-    for part, (state, batches, records) in begin.items():
-        last, n = lasts[part]
-        for group in range(last // GROUP + 1):
-            entries.append((*part, group, *state, batches))
-            here = known.get((*part, group), {})
-            if state not in here:
-                open_ends.append((*part, group * GROUP, *state))
-                break
-            state, begun, reached, through = here[state]
-            if not through:
-                open_ends.append((*part, reached, *state))
-                break
-            batches += begun
-        else:
-            tails.append((*part, state, batches, records + n))
-    return entries, tails, open_ends
+def _levels(known: DataFrame, parts: list[str], part_types: str, longest: int) -> list[DataFrame]:
+    """Transfers of chunks, of groups of chunks and so on, until every part is one group."""
+    levels, span = [known.withColumns({"reached": F.col("_seq") + 1, "through": F.lit(True)})], 1
+    while longest >= span:
+        composed = (
+            levels[-1]
+            .groupBy(*parts, F.floor(F.col("_seq") / GROUP).alias("_up"))
+            .applyInPandas(_composer(parts, span, GROUP), f"{part_types}{NODE_TYPE}")
+        )
+        levels.append(store(composed, "composed"))
+        span *= GROUP
+    return levels
 
 
 def _spread(placed: DataFrame, begins: DataFrame, key: list[str]) -> DataFrame:

@@ -63,8 +63,6 @@ def stream_counters(appends: DataFrame, reads: DataFrame) -> DataFrame:
 def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataFrame:
     """Nine counters per subscription. ``sends`` and ``resends`` carry ``failed``, and
     resends how many they are (``n_resends``)."""
-    requests = [(t[0], t[2]) for t in batch_acks(acks).tails]  # a row per subscription
-    spark = sends.sparkSession
     firsts = (
         sends.groupBy("sub_id", *BATCH)
         .agg(
@@ -86,7 +84,7 @@ def sub_counters(sends: DataFrame, resends: DataFrame, acks: DataFrame) -> DataF
     )
     got = acks.groupBy("sub_id").agg(F.count("*").alias("received_acks"))
     waiting = unacked(sends, acks).groupBy("sub_id").agg(F.count("*").alias("check_list_size"))
-    asked = spark.createDataFrame(requests, "sub_id string, request_messages bigint")
+    asked = batch_acks(acks).tails.select("sub_id", F.col("batches").alias("request_messages"))
     return to_long(_side_by_side([firsts, again, got, waiting, asked], "sub_id", SUB_STATS), SUB_STATS, "sub_id")
 
 

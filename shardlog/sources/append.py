@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.ids import record_id_text
 from shardlog.functions.shards import assign_shards, hash_key, split_unassigned
-from shardlog.operators.batching import Rule, cut_batches
+from shardlog.operators.batching import STATE, Rule, cut_batches
 from shardlog.sources.directory import commit_path, next_commit, read_directory, record_commit, tails
 from shardlog.sources.record_log import append_results, write_log
+from shardlog.session import store
 
 SINGLE = Rule(count=1)
 
@@ -35,8 +36,15 @@ def append(
     hashed = records.withColumn("hash_key", hash_key(F.col("key")))
     good, lost = split_unassigned(assign_shards(hashed, bounds))
     directory = read_directory(spark, path)
-    number, ends = next_commit(directory), tails(directory).collect()  # a row per shard
-    resume = {(t["shard_id"],): (None, t["batch_id"], t["batch_id"] * rule.count) for t in ends}
+    number = next_commit(directory)
+    none = F.lit(None).cast("bigint")
+    # Written, as this commit adds to the directory that it is read from.
+    resume = store(
+        tails(directory).select(
+            "shard_id", *[none.alias(c) for c in STATE], F.col("batch_id").alias("batches"), (F.col("batch_id") * rule.count).alias("records")
+        ),
+        "tails",
+    )
     rows = cut_batches(good, ["shard_id"], ts, order, "n_bytes", rule, resume).records.drop("rn")
     data = commit_path(path, number)
     write_log(rows, data, mode="overwrite")

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shardlog.operators.batching import Rule, State, cut_batches
+from shardlog.operators.batching import Rule, cut_batches
 from shardlog.session import store
 from shardlog.sources.directory import read_directory, record_commit
 from shardlog.sources.record_log import write_log
 
 STATE = "t0 bigint, held bigint, size bigint, batches bigint, records bigint, clock bigint"
+# The clock before any record.
+_NEVER = -(1 << 62)
 
 
 def table_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -43,21 +45,26 @@ def run_steadily(writer, checkpoint: str, every: str = "10 seconds"):
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 
 
-def _read_state(spark: SparkSession, out: str, epoch: int, parts: list[str], types: str) -> tuple[dict, int]:
+def _read_state(spark: SparkSession, out: str, epoch: int, types: str) -> tuple[DataFrame | None, int]:
     """Per shard its state with batches and records so far; and the clock."""
     if epoch < 0:
-        return {}, -(1 << 62)
-    rows = spark.read.schema(f"{types}{STATE}").parquet(f"{out}/state/epoch={epoch}").collect()  # a row per shard
-    state = {tuple(r[p] for p in parts): ((r["t0"], r["held"], r["size"]), r["batches"], r["records"]) for r in rows}
-    return state, max((r["clock"] for r in rows), default=-(1 << 62))
+        return None, _NEVER
+    state = spark.read.schema(f"{types}{STATE}").parquet(f"{out}/state/epoch={epoch}")
+    clock = state.agg(F.max("clock")).first()[0]
+    return state.drop("clock"), _NEVER if clock is None else clock
 
 
-def timed_state(state: State, clock: int, rule: Rule) -> State:
-    """The state of a shard when the timer has been watched until ``clock``."""
-    t0, held, size = state
-    if rule.timeout_us <= 0 or clock < t0 + rule.timeout_us:
+def timed_state(state: DataFrame, clock: int, rule: Rule) -> DataFrame:
+    """The states of shards when the timer has been watched until ``clock``."""
+    if rule.timeout_us <= 0:
         return state
-    return t0 + rule.timeout_us * ((clock - t0) // rule.timeout_us), 0, 0
+    t0, zero = F.col("t0"), F.lit(0).cast("bigint")
+    ran_out = t0 + rule.timeout_us <= clock
+    ticked = t0 + F.floor((F.lit(clock) - t0).cast("decimal(20,0)") / rule.timeout_us).cast("bigint") * rule.timeout_us
+    return state.select(
+        *[c for c in state.columns if c not in ("t0", "held", "size")],
+        F.when(ran_out, ticked).otherwise(t0).alias("t0"), *[F.when(ran_out, zero).otherwise(F.col(c)).alias(c) for c in ("held", "size")],
+    )
 
 
 def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str, rule: Rule, late_s: int = 0):
@@ -70,16 +77,16 @@ def batcher(out: str, parts: list[str], ts: str, order: list[str], n_bytes: str,
     def append(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
         types = _part_types(df.schema, parts)
-        state, clock = _read_state(spark, out, epoch - 1, parts, types)
+        state, clock = _read_state(spark, out, epoch - 1, types)
         cut = cut_batches(df, parts, ts, order, n_bytes, rule, state)
         rows = cut.records.drop("rn")
         write_log(rows, f"{out}/records/epoch={epoch}", parts, mode="overwrite")
         record_commit(spark.read.schema(rows.schema).parquet(f"{out}/records/epoch={epoch}"), out, epoch, parts, ts, n_bytes)
         newest = read_directory(spark, out, types.rstrip(", ")).where(F.col("commit") == epoch).agg(F.max(F.unix_micros(F.col("last_ts").cast("timestamp")))).first()[0]
         clock = clock if newest is None else max(clock, newest - late_s * 1_000_000)
-        state.update({t[: len(parts)]: tuple(t[len(parts):]) for t in cut.tails})
-        ends = [(*p, *timed_state(s, clock, rule), batches, n, clock) for p, (s, batches, n) in state.items()]
-        spark.createDataFrame(ends, f"{types}{STATE}").coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")
+        ends = cut.tails if state is None else state.join(cut.tails, parts, "left_anti").unionByName(cut.tails)
+        ends = timed_state(ends, clock, rule).withColumn("clock", F.lit(clock))
+        ends.coalesce(1).write.mode("overwrite").parquet(f"{out}/state/epoch={epoch}")  # a row per shard
 
     return append
 

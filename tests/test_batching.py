@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shardlog.operators import batching, sequence
 from shardlog.operators.batching import NO_LIMIT, Rule, _fold, batch_by_count, cut_batches
+from shardlog.operators.subscriptions import batch_acks
+from shardlog.session import store
 
 
 def by_hand(rows, rule):
@@ -116,11 +118,32 @@ def test_resumed_cut_equals_one_cut(spark):
     take = lambda cut: {(r["id"], r["rn"], r["batch_id"], r["batch_index"]) for r in cut.records.collect()}
     whole = take(cut_batches(make(rows), ["shard_id"], "ts", ["id"], "n", rule))
     first = cut_batches(make(rows[:250]), ["shard_id"], "ts", ["id"], "n", rule)
-    resume = {(t[0],): t[1:] for t in first.tails}
-    second = cut_batches(make(rows[250:]), ["shard_id"], "ts", ["id"], "n", rule, resume)
+    second = cut_batches(make(rows[250:]), ["shard_id"], "ts", ["id"], "n", rule, first.tails)
     assert take(first) | take(second) == whole
 
 
+def test_parts_are_not_collected(spark, monkeypatch):
+    """Acks of many subscriptions: the driver sees single numbers only."""
+    acks = spark.range(3000).select(
+        (F.col("id") % 1000).cast("string").alias("sub_id"), F.lit(1).cast("bigint").alias("shard_id"), F.col("id").alias("batch_id"), F.lit(0).alias("batch_index"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id")).cast("timestamp_ntz").alias("acked_at"),
+    )
+    collect, seen = type(acks).collect, []
+
+    def counted(df):
+        rows = collect(df)
+        seen.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(acks), "collect", counted)
+    cut = batch_acks(acks, 2, 10_000)
+    store(cut.records, "requests")
+    assert max(seen) <= 1
+    n = cut.tails.groupBy("batches", "held").count()
+    monkeypatch.undo()
+    assert [tuple(r) for r in n.collect()] == [(2, 1, 1000)]
+
+
 @pytest.mark.parametrize("bad", [{"count": 0}, {"n_bytes": 0}])
 def test_rejected_rules(bad):
     with pytest.raises(ValueError):
