@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shardlog.functions.payloads import compress, decompress, known_flag
 from shardlog.model import ERROR_CONTAMINATED, ERROR_NO_RECORDS, ERROR_UNKNOWN_TYPE, check_compression
+from shardlog.session import store
 
 RECORD = "struct<batch_index: int, key: string, flag: string, attributes: map<string,string>, payload: binary>"
 ERROR_DECOMPRESS = "decompress error"
@@ -126,3 +127,41 @@ def typed_payload(records: DataFrame, schema_json: str) -> tuple[DataFrame, Data
         parsed.where(fits).select(*rest, *shown),
         parsed.where(~fits).drop("_typed").withColumn("error", F.lit("payload does not fit the schema")),
     )
+
+
+# JSON kinds, as ``schema_of_variant`` names them, that fit a field of a kind.
+_FITTING = {"bigint": r"^BIGINT$", "double": r"^(BIGINT|DOUBLE|DECIMAL\(.*)$", "boolean": r"^BOOLEAN$", "string": r"^STRING$"}
+
+
+def typed_by_owner(records: DataFrame, schemas: DataFrame, owner: str) -> tuple[DataFrame, DataFrame]:
+    """Apply to each JSON payload the schema of its owner, a stream say.
+
+    ``schemas`` is a table of fields: owner, ``field`` (no quotes in it, once per owner),
+    ``kind`` (bigint, double, boolean or string), ``required`` and ``hidden``. Records that fit come back with
+    ``fields``, a map of their schema's fields that are there and not hidden to VARIANT
+    values; fields beyond the schema are left out. Records without a schema, or whose
+    payload is no JSON object, lacks a required field or has one of another kind come back
+    apart with ``error``. A null owner has no schema.
+    """
+    # An owner's fields on one row; written, so that the join is planned by their true size.
+    listed = store(schemas.groupBy(owner).agg(F.collect_list(F.struct("field", "kind", "required", "hidden")).alias("_schema")), "schemas")
+    body = F.col("_body")
+
+    def value(field: Column) -> Column:
+        return F.try_variant_get(body, F.concat(F.lit("$['"), field, F.lit("']")), "variant")
+
+    def fits(f: Column) -> Column:
+        kind = F.coalesce(F.schema_of_variant(value(f["field"])), F.lit("VOID"))
+        right = F.lit(False)
+        for name, pattern in _FITTING.items():
+            right = right | ((f["kind"] == name) & kind.rlike(pattern))
+        return F.when(kind == "VOID", ~f["required"]).otherwise(right)
+
+    parsed = records.join(listed, owner, "left").withColumn("_body", F.try_parse_json(F.col("payload").cast("string")))
+    whole = F.coalesce(F.schema_of_variant(body).startswith("OBJECT"), F.lit(False))
+    error = F.when(F.col("_schema").isNull(), F.lit("no schema")).when(~whole | ~F.forall("_schema", fits), F.lit("payload does not fit the schema"))
+    judged = parsed.withColumn("error", error)
+    shown = F.filter("_schema", lambda f: ~f["hidden"])
+    entries = F.filter(F.transform(shown, lambda f: F.struct(f["field"].alias("key"), value(f["field"]).alias("value"))), lambda e: e["value"].isNotNull())
+    good = judged.where("error is null").withColumn("fields", F.map_from_entries(entries))
+    return good.drop("payload", "error", "_schema", "_body"), judged.where("error is not null").drop("_schema", "_body")

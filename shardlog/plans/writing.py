@@ -11,7 +11,7 @@ from shardlog.functions.payloads import attribute, json_field, json_payload, raw
 from shardlog.functions.shards import assign_shards, hash_key, shards_frame
 from shardlog.model import ERROR_CONTAMINATED, ERROR_UNKNOWN_TYPE, FLAG_JSON, FLAG_RAW, ID_COLUMNS
 from shardlog.operators.batching import Rule, batch_by_count, cut_batches
-from shardlog.operators.packing import batch_status, batch_summary, pack_batches, split_by_flag, typed_payload, unpack_batches
+from shardlog.operators.packing import batch_status, batch_summary, pack_batches, split_by_flag, typed_by_owner, typed_payload, unpack_batches
 from shardlog.plans.registry import query
 from shardlog.plans.relations import (
     NUMBERED_SQL, REC_SQL, SHARDS5, SHARDS500, log, records, rid, shard_values, sharded, table,
@@ -433,6 +433,47 @@ def _(spark, sf):
     return good.select("event_id", "k")
 
 
+# Fields by stream: name, kind, required, hidden. Errors have no schema.
+_OWN_SCHEMAS = {
+    "click": [("k", "bigint", True, False), ("user_id", "bigint", False, False)],
+    "view": [("amount", "double", True, False), ("k", "bigint", False, True)],
+    "purchase": [("amount", "bigint", True, False)],
+    "signup": [("name", "string", True, False), ("k", "bigint", True, False)],
+}
+
+
+@query(
+    "typed_by_owner",
+    """WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS n FROM events),
+    f AS (SELECT event_id, event_type, user_id, NULLIF(n, 7) AS k, COALESCE(n % 2 = 0, false) AS even,
+                 CASE WHEN n % 2 = 0 THEN CAST(user_id AS DOUBLE) ELSE value END AS amount FROM e),
+    j AS (SELECT *, CASE event_type WHEN 'click' THEN k IS NOT NULL WHEN 'signup' THEN k IS NOT NULL
+                                    WHEN 'view' THEN amount IS NOT NULL
+                                    WHEN 'purchase' THEN even AND amount IS NOT NULL END AS fits FROM f)
+    SELECT event_id, event_type AS owner,
+           CASE WHEN fits IS NULL THEN 'no schema' WHEN NOT fits THEN 'payload does not fit the schema' END AS error,
+           CASE WHEN fits AND event_type IN ('click', 'signup') THEN k END AS k,
+           CASE WHEN fits AND event_type = 'click' THEN user_id END AS user_id,
+           CASE WHEN fits AND event_type IN ('view', 'purchase') THEN amount END AS amount,
+           CASE WHEN fits AND event_type = 'signup' THEN event_type END AS name
+    FROM j""",
+)
+def _(spark, sf):
+    """Payloads of five streams by the schema that each stream has, misfits set aside."""
+    events = table(spark, sf, "events")
+    n = F.get_json_object("props", "$.k").cast("bigint")
+    amounts = {"user_id": n % 2 == 0, "value": F.coalesce(n % 2 != 0, F.lit(True))}
+    rest = [F.nullif(n, F.lit(7)).alias("k"), F.col("user_id"), F.col("event_type").alias("name")]
+    payload = F.coalesce(*[F.when(when, F.to_json(F.struct(*rest, F.col(c).alias("amount")))) for c, when in amounts.items()])
+    sent = events.select("event_id", F.col("event_type").alias("owner"), payload.alias("payload"))
+    rows = [(o, *f) for o, fields in _OWN_SCHEMAS.items() for f in fields]
+    schemas = spark.createDataFrame(rows, "owner string, field string, kind string, required boolean, hidden boolean")
+    good, bad = typed_by_owner(sent, schemas, "owner")
+    kinds = {"k": "bigint", "user_id": "bigint", "amount": "double", "name": "string"}
+    typed = good.select("event_id", "owner", *[F.try_variant_get(F.col("fields")[c], F.lit("$"), kind).alias(c) for c, kind in kinds.items()])
+    return typed.unionByName(bad.select("event_id", "owner", "error"), allowMissingColumns=True)
+
+
 @query("filter_attributes", "SELECT event_id, event_type AS k FROM events WHERE event_type = 'click'")
 def _(spark, sf):
     """Records by attribute."""

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from shardlog.functions import payloads as p
-from shardlog.operators.packing import batch_status, pack_batches, split_by_flag, typed_payload, unpack_batches
+from shardlog.operators.packing import batch_status, pack_batches, split_by_flag, typed_by_owner, typed_payload, unpack_batches
 
 encode, decode = p._compress.func, p._decompress.func
 
@@ -104,6 +104,23 @@ def test_typed_payload_hides_fields_and_quarantines(spark):
     assert {r["id"] for r in bad.collect()} == {2, 3, 4, 5}
 
 
+def test_each_owner_has_its_own_schema(spark):
+    fields = [("a", "n", "bigint", True, False), ("a", "s", "string", False, True), ("b", "x y", "double", False, False), ("b", "t", "boolean", True, False)]
+    schemas = spark.createDataFrame(fields, "stream string, field string, kind string, required boolean, hidden boolean")
+    sent = [
+        (1, "a", '{"n": 5, "s": "q", "more": [1]}'), (2, "a", '{"n": "5"}'), (3, "a", '{"s": "q"}'), (4, "a", '{"n": null}'), (5, "a", '{"n": 5, "s": 1}'),
+        (6, "b", '{"x y": 1, "t": true}'), (7, "b", '{"x y": 1.5, "t": false}'), (8, "b", '{"t": true}'), (9, "b", '{"t": 1}'),
+        (10, "c", "{}"), (11, None, "{}"), (12, "a", "not json"), (13, "a", None), (14, "a", "[5]"), (15, "b", '{"x y": [1], "t": true}'),
+    ]
+    good, bad = typed_by_owner(spark.createDataFrame(sent, "id int, stream string, payload string"), schemas, "stream")
+    got = {r["id"]: json.loads(r["fields"]) for r in good.select("id", F.to_json("fields").alias("fields")).collect()}
+    assert got == {1: {"n": 5}, 6: {"x y": 1, "t": True}, 7: {"x y": 1.5, "t": False}, 8: {"t": True}}
+    errors = {r["id"]: r["error"] for r in bad.collect()}
+    assert {i for i, e in errors.items() if e == "no schema"} == {10, 11}
+    assert set(errors) == set(range(1, 16)) - set(got)
+    assert bad.where("payload is not null").count() == len(errors) - 1
+
+
 @pytest.mark.parametrize("body", ["junk", "[]", "{}", "", '[{"batch_index": 0}', "[1, 2]"])
 def test_undecodable_and_short_payloads_are_set_aside(spark, body):
     packed = pack_batches(records(spark), ["shard_id"])
