@@ -31,8 +31,12 @@ DOMAIN_PAGES, HOST_PAGES = 20.0, 5.0
 # Pseudo-count of a declaration or suffix under each language.
 SMOOTHING = 0.5
 
-_HIDDEN = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&[#a-z0-9]{1,10};", re.S | re.I)
-_HTML_LANG = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", re.I)
+# What may begin something hidden, and where a script or style ends.
+_HIDING = re.compile(rb"<(!--|(?:script|style)\b)?|&[#a-z0-9]{1,10};", re.I)
+_ENTITY = re.compile(rb"&[#a-z0-9]{1,10};", re.I)
+_CLOSING = {name: re.compile(rb"</" + name + rb"\s*>", re.I) for name in (b"script", b"style")}
+_HTML = re.compile(rb"<html\b", re.I)
+_LANG = re.compile(rb"\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", re.I)
 
 
 @dataclass
@@ -56,13 +60,63 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(t + b"  " for t in low), dtype=np.uint8), starts
 
 
+class _Ends:
+    """Ends of what is hidden in a text. What is not found from one place on is not
+    looked for again from a later one, so all searches together read the text a few times."""
+
+    def __init__(self, html: bytes):
+        self.html, self.missing = html, set()
+
+    def after(self, what: bytes, at: int) -> int | None:
+        """The place after the next ``what``: a script's or style's closing tag, or a mark."""
+        if what in self.missing:
+            return None
+        if what in _CLOSING:
+            found = _CLOSING[what].search(self.html, at)
+            end = found.end() if found else None
+        else:
+            place = self.html.find(what, at)
+            end = None if place < 0 else place + len(what)
+        if end is None:
+            self.missing.add(what)
+        return end
+
+
 def visible_text(html: bytes) -> bytes:
-    return b" ".join(_HIDDEN.sub(b" ", html).split())
+    """The text without tags, comments, scripts, styles and entities, its blanks merged.
+
+    A comment, script or style that is not closed is a tag; a tag that is not closed is
+    text. The time taken grows with the length of the text, whatever is in it.
+    """
+    ends, shown, at = _Ends(html), [], 0
+    while opened := _HIDING.search(html, at):
+        begin, name, end = opened.start(), opened[1], None
+        if opened[0].startswith(b"&"):
+            end = opened.end()
+        elif name:
+            end = ends.after(b"-->" if name == b"!--" else name.lower(), opened.end())
+        if end is None:
+            end = ends.after(b">", begin + 1)
+        if end is None:  # no tag ends from here on
+            break
+        shown.append(html[at:begin])
+        at = end
+    shown.append(_ENTITY.sub(b" ", html[at:]))
+    return b" ".join(b" ".join(shown).split())
 
 
 def declared_language(html: bytes) -> str | None:
-    found = _HTML_LANG.search(html)
-    return found[1].decode().lower() if found else None
+    """The language that the first html tag with one declares."""
+    at = 0
+    while opened := _HTML.search(html, at):
+        # A later tag that begins before this one's end lies inside it.
+        end = html.find(b">", opened.end())
+        end = len(html) if end < 0 else end
+        found = _LANG.search(html, opened.end(), end)
+        if found:
+            return found[1].decode().lower()
+        at = end
+    return None
 
 
 def _count_block(block: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,8 +148,9 @@ def train_text(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text
     return TextModel(languages, np.log(table / table.sum(1, keepdims=True)).astype(np.float32))
 
 
-def text_evidence(texts: list[bytes], model: TextModel) -> np.ndarray:
-    """Tempered log-likelihoods (texts, languages); zeros for texts of no trigram."""
+def text_evidence(texts: list[bytes], model: TextModel, weight: float = TEXT_EVIDENCE) -> np.ndarray:
+    """Tempered log-likelihoods (texts, languages); zeros for texts of no trigram. A
+    text counts as ``weight`` trigrams at most, all of its trigrams alike."""
     if not texts or not model.languages:
         return np.zeros((len(texts), len(model.languages)))
     data, starts = _joined(texts)
@@ -106,12 +161,12 @@ def text_evidence(texts: list[bytes], model: TextModel) -> np.ndarray:
     for i, row in enumerate(model.log_prob):
         sums = np.concatenate([[0.0], np.cumsum(row[buckets], dtype=np.float64)])
         out[:, i] = sums[starts[:-1] + sizes] - sums[starts[:-1]]
-    return out * np.minimum(1, TEXT_EVIDENCE / np.maximum(sizes, 1))[:, None]
+    return out * np.minimum(1, weight / np.maximum(sizes, 1))[:, None]
 
 
-def _read_block(block: pa.RecordBatch, model: TextModel) -> pa.RecordBatch:
+def _read_block(block: pa.RecordBatch, model: TextModel, weight: float) -> pa.RecordBatch:
     pages = texts_of(block, "html")
-    evidence = text_evidence([visible_text(p) for p in pages], model)
+    evidence = text_evidence([visible_text(p) for p in pages], model, weight)
     best = [model.languages[i] for i in evidence.argmax(1)] if model.languages else [None] * len(pages)
     return pa.RecordBatch.from_pydict(
         {
@@ -136,10 +191,11 @@ def _tally(pages: DataFrame, by: str, languages: list[str]) -> DataFrame:
 
 
 def identify(
-    pages: DataFrame, model: TextModel, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, model: TextModel, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", text_weight: float = TEXT_EVIDENCE
 ) -> DataFrame:
     """Per page: id, language, probability, text_lang, declared, suffix, host and
-    posterior (one probability for each of ``model.languages``).
+    posterior (one probability for each of ``model.languages``). The likelihood of a
+    text is that of all its trigrams, tempered to ``text_weight`` of them, as they overlap.
 
     A null or empty html has no text evidence and declares nothing; a null address, or
     one without a host, has no suffix and the prior of all pages. Ties go to the
@@ -156,7 +212,7 @@ def identify(
     read = store(
         map_blocks(
             rows, "html", BLOCK_BYTES, extended(rows, "declared string, evidence array<double>, text_lang string", without=("html",)),
-            lambda b: _read_block(b, model),
+            lambda b: _read_block(b, model, text_weight),
         ),
         "pages",
     )

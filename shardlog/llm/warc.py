@@ -17,6 +17,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -40,15 +41,24 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
 
 
-def encode_record(record_id: str, url: str | None, payload: bytes, n_bytes: int, digest: str, refers_to: str | None, date: str = DATE) -> bytes:
-    """One WARC record. A revisit holds the HTTP headers of the full payload only."""
+# The id of a record whose page has none.
+_NO_PAGE = "<urn:x-no-page>"
+
+
+def _urn(page: str | None) -> str:
+    return _NO_PAGE if page is None else f"<urn:x-page:{quote(page, safe='')}>"
+
+
+def encode_record(record_id: str | None, url: str | None, payload: bytes, n_bytes: int, digest: str, refers_to: str | None, date: str = DATE) -> bytes:
+    """One WARC record. A revisit holds the HTTP headers of the full payload only. Ids
+    are percent-escaped, so that any text may be one, an empty one too."""
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:x-page:{record_id}>",
+        f"WARC-Record-ID: {_urn(record_id)}",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -56,7 +66,7 @@ def encode_record(record_id: str, url: str | None, payload: bytes, n_bytes: int,
         f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        head[2:2] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:x-page:{refers_to}>"]
+        head[2:2] = ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_urn(refers_to)}"]
     return "\r\n".join([*head, "", ""]).encode() + block + b"\r\n\r\n"
 
 
@@ -66,7 +76,7 @@ def headers_of(head: bytes) -> dict[str, str]:
 
 
 def _page(urn: str | None) -> str | None:
-    return re.sub(r"^<urn:x-page:(.*)>$", r"\1", urn) if urn else None
+    return None if urn in (None, _NO_PAGE) else unquote(re.sub(r"^<urn:x-page:(.*)>$", r"\1", urn))
 
 
 def decode_record(record: bytes) -> dict:
@@ -81,7 +91,7 @@ def decode_record(record: bytes) -> dict:
     if fields["warc-type"] == "response" and (len(payload) != n_bytes or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"payload of record {fields['warc-record-id']} is not what its headers say")
     return {
-        "id": _page(fields["warc-record-id"]) or None,
+        "id": _page(fields["warc-record-id"]),
         "payload_bytes": n_bytes,
         "payload_digest": digest,
         "record_type": fields["warc-type"],
@@ -162,7 +172,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
                     path, size, deflate = f"{folder_path}/{uuid.uuid4().hex}.warc.gz", 0, zlib.compressobj(LEVEL, wbits=_GZIP)
                     out = files.open_output_stream(path, compression=None)
                 refers = None if r["refers_to"] is None else str(r["refers_to"])
-                record_id = "" if r["id"] is None else str(r["id"])
+                record_id = None if r["id"] is None else str(r["id"])
                 out.write(deflate.compress(encode_record(record_id, r["url"], r["payload"], r["n_bytes"], r["digest"], refers)))
                 size += len(r["payload"])
                 if size >= archive_bytes:

@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import math
+import re
+import time
 from collections import Counter
 from itertools import product
 
@@ -185,3 +187,34 @@ def test_results_hold_the_piece_ids(spark, sf_dir, run):
     rows = run(spark, sf_dir).collect()
     assert rows and all(len(r.ids) == r.n_pieces for r in rows)
     assert all(r.ids_sha256 == hashlib.sha256(np.array(r.ids, dtype="<i4").tobytes()).hexdigest() for r in rows)
+
+
+def test_any_text_may_be_the_id_of_a_record(spark):
+    ids = ["a\r\nWARC-Type: revisit", "", "b>", "50%25 é", None]
+    pages = spark.createDataFrame([(i, "u", LONG) for i in ids], "page_id string, url string, html string")
+    got = {r.id: (r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()}
+    assert got == {i: ("response", None) if i == "" else ("revisit", "") for i in ids}
+
+
+def by_patterns(html):
+    """The hidden parts as patterns, which take long on tags that are not closed."""
+    hidden = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>|&[#a-z0-9]{1,10};", re.S | re.I)
+    found = re.search(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", html, re.I)
+    return b" ".join(hidden.sub(b" ", html).split()), found[1].decode().lower() if found else None
+
+
+def test_hidden_parts_of_pages_equal_patterns():
+    parts = [b"<", b">", b"<!--", b"-->", b"<script", b"</script >", b"<STYLE ", b"</style", b" ", b"x", b"&amp;", b"&", b"<html ", b"lang=", b"'de'", b" lang = en", b"</Script>", b"-", b"<!-->"]
+    rnd = np.random.default_rng(3)
+    for n in rnd.integers(0, 25, 4000):
+        html = b"".join(parts[i] for i in rnd.integers(0, len(parts), n))
+        assert (language_id.visible_text(html), language_id.declared_language(html)) == by_patterns(html), html
+
+
+@pytest.mark.parametrize("piece", [b"<script ", b"<!-- ", b"<html ", b"<", b"<style></script>", b"<html lang ", b"</script   <script>"])
+def test_pages_of_unclosed_tags_take_linear_time(piece):
+    html = piece * (1_000_000 // len(piece))
+    start = time.process_time()
+    language_id.visible_text(html)
+    language_id.declared_language(html)
+    assert time.process_time() - start < 2
