@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,21 @@ def map_blocks(
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Jobs that run inside send at most ``n_bytes`` to Python at a time, or a row.
+
+    By default an Arrow batch has 10,000 rows, which are as many texts on both sides.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shifted_sums(values: np.ndarray) -> np.ndarray:
     """Sums of the values before each place, and of all: one entry more than values."""
     out = np.zeros(len(values) + 1, dtype=np.int64)

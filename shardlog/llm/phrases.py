@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shardlog.llm.common import col, map_blocks, table, texts_of
+from shardlog.llm.common import col, map_blocks, small_batches, table, texts_of
 from shardlog.llm.polyhash import mixed
 from shardlog.llm.registry import query
 from shardlog.llm.sql import PHRASES
@@ -198,14 +198,17 @@ def frequent_phrases(
     sampled = map_blocks(rows, "text", block_bytes, "text string, lang string", lambda b: _sample_block(b, sample))
     rows = rows.select("text", "lang")
     enough = max(2, int(lowered * least / sample))
-    proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where(F.col("h").isNotNull() & (F.col("n") >= enough)).select("h"), "proposed")
+    spark = docs.sparkSession
+    with small_batches(spark, block_bytes):
+        proposed = store(count_phrases(sampled, longest, block_bytes=block_bytes).where(F.col("h").isNotNull() & (F.col("n") >= enough)).select("h"), "proposed")
     filter_bits = min(filter_bits, max(16, (SPACIOUS * proposed.count()).bit_length()))
-    send = docs.sparkSession.sparkContext.broadcast
+    send = spark.sparkContext.broadcast
     # A language's number of words has a name that ends with the language.
     total = F.substring_index("name", ":", 1).cast("int") + F.char_length(F.substring_index("name", ":", 1)) + 1 == F.char_length("name")
     bits, before, found = send(filter_of(proposed, filter_bits)), None, None
     while True:
-        counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("n") >= least) | total), "phrases")
+        with small_batches(spark, block_bytes):
+            counted = store(count_phrases(rows, longest, bits, before, block_bytes).where((F.col("n") >= least) | total), "phrases")
         found = _named(counted) if found is None else found.unionByName(_named(counted))
         missed = counted.where("h is not null")
         if before is not None:
