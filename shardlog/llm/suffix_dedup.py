@@ -8,7 +8,11 @@ their common extension, to the right of the anchor and to the left. Neighbours'
 extensions are verified byte by byte. Which strings around the anchors are equal then
 follows from the two orders.
 
-Equal texts are one text with a count before any of this.
+Equal texts are one text with a count before any of this, and the equal surroundings of
+anchors in a group are sorted once. A gram with more different surroundings than a task
+should sort is split by longer contexts, in the end by whole strings, until no group is
+larger. Long runs of one period, which would make an anchor of every period, are
+recognised in the text and keep two anchors.
 """
 
 from __future__ import annotations
@@ -20,28 +24,66 @@ from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardlog.llm.common import map_blocks, narrow, ranges, shifted_sums, texts_of
+from shardlog.llm.common import map_blocks, narrow, shifted_sums, texts_of
 from shardlog.llm.polyhash import PrefixHashes
 from shardlog.session import scratch_path, store
 
 LENGTH = 400
 GRAM = 64
 BLOCK_BYTES = 4 << 20
-# Suffixes at one anchor gram that a task sorts. Strings at more frequent grams are
-# counted one by one instead, by 128-bit hashes.
-GROUP = 1 << 13
+# Suffixes at one anchor gram that a task sorts. More are split by longer contexts.
+GROUP = 1 << 11
+# Grams of a period of up to one byte in so many are anchors only where there are no others.
+PERIODS = 8
 # Segments worked on at a time, if the groups are small.
 CHUNK = 1 << 11
 
 
-def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(gram hash, place, first and last start of the strings whose anchor it is)."""
+def periodic_grams(text: np.ndarray, gram: int, most: int) -> np.ndarray:
+    """Which grams of a text repeat themselves after at most ``most`` bytes."""
+    out = np.zeros(len(text) - gram + 1, dtype=bool)
+    for d in range(1, most + 1):
+        same, need = text[d:] == text[:-d], gram - d
+        # So long a run holds eight bytes at a place that eight divides: a cheap look first.
+        if need >= 15 and not (same[: len(same) // 8 * 8].view(np.uint64) == 0x0101010101010101).any():
+            continue
+        breaks = np.concatenate([[-1], np.flatnonzero(~same), [len(same)]])
+        for i in np.flatnonzero(np.diff(breaks) > need).tolist():
+            out[breaks[i] + 1 : breaks[i + 1] - need + 1] = True
+    return out
+
+
+def _thinned(text: np.ndarray, places: np.ndarray, whole: int, length: int, gram: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which of a gram's places to keep as anchors, and spans of repeated strings.
+
+    Places at one distance may be a run of that period. The strings of its second
+    anchor come again at every later one whose strings lie within the run, so these
+    need no anchor, and all of them are repeated. The first ``whole`` places are the
+    anchors of all starts since the place before.
+    """
+    keep, spans = np.ones(len(places), dtype=bool), []
+    apart = np.diff(places)
+    edges = np.concatenate([[0], np.flatnonzero(apart[1:] != apart[:-1]) + 1, [len(apart)]]).tolist()
+    for i, j in zip(edges, edges[1:]):
+        d, begin, end = int(apart[i]), int(places[i]), int(places[j]) + gram
+        t = min(int(np.searchsorted(places, end - length, side="right")), whole) - 1
+        if t >= i + 2 and np.array_equal(text[begin : end - d], text[begin + d : end]):
+            keep[i + 2 : t + 1] = False
+            spans.append((begin + 1, int(places[t]) + length))
+    return keep, spans
+
+
+def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[tuple[np.ndarray, ...], list[tuple[int, int]]]:
+    """(gram hash, place, first and last start of the strings whose anchor it is), and
+    (start, stop) of spans of strings that the text itself repeats, without an anchor."""
     if len(text) < length:
-        return (np.zeros(0, dtype=np.uint64), *[np.zeros(0, dtype=np.int64)] * 3)
-    hashes = PrefixHashes(text).grams(gram)
+        return (np.zeros(0, dtype=np.uint64), *[np.zeros(0, dtype=np.int64)] * 3), []
+    hashes = PrefixHashes(text).grams(gram) >> np.uint64(1)
+    hashes[periodic_grams(text, gram, gram // PERIODS)] |= np.uint64(1 << 63)
     width = length - gram + 1
     n = len(hashes)
     # Minimum of each window: of a suffix of one block and a prefix of the next.
@@ -53,34 +95,37 @@ def anchors_of(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ..
     # after the window's start. Only places that are some window's minimum matter.
     change = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     stops = np.append(change[1:], len(least))
-    out_hash, out_place, out_first, out_last = [], [], [], []
+    out_hash, out_place, out_first, out_last, spans = [], [], [], [], []
     for first, stop in zip(change.tolist(), stops.tolist()):
         value = least[first]
         places = first + np.flatnonzero(hashes[first : stop - 1 + width] == value)
-        start = first
-        for place in places.tolist():
-            if start >= stop:
-                break
-            last = min(place, stop - 1)
-            out_hash.append(value)
-            out_place.append(place)
-            out_first.append(start)
-            out_last.append(last)
-            start = last + 1
-    return np.array(out_hash, dtype=np.uint64), *(np.array(x, dtype=np.int64) for x in (out_place, out_first, out_last))
+        firsts = np.append(first, places[:-1] + 1)
+        own = firsts < stop
+        if len(places) > 3:
+            kept, more = _thinned(text, places, int((places < stop).sum()), length, gram)
+            spans += more
+            own &= kept
+        out_place += places[own].tolist()
+        out_first += firsts[own].tolist()
+        out_last += np.minimum(places[own], stop - 1).tolist()
+        out_hash += [value] * int(own.sum())
+    return (np.array(out_hash, dtype=np.uint64), *(np.array(x, dtype=np.int64) for x in (out_place, out_first, out_last))), spans
 
 
 def _anchor_block(block: pa.RecordBatch, length: int, gram: int) -> pa.RecordBatch:
+    """Anchors; spans come as rows without a gram."""
     each = [anchors_of(np.frombuffer(t, dtype=np.uint8), length, gram) for t in texts_of(block)]
-    counts = np.array([len(e[0]) for e in each])
-    gathered = [np.concatenate(x) for x in zip(*each)]
+    counts = [len(anchors[0]) for anchors, _ in each]
+    grams, places, firsts, lasts = (np.concatenate(x) for x in zip(*(anchors for anchors, _ in each)))
+    spans = [(i, *span) for i, (_, own) in enumerate(each) for span in own]
+    owner = np.concatenate([np.repeat(np.arange(len(each)), counts), np.array([i for i, _, _ in spans], dtype=np.int64)])
     return pa.RecordBatch.from_pydict(
         {
-            "digest": block.column("digest").take(pa.array(np.repeat(np.arange(len(each)), counts))),
-            "gram": pa.array(gathered[0].view(np.int64)),
-            "place": pa.array(gathered[1].astype(np.int32)),
-            "first": pa.array(gathered[2].astype(np.int32)),
-            "last": pa.array(gathered[3].astype(np.int32)),
+            "digest": block.column("digest").take(pa.array(owner)),
+            "gram": pa.array(grams.view(np.int64).tolist() + [None] * len(spans), pa.int64()),
+            "place": pa.array(places.tolist() + [0] * len(spans), pa.int32()),
+            "first": pa.array(firsts.tolist() + [x for _, x, _ in spans], pa.int32()),
+            "last": pa.array(lasts.tolist() + [x for _, _, x in spans], pa.int32()),
         }
     )
 
@@ -224,15 +269,28 @@ def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
     held: list[dict] = []
 
     def work(rows: list[dict]) -> pa.RecordBatch:
-        gram, place, start, last = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("gram", "place", "first", "last"))
-        hit, offset = repeated_starts([r["segment"] for r in rows], place - start, place - last, place - start, gram, length)
-        begin = place[hit] - offset
-        owner, starts, stops = _merged(hit, begin, begin + length)
+        gram, place, first, last = (np.array([r[c] for r in rows], dtype=np.int64) for c in ("gram", "place", "first", "last"))
+        # Equal segments of a group are sorted once; all their strings are repeated.
+        numbers: dict[tuple, int] = {}
+        kind = np.array([numbers.setdefault((r["gram"], r["place"] - r["first"], r["segment"]), len(numbers)) for r in rows])
+        lead, copies = np.unique(kind, return_index=True, return_counts=True)[1:]
+        partners = np.unique(gram[lead], return_inverse=True, return_counts=True)
+        lead = lead[partners[2][partners[1]] > 1]
+        twice = np.flatnonzero(copies[kind] > 1)
+        owner, starts, stops = [twice], [first[twice]], [last[twice] + length]
+        if len(lead):
+            ahead = place[lead] - first[lead]
+            hit, offset = repeated_starts([rows[i]["segment"] for i in lead.tolist()], ahead, place[lead] - last[lead], ahead, gram[lead], length)
+            hit, offset = hit[copies[kind[lead[hit]]] == 1], offset[copies[kind[lead[hit]]] == 1]
+            begin = place[lead[hit]] - offset
+            spans = _merged(lead[hit], begin, begin + length)
+            for out, own in zip((owner, starts, stops), spans):
+                out.append(own)
         return pa.RecordBatch.from_pydict(
             {
-                "digest": pa.array([rows[i]["digest"] for i in owner.tolist()], pa.binary()),
-                "start": pa.array(starts.astype(np.int32)),
-                "stop": pa.array(stops.astype(np.int32)),
+                "digest": pa.array([rows[i]["digest"] for i in np.concatenate(owner).tolist()], pa.binary()),
+                "start": pa.array(np.concatenate(starts).astype(np.int32)),
+                "stop": pa.array(np.concatenate(stops).astype(np.int32)),
             }
         )
 
@@ -261,22 +319,20 @@ def _segment_block(block: pa.RecordBatch, length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({c: pa.array(v, types.get(c, pa.int32())) for c, v in out.items()})
 
 
-def _string_block(block: pa.RecordBatch, length: int) -> pa.RecordBatch:
-    """Every string of the segments by two independent hashes."""
-    texts = [np.frombuffer(t, dtype=np.uint8) for t in texts_of(block, "segment")]
-    counts = np.array([len(t) - length + 1 for t in texts])
-    one = [PrefixHashes(t).grams(length) for t in texts]
-    two = [PrefixHashes(t, salt=1).grams(length) for t in texts]
-    owner = pa.array(np.repeat(np.arange(len(texts)), counts))
-    first = np.asarray(block.column("first"))
-    return pa.RecordBatch.from_pydict(
-        {
-            "one": pa.array(np.concatenate(one).view(np.int64)),
-            "two": pa.array(np.concatenate(two).view(np.int64)),
-            "digest": block.column("digest").take(owner),
-            "start": pa.array(ranges(first.astype(np.int64), counts).astype(np.int32)),
-        }
-    )
+def _split_block(block: pa.RecordBatch, width: int, length: int) -> pa.RecordBatch:
+    """The segments cut by their strings' offsets before the anchor, ``width`` offsets to
+    a part, under a gram that is also a hash of what all strings of such a part contain."""
+    out: dict[str, list] = {c: [] for c in ("gram", "digest", "place", "first", "last", "segment")}
+    for r in block.to_pylist():
+        text, place, least = r["segment"], r["place"], r["place"] - r["last"]
+        for part in range(least // width, place // width + 1):
+            low, high = part * width, part * width + width - 1
+            first, last = place - min(high, place), place - max(low, least)
+            context = xxhash.xxh3_64_intdigest(text[place - low : place - high + length], seed=(r["gram"] + part) % (1 << 64))
+            for c, v in zip(out, (context - (1 << 63), r["digest"], place, first, last, text[first : last + length])):
+                out[c].append(v)
+    types = {"gram": pa.int64(), "digest": pa.binary(), "segment": pa.binary()}
+    return pa.RecordBatch.from_pydict({c: pa.array(v, types.get(c, pa.int32())) for c, v in out.items()})
 
 
 def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -288,7 +344,46 @@ def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
     name = f"texts_{uuid.uuid4().hex}"
     path = scratch_path(spark, "texts")
     merged.write.bucketBy(buckets, "digest").option("path", path).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    written = spark.table(name)
+    # Only the catalog knows buckets when a table is opened; it need not know it further.
+    # The files are in the shared folder and stay.
+    spark.sql(f"DROP TABLE {name}")
+    return written
+
+
+def _sorted_spans(segments: DataFrame, length: int) -> DataFrame:
+    """(digest, start, stop) from segments that a task can sort gram by gram."""
+    dealt = segments.select("gram", "digest", "place", "first", "last", "segment").repartition("gram").sortWithinPartitions("gram")
+    return dealt.mapInArrow(lambda batches: _sort_groups(batches, length), SPANS)
+
+
+def frequent_spans(segments: DataFrame, length: int, group: int, widths: tuple[int, ...]) -> DataFrame:
+    """(digest, start, stop) of repeated strings in segments of frequent grams.
+
+    Equal segments are brought together (by 128 bits of SHA-256, with their anchor's
+    place), and grams that still have more than ``group`` of them are split by a longer
+    context: what all strings share whose offsets before the anchor lie in one range of
+    ``widths[0]`` offsets. Equal strings at one offset stay together. The last width is
+    one: a gram is a string then, and its segments are equal.
+    """
+    ahead = F.col("place") - F.col("first")
+    key = digest_of(F.concat(ahead.cast("string").cast("binary"), F.lit(":").cast("binary"), F.col("segment")))
+    keyed = segments.withColumn("key", key)
+    kinds = keyed.groupBy("gram", "key").agg(
+        F.first("segment").alias("segment"), F.first(ahead).alias("place"), F.first(F.col("last") - F.col("first")).alias("last"), F.count("*").alias("copies")
+    )
+    kinds = store(kinds.select("gram", F.col("key").alias("digest"), "place", F.lit(0).alias("first"), "last", "segment", "copies"), "kinds")
+    sizes = store(kinds.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > group).alias("frequent")), "kinds-of-grams")
+    found = kinds.where("copies > 1").select("digest", "first", (F.col("last") + length).alias("stop"))
+    found = found.unionAll(_sorted_spans(kinds.join(sizes.where("not frequent"), "gram"), length))
+    if widths and not sizes.where("frequent").isEmpty():
+        many = kinds.join(sizes.where("frequent"), "gram").select("gram", "digest", "place", "last", "segment")
+        schema = "gram long, digest binary, place int, first int, last int, segment binary"
+        parts = store(map_blocks(many, "segment", BLOCK_BYTES // 8, schema, lambda b: _split_block(b, widths[0], length)), "parts")
+        found = found.unionAll(frequent_spans(parts, length, group, widths[1:]))
+    spans = found.toDF("key", "start", "stop").groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    back = keyed.select("key", "digest", "first").join(spans, "key").select("digest", "first", F.explode("spans").alias("s"))
+    return back.select("digest", (F.col("first") + F.col("s.start")).alias("start"), (F.col("first") + F.col("s.stop")).alias("stop"))
 
 
 def repeated_spans(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -304,7 +399,7 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     )
     # Written down, so that the join has a shuffle of its own, whose large partitions
     # adaptive execution can split; that of the counting must keep a gram together.
-    repeated = store(anchors.groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > group).alias("frequent")), "grams")
+    repeated = store(anchors.where("gram is not null").groupBy("gram").count().where("count > 1").select("gram", (F.col("count") > group).alias("frequent")), "grams")
     mine = anchors.join(repeated, "gram").groupBy("digest").agg(F.collect_list(F.struct("gram", "place", "first", "last", "frequent")).alias("anchors"))
     segments = store(
         map_blocks(
@@ -314,15 +409,12 @@ def repeated_spans(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
         ),
         "segments",
     )
-    rare = segments.where("not frequent").drop("frequent").repartition("gram").sortWithinPartitions("gram")
-    spans = rare.mapInArrow(lambda batches: _sort_groups(batches, length), SPANS)
-    strings = map_blocks(
-        segments.where("frequent").select("segment", "digest", "first"),
-        "segment", BLOCK_BYTES // 8, "one long, two long, digest binary, start int", lambda b: _string_block(b, length),
-    )
-    twice = store(strings.groupBy("one", "two").count().where("count > 1").drop("count"), "strings")
-    frequent = strings.join(twice, ["one", "two"]).select("digest", "start", (F.col("start") + length).alias("stop"))
-    return spans.unionAll(frequent)
+    runs = anchors.where("gram is null").select("digest", F.col("first").alias("start"), F.col("last").alias("stop"))
+    spans = runs.unionAll(_sorted_spans(segments.where("not frequent"), length))
+    if repeated.where("frequent").isEmpty():
+        return spans
+    widths = (max(1, length // 6), max(1, length // 48), 1)
+    return spans.unionAll(frequent_spans(segments.where("frequent").drop("frequent"), length, group, widths))
 
 
 def _cut_block(block: pa.RecordBatch) -> pa.RecordBatch:

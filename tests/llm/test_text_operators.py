@@ -145,7 +145,7 @@ def kept_bytes(rows, length):
     return out
 
 
-@pytest.mark.parametrize(("length", "gram", "group"), [(12, 4, 1 << 15), (12, 4, 3), (20, 6, 1 << 15)])
+@pytest.mark.parametrize(("length", "gram", "group"), [(12, 4, 1 << 15), (12, 4, 3), (20, 6, 1 << 15), (20, 6, 1), (40, 16, 2)])
 def test_repeated_strings_equal_brute_force(spark, length, gram, group):
     rng = random.Random(length)
 
@@ -161,6 +161,56 @@ def test_repeated_strings_equal_brute_force(spark, length, gram, group):
     assert Counter(repr((*r[:5], bytes(r[5]))) for r in got) == Counter(map(repr, kept_bytes(rows, length)))
 
 
+def test_repeated_strings_at_frequent_grams(spark):
+    """One passage in many texts, and one gram before and after different bytes."""
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(70))
+
+    def text(n):
+        return "".join(rng.choice("xyz") for _ in range(n))
+
+    rows = [(i, text(rng.randrange(30)) + passage + text(rng.randrange(30))) for i in range(60)]
+    rows += [(100 + i, text(20) + passage[30:50] + text(20)) for i in range(60)] + [(200 + i, passage[:35] + text(4)) for i in range(60)]
+    rows += [(300 + i, rng.choice(["ab", "abc", "a"]) * rng.randrange(5, 60) + text(3)) for i in range(40)]
+    for group in (1, 8):
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, DOCS), length=32, gram=16, group=group, keep_text=True).collect()
+        assert Counter(repr((*r[:5], bytes(r[5]))) for r in got) == Counter(map(repr, kept_bytes(rows, 32)))
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "abcde", "0123456789" * 3, "".join(map(chr, range(33, 125)))])
+def test_texts_of_one_period_have_few_anchors(unit):
+    for front, back in (("", ""), ("qrst" * 3 + "!", " end of it")):
+        text = np.frombuffer((front + unit * (1_000_000 // len(unit)) + back).encode(), dtype=np.uint8)
+        (_, _, first, last), spans = suffix_dedup.anchors_of(text, 400, 64)
+        assert int((last - first + 400).sum()) < 300_000
+        assert spans and sum(b - a for a, b in spans) > 990_000
+
+
+@pytest.mark.parametrize(("length", "gram"), [(12, 4), (40, 16), (400, 64)])
+def test_every_string_has_an_anchor_or_is_in_a_span(length, gram):
+    rng = random.Random(gram)
+    for _ in range(60):
+        units = ["".join(rng.choice("ab c") for _ in range(rng.randrange(1, 9))) for _ in range(4)]
+        text = "".join(rng.choice(units) * rng.randrange(1, 2 * length) for _ in range(4)).encode()
+        (_, _, first, last), spans = suffix_dedup.anchors_of(np.frombuffer(text, dtype=np.uint8), length, gram)
+        starts = [i for a, b in zip(first.tolist(), last.tolist()) for i in range(a, b + 1)]
+        seen = Counter(text[i : i + length] for i in range(len(text) - length + 1))
+        inside = {i for a, b in spans for i in range(a, b - length + 1)}
+        assert len(starts) == len(set(starts)) and set(starts) | inside == set(range(len(text) - length + 1))
+        assert all(seen[text[i : i + length]] > 1 for i in inside)
+        # Every string keeps an anchor somewhere, for other texts to meet it.
+        assert {text[i : i + length] for i in starts} == set(seen)
+
+
+def test_repeats_leave_no_table_and_take_odd_tables(spark):
+    docs = spark.createDataFrame([(i, "abcdefgh" * 9, "x") for i in range(2)], "digest long, text string, gram string")
+    before = spark.catalog.listTables()
+    got = suffix_dedup.remove_repeats(docs, id_col="digest", length=20, gram=8).collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in got] == [(72, 72, 1)] * 2
+    assert suffix_dedup.remove_repeats(docs.limit(0), id_col="digest").count() == 0
+    assert spark.catalog.listTables() == before
+
+
 def test_colliding_hashes_fall_back_to_the_bytes(monkeypatch):
     segments, groups = [b"abcdef", b"abcxyz", b"abcdef"], np.zeros(3, dtype=np.int64)
     zero = np.zeros(3, dtype=np.int64)
