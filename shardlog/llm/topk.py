@@ -32,7 +32,9 @@ QUERIES = 512
 # Candidates evaluated between two looks at the next bound.
 STRIDE = 64
 
-INDEX = "id long, size int, vector array<long>, norm long, pivots array<double>"
+INDEX = "id long, size int, vector array<long>, copies long, norm long, pivots array<double>"
+# Products of vectors whose squared lengths stay below it are exact in doubles.
+EXACT = 1 << 53
 
 
 def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
@@ -88,12 +90,15 @@ def build_index(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             own = _matrix(block.column("vector"), width).astype(np.float64)
             points = pivots.get(width, np.zeros((1, width)))
             square = (own**2).sum(1)
+            if (square >= EXACT).any():
+                raise ValueError(f"the squared length of a vector of whole numbers is {square.max():.3g}: products are exact below 2^53")
             far = np.sqrt(np.maximum(square[:, None] + (points**2).sum(1)[None] - 2 * own @ points.T, 0))
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": block.column("id"),
                     "size": block.column("size"),
                     "vector": block.column("vector"),
+                    "copies": block.column("copies"),
                     "norm": pa.array(square.astype(np.int64)),
                     "pivots": pa.array(list(far), pa.list_(pa.float64())),
                 }
@@ -103,23 +108,25 @@ def build_index(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
 
 
 class Best:
-    """The k best (score, id) of each query so far: greater scores, then smaller ids."""
+    """The k best (score, id) of each query so far, with the number of equal rows that
+    each stands for: greater scores, then smaller ids."""
 
     def __init__(self, queries: int, k: int):
         self.k = k
         self.score = np.full((queries, k), -(1 << 62))
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
+        self.copies = np.zeros((queries, k), dtype=np.int64)
 
-    def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        s, i = np.append(self.score[q], scores), np.append(self.id[q], ids)
+    def add(self, q: int, scores: np.ndarray, ids: np.ndarray, copies: np.ndarray) -> None:
+        s, i, c = np.append(self.score[q], scores), np.append(self.id[q], ids), np.append(self.copies[q], copies)
         order = np.lexsort((i, -s))[: self.k]
-        self.score[q], self.id[q] = s[order], i[order]
+        self.score[q], self.id[q], self.copies[q] = s[order], i[order], c[order]
 
 
 def _search_block(queries: dict, width: int, block: pa.RecordBatch, best: Best) -> None:
     ids, own, far, norms = queries["id"], queries["vector"], queries["pivots"], queries["norm"]
     rows = _matrix(block.column("vector"), width).astype(np.float64)
-    row_ids, row_norms = np.asarray(block.column("id")), np.asarray(block.column("norm"))
+    row_ids, row_norms, row_copies = (np.asarray(block.column(c)) for c in ("id", "norm", "copies"))
     row_far = _matrix(block.column("pivots"), far.shape[1])
     for some in range(0, len(ids), QUERIES):
         part_far = far[some : some + QUERIES]
@@ -136,7 +143,7 @@ def _search_block(queries: dict, width: int, block: pa.RecordBatch, best: Best)
                 part = able[i : i + STRIDE]
                 if bound[part[0]] < best.score[q, -1]:
                     break
-                best.add(q, np.rint(rows[part] @ own[q]).astype(np.int64), row_ids[part])
+                best.add(q, np.rint(rows[part] @ own[q]).astype(np.int64), row_ids[part], row_copies[part])
 
 
 def _search(index: DataFrame, queries: dict[int, dict], k: int) -> DataFrame:
@@ -157,10 +164,11 @@ def _search(index: DataFrame, queries: dict[int, dict], k: int) -> DataFrame:
                     "query_id": pa.array(own[width]["id"][q]),
                     "vec_id": pa.array(found.id[q, rank]),
                     "score": pa.array(found.score[q, rank]),
+                    "copies": pa.array(found.copies[q, rank]),
                 }
             )
 
-    return index.mapInArrow(run, "query_no long, query_id long, vec_id long, score long")
+    return index.mapInArrow(run, "query_no long, query_id long, vec_id long, score long, copies long")
 
 
 def _query_blocks(queries: DataFrame, values: int) -> Iterator[dict[int, dict]]:
@@ -199,8 +207,10 @@ def top_k(
 
     ``is_query`` picks the queries by the columns of ``vectors``. Rows without an id,
     and vectors that are null or hold a null, NaN or infinity, take no part. Products
-    are of vectors of one width. Rows equal in id and vector are one row; rows of the
-    query's own id are no candidates for it. A query without candidates has no rows.
+    are of vectors of one width. Rows equal in id and vector are one query, but as
+    candidates each of them takes a place; rows of the query's own id are no candidates
+    for it. A query without candidates has no rows. A vector whose squared length, in
+    whole numbers, is 2^53 or more is refused, as its products would not be exact.
 
     A block of queries at a time meets all rows of the index: every task keeps its k
     best for each query, and these few are ranked at the end.
@@ -213,11 +223,11 @@ def top_k(
         )
         .where("id is not null and vector is not null")
         .groupBy("id", "vector")
-        .agg(F.max("query").alias("query"))
+        .agg(F.max("query").alias("query"), F.count("*").alias("copies"))
     )
-    rows = store(rows.select("id", F.size("vector").alias("size"), "vector", "query"), "vectors")
+    rows = store(rows.select("id", F.size("vector").alias("size"), "vector", "query", "copies"), "vectors")
     points = choose_pivots(rows, pivots)
-    index = build_index(rows.select("id", "size", "vector"), points)
+    index = build_index(rows.select("id", "size", "vector", "copies"), points)
     asked = index.join(rows.where("query").select("id", "vector"), ["id", "vector"])
     found = None
     for block in _query_blocks(asked, query_values):
@@ -226,7 +236,9 @@ def top_k(
         part = store(part, "candidates")
         found = part if found is None else found.unionAll(part)
     if found is None:
-        found = vectors.sparkSession.createDataFrame([], "query_no long, query_id long, vec_id long, score long")
+        found = vectors.sparkSession.createDataFrame([], "query_no long, query_id long, vec_id long, score long, copies long")
     order = W.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # Of equal rows no more than k can have a place.
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
+    ranked = each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -53,11 +53,13 @@ def test_top_k_equals_all_products(spark, values):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(120)]
     rows += [(200, None), (201, [1.0, None, 0.0, 0.0]), (202, [float("nan"), 0.0, 0.0, 0.0]), (203, [float("inf")] * 4), (None, [1.0] * 4), (204, [1.0, 2.0]), (205, [1.0]), (0, rows[0][1])]
+    # Equal rows with the greatest products of all: each copy takes a place.
+    rows += [(301, [9.0, 9.0, -9.0, 9.0])] * 3 + [(302, [-9.0, 9.0, 9.0, 9.0])] * 7
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, norm int")
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") % 10 == 0, pivots=5, query_values=values).collect()}
-    whole = {(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    whole = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = {}
-    for q, v in whole:
+    for q, v in set(whole):
         if q % 10 == 0:
             scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q and len(w) == len(v))
             want |= {(q, n): (i, -s) for n, (s, i) in enumerate(scored[:5], start=1)}
@@ -65,6 +67,12 @@ def test_top_k_equals_all_products(spark, values):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_products_that_are_not_exact_are_refused(spark):
+    df = spark.createDataFrame([(10, [3e17, 0.0]), (11, [1e17, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exact below"):
+        topk.top_k(df, F.col("vec_id") % 10 == 0).collect()
+
+
 def test_languages(spark, sf_dir):
     model = language_id.train_text(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
