@@ -177,6 +177,32 @@ def test_repeated_strings_at_frequent_grams(spark):
         assert Counter(repr((*r[:5], bytes(r[5]))) for r in got) == Counter(map(repr, kept_bytes(rows, 32)))
 
 
+def test_groups_stay_whole_when_a_join_is_split(spark):
+    """Adaptive execution may split a large partition of a join; the groups of a gram may not."""
+    split_all = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+    }
+    rng = random.Random(3)
+    rows = []
+    for gram in range(100):
+        shared = rng.randbytes(32)
+        rows += [(gram, bytes([gram, k]), 1, 0, 1, bytes([k]) + shared) for k in range(4)]
+    segments = spark.createDataFrame(rows, "gram long, digest binary, place int, first int, last int, segment binary")
+    before = {k: spark.conf.get(k, None) for k in split_all}
+    try:
+        for k, v in split_all.items():
+            spark.conf.set(k, v)
+        got = suffix_dedup.frequent_spans(segments, 32, 8, ()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted((bytes(r.digest), r.start, r.stop) for r in got) == sorted((r[1], 1, 33) for r in rows)
+
+
 @pytest.mark.parametrize("unit", ["a", "ab", "abcde", "0123456789" * 3, "".join(map(chr, range(33, 125)))])
 def test_texts_of_one_period_have_few_anchors(unit):
     for front, back in (("", ""), ("qrst" * 3 + "!", " end of it")):
